@@ -97,6 +97,15 @@ def predict(model: Model, rows: DataFrame, name: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """At least one partition per core: a small table of a few files would train on a few cores.
+
+    A table with more partitions than that stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def fit_and_predict(name: str, ml_ready: DataFrame, key: str = "flow_id", **settings) -> DataFrame:
     """Train the named model on the training split and score the test split.
 
@@ -104,7 +113,7 @@ def fit_and_predict(name: str, ml_ready: DataFrame, key: str = "flow_id", **sett
     after the fit; scoring reads the test rows lazily.
     """
     train, test = split(ml_ready, key)
-    train = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train, key).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = TRAINERS[name](train, **settings)
     finally:

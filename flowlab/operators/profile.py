@@ -195,7 +195,8 @@ def log_histogram(df: DataFrame, columns: list[str], bins: int = HISTOGRAM_BINS)
             return F.when(F.col(name).isNotNull(), F.lit(bins // 2)).alias(name)
         start, end = F.log1p(F.lit(low)), F.log1p(F.lit(high))
         position = F.floor((F.log1p(name) - start) / (end - start) * bins)
-        return F.least(position, F.lit(bins - 1)).cast("int").alias(name)
+        last = F.when(position >= bins, F.lit(bins - 1)).otherwise(position)
+        return last.cast("int").alias(name)
 
     counted = (
         positive.select(*map(slot, ranges))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.functions.derived import LOGS, OVER_TOTALS, RATIOS, TOTALS
@@ -260,9 +260,9 @@ def ml_ready_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_logs(features.feature_table(cleaned(spark, sf_dir), exact=True))
 
 
-def _array_columns(df: DataFrame, vector: str, names: list[str]) -> list:
+def _array_columns(vector: str, names: list[str]) -> list[Column]:
     values = vector_to_array(F.col(vector))
-    return [F.round(values[i], LOG_DIGITS).alias(n) for i, n in enumerate(names)]
+    return [values[i].alias(n) for i, n in enumerate(names)]
 
 
 @query
@@ -271,7 +271,7 @@ def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_ = features.feature_table(cleaned(spark, sf_dir), exact=True)
     names = features.numeric_columns(table_)
     vectors = features.assemble(table_, names)
-    return vectors.select("flow_id", "label", "label_original", *_array_columns(vectors, "features", names))
+    return rounded_logs(vectors.select("flow_id", "label", "label_original", *_array_columns("features", names)))
 
 
 @query
@@ -281,7 +281,8 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = features.numeric_columns(table_)
     train, test = models.split(features.assemble(table_, names))
     scaled = models.unit_deviation(train).transform(test)
-    return scaled.select("flow_id", *_array_columns(scaled, "scaled_features", names))
+    columns = scaled.select("flow_id", *_array_columns("scaled_features", names))
+    return columns.withColumns({n: F.round(n, LOG_DIGITS) for n in names})
 
 
 # ---- model comparison on the scored table --------------------------------------------------

@@ -112,7 +112,6 @@ WITH_READY = (
     + " FROM engineered, bounds)"
 )
 ROUNDED_LOGS = ", ".join(f"round({f}, 6) AS {f}" if f in LOGS else f for f in FEATURES)
-ROUNDED_ALL = ", ".join(f"round({f}, 6) AS {f}" for f in FEATURES)
 
 
 def describe(source: str, names: list[str], digits: int, outer: int | None = None) -> str:
@@ -293,7 +292,7 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f"{capped(m)} AS {m}" for m in MEASURES)
         + " FROM present, bounds",
         "ml_ready_table": ready,
-        "vector_roundtrip": f"{WITH_READY} SELECT flow_id, label, label_original, {ROUNDED_ALL} FROM ready",
+        "vector_roundtrip": ready,
         "scaled_features": f"{WITH_READY}, deviations AS (SELECT {deviations} FROM ready WHERE {in_train()}) "
         f"SELECT flow_id, {unit} FROM ready, deviations WHERE NOT ({in_train()})",
         "confusion_sparse": f"{WITH_CELLS} SELECT * FROM cells ORDER BY model, label, prediction",
