@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType
 
 from flowlab.functions.derived import LOGS, OVER_TOTALS, RATIOS, TOTALS, Derived
 from flowlab.functions.values import attack_flag, clamp, not_nan
-from flowlab.operators.quantiles import approximate_quantiles, check_error, exact_quantiles
+from flowlab.operators.quantiles import approximate_quantiles, exact_quantiles
 
 # The bounds that outliers are capped at, and the columns of the closing check.
 LOWER, UPPER = 0.01, 0.99
@@ -74,9 +74,8 @@ def fit_caps(
     Fit on all rows, or on the training rows alone to keep the test set unseen. The bounds are
     two numbers per column and become literals of the next plan.
     """
-    check_error([lower, upper], rel_error)
     if exact:
-        rows = exact_quantiles(df, columns, [lower, upper], rel_error).collect()
+        rows = exact_quantiles(df, columns, [lower, upper]).collect()
         at = {(r["column"], r["probability"]): r["value"] for r in rows}
         bounds = {c: (at[c, lower], at[c, upper]) for c in columns if (c, lower) in at}
     else:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowlab.functions.keys import in_percent
 from flowlab.functions.values import BENIGN, is_sentinel, not_nan
 
-COLUMNS_PER_SCAN = 100
+COLUMNS_PER_SCAN = 32
 HISTOGRAM_BINS = 50
 # The measures that exploration looks at, and the statistics of a description.
 EXPLORED = (

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from flowlab.functions.values import not_nan
 from flowlab.operators.ranking import cut_points, default_buckets, running_totals
+from flowlab.operators.sketches import ERROR, sketched_quantiles
 from flowlab.sources.storage import durable
 
-COLUMNS_PER_SKETCH = 16
+COLUMNS_PER_SKETCH = 32
+BRACKETS_PER_SCAN = 32
 EVERYTHING = (float("-inf"), float("inf"))
 
 
@@ -38,20 +40,19 @@ def check_error(probabilities: list[float], rel_error: float) -> None:
         raise ValueError(f"rel_error {rel_error} must be below {min(inner)}, the outermost probability")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], rel_error: float = 0.001
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """(column, probability, value): the smallest value that p of the column's rows do not exceed.
 
     Scan 1 sketches a bracket around each quantile. Scan 2 counts the rows below and inside each
-    bracket, which proves the bracket or opens it. Scan 3 counts the distinct values inside,
-    about 4 x rel_error of the rows, and a running total finds the value at the wanted rank. No
-    column is ever sorted or collected as a whole. NULL and NaN are left out.
+    bracket, which proves the bracket or opens it, so the result never rests on the sketch. Scan
+    3 counts the distinct values inside, under one percent of the rows, and a running total finds
+    the value at the wanted rank. No column is ever sorted or collected as a whole. NULL and NaN
+    are left out.
     """
     spark = df.sparkSession
     empty = "column string, probability double, value double"
     values = df.select(*(not_nan(F.col(c).cast("double")).alias(c) for c in columns))
-    targets = _ranked_brackets(values, columns, probabilities, rel_error)
+    targets = _ranked_brackets(values, columns, probabilities)
     if not targets:
         return spark.createDataFrame([], empty)
 
@@ -95,31 +96,28 @@ def exact_quantiles(
 
 
 def _ranked_brackets(
-    values: DataFrame, columns: list[str], probabilities: list[float], rel_error: float
+    values: DataFrame, columns: list[str], probabilities: list[float]
 ) -> dict[tuple[str, float], tuple[float, float, int]]:
     """{(column, p): (low, high, rank inside [low, high])}, three numbers per entry on the driver."""
-    grid = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-2 * rel_error, 2 * rel_error)]
-    brackets: dict[tuple[str, float], tuple[float, float]] = {}
-    for i in range(0, len(columns), COLUMNS_PER_SKETCH):
-        group = columns[i : i + COLUMNS_PER_SKETCH]
-        for c, cuts in zip(group, values.approxQuantile(group, grid, rel_error), strict=True):
-            for j, p in enumerate(probabilities):
-                if cuts:
-                    brackets[c, p] = (cuts[2 * j], cuts[2 * j + 1])
-    if not brackets:
-        return {}
-
-    keys = list(brackets)
-    counted = values.agg(
-        *(F.count(c).alias(f"n_{c}") for c in columns),
-        *(F.count_if(F.col(c) < brackets[c, p][0]).alias(f"below_{i}") for i, (c, p) in enumerate(keys)),
-        *(F.count_if(F.col(c) <= brackets[c, p][1]).alias(f"upto_{i}") for i, (c, p) in enumerate(keys)),
-    ).first()
+    around = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-2 * ERROR, 2 * ERROR)]
+    brackets = {
+        (c, p): (cuts[2 * j], cuts[2 * j + 1])
+        for c, cuts in sketched_quantiles(values, columns, around).items()
+        for j, p in enumerate(probabilities)
+    }
     ranked = {}
-    for i, (c, p) in enumerate(keys):
-        wanted = max(1, int((Decimal(str(p)) * counted[f"n_{c}"]).to_integral_value(ROUND_CEILING)))
-        if counted[f"below_{i}"] < wanted <= counted[f"upto_{i}"]:
-            ranked[c, p] = (*brackets[c, p], wanted - counted[f"below_{i}"])
-        else:
-            ranked[c, p] = (*EVERYTHING, wanted)
+    entries = list(brackets.items())
+    for start in range(0, len(entries), BRACKETS_PER_SCAN):
+        group = entries[start : start + BRACKETS_PER_SCAN]
+        counted = values.agg(
+            *(F.count(c).alias(f"n_{c}") for c in dict.fromkeys(c for (c, _), _ in group)),
+            *(F.count_if(F.col(c) < lo).alias(f"below_{i}") for i, ((c, _), (lo, _)) in enumerate(group)),
+            *(F.count_if(F.col(c) <= hi).alias(f"upto_{i}") for i, ((c, _), (_, hi)) in enumerate(group)),
+        ).first()
+        for i, ((c, p), bracket) in enumerate(group):
+            wanted = max(1, int((Decimal(str(p)) * counted[f"n_{c}"]).to_integral_value(ROUND_CEILING)))
+            if counted[f"below_{i}"] < wanted <= counted[f"upto_{i}"]:
+                ranked[c, p] = (*bracket, wanted - counted[f"below_{i}"])
+            else:
+                ranked[c, p] = (*EVERYTHING, wanted)
     return ranked

@@ -12,24 +12,28 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlab.operators.sketches import sketched_quantiles
+
 BUCKET = "_bucket"
 
 
+MOST_RANGES = 1000
+
+
 def default_buckets(df: DataFrame) -> int:
-    """Two ranges per shuffle partition, so that the partitions stay even."""
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Two ranges per shuffle partition keep the partitions even; a sketch resolves about 1000."""
+    return min(MOST_RANGES, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
     """At most ``buckets - 1`` increasing values that split ``column`` into even row counts.
 
-    One scan of one column; the sketch and the result are bounded by ``buckets``. A value that
-    fills several ranges appears once.
+    One scan of one column. A value that fills several ranges appears once.
     """
     if buckets < 2:
         return []
     steps = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(column, steps, 0.5 / buckets)))
+    return sorted(set(sketched_quantiles(df, [column], steps).get(column, [])))
 
 
 def with_bucket(df: DataFrame, column: str, cuts: list[float]) -> DataFrame:
