@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from flowlab.functions.keys import in_percent
 from flowlab.functions.vectors import class_probability
+from flowlab.sources.tables import spread
 
 # The model names of the comparison, the share of training rows, and the settings
 # of each estimator (all others are MLlib's defaults).
@@ -97,15 +98,6 @@ def predict(model: Model, rows: DataFrame, name: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """At least one partition per core: a small table of a few files would train on a few cores.
-
-    A table with more partitions than that stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def fit_and_predict(name: str, ml_ready: DataFrame, key: str = "flow_id", **settings) -> DataFrame:
     """Train the named model on the training split and score the test split.
 

@@ -39,6 +39,23 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_flows(flows(spark, sf_dir))
 
 
+@lru_cache(maxsize=8)
+def _new_stage_folder(application: str, sf_dir: str, spark: SparkSession) -> str:
+    return new_folder(spark, "stages")
+
+
+def stage_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One folder of finished stages per session and data set, shared by the queries that use them."""
+    return _new_stage_folder(spark.sparkContext.applicationId, sf_dir, spark)
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned flows as a finished stage: for queries that scan them several times."""
+    folder = stage_folder(spark, sf_dir)
+    stage = stages.prepare_cleaned(spark, lambda: flows(spark, sf_dir), folder)
+    return tables.read_table(spark, stage.path)
+
+
 def explored(df: DataFrame) -> list[str]:
     return [c for c in profile.EXPLORED if c in df.columns]
 
@@ -113,7 +130,7 @@ def describe_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def summary_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The closing check of feature engineering, over the finished features."""
-    table_ = features.feature_table(cleaned(spark, sf_dir), exact=True)
+    table_ = features.feature_table(stored(spark, sf_dir), exact=True)
     checked = [c for c in features.CHECKED if c in table_.columns]
     return profile.describe_long(table_, checked, digits=4).withColumn("value", F.round("value", 4))
 
@@ -243,13 +260,13 @@ def feature_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cleaned(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     return exact_quantiles(rows, clean.measure_columns(rows), list(CAPPED))
 
 
 @query
 def winsorized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cleaned(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     names = clean.measure_columns(rows)
     rows = features.nan_to_null(rows, names)
     return features.apply_caps(rows, features.fit_caps(rows, names, exact=True)).select("flow_id", *names)
@@ -257,7 +274,7 @@ def winsorized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ml_ready_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded_logs(features.feature_table(cleaned(spark, sf_dir), exact=True))
+    return rounded_logs(features.feature_table(stored(spark, sf_dir), exact=True))
 
 
 def _array_columns(vector: str, names: list[str]) -> list[Column]:
@@ -268,7 +285,7 @@ def _array_columns(vector: str, names: list[str]) -> list[Column]:
 @query
 def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table through the vector column and back."""
-    table_ = features.feature_table(cleaned(spark, sf_dir), exact=True)
+    table_ = features.feature_table(stored(spark, sf_dir), exact=True)
     names = features.numeric_columns(table_)
     vectors = features.assemble(table_, names)
     return rounded_logs(vectors.select("flow_id", "label", "label_original", *_array_columns("features", names)))
@@ -277,7 +294,7 @@ def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows divided by the standard deviations of the training rows."""
-    table_ = features.feature_table(cleaned(spark, sf_dir), exact=True)
+    table_ = features.feature_table(stored(spark, sf_dir), exact=True)
     names = features.numeric_columns(table_)
     train, test = models.split(features.assemble(table_, names))
     scaled = models.unit_deviation(train).transform(test)
@@ -467,14 +484,8 @@ def tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- trained models ------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=8)
-def _work_folder(application: str, sf_dir: str, spark: SparkSession) -> str:
-    return new_folder(spark, "stages")
-
-
 def _stage_folder(spark: SparkSession, sf_dir: str) -> str:
-    """One stage folder per session and data set, so that models share the prepared table."""
-    folder = _work_folder(spark.sparkContext.applicationId, sf_dir, spark)
+    folder = stage_folder(spark, sf_dir)
     stages.prepare(spark, lambda: flows(spark, sf_dir), folder)
     return folder
 

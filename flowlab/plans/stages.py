@@ -12,7 +12,7 @@ from flowlab.operators.features import assemble, feature_table
 from flowlab.operators.metrics import confusion, metrics_long
 from flowlab.operators.models import SCORE, TRAINERS, fit_and_predict
 from flowlab.sources.storage import complete, exists
-from flowlab.sources.tables import read_table, write_table
+from flowlab.sources.tables import read_table, spread, write_table
 
 
 class Stage(NamedTuple):
@@ -53,15 +53,22 @@ def slug(model: str) -> str:
     return model.lower().replace(" ", "_").replace("-", "")
 
 
+def prepare_cleaned(spark: SparkSession, raw: Callable[[], DataFrame], folder: str, key: str = "flow_id") -> Stage:
+    """Raw flows to cleaned flows, the table that every later scan reads."""
+    return materialize(spark, "cleaned", f"{folder}/cleaned", lambda: clean_flows(spread(raw(), key)))
+
+
 def prepare(spark: SparkSession, raw: Callable[[], DataFrame], folder: str) -> list[Stage]:
     """Raw flows to cleaned flows to the ml-ready table."""
-    cleaned, ml_ready = f"{folder}/cleaned", f"{folder}/ml_ready"
-    return [
-        materialize(spark, "cleaned", cleaned, lambda: clean_flows(raw())),
-        materialize(
-            spark, "ml_ready", ml_ready, lambda: assemble(feature_table(read_table(spark, cleaned))), [cleaned]
-        ),
-    ]
+    cleaned = prepare_cleaned(spark, raw, folder)
+    ready = materialize(
+        spark,
+        "ml_ready",
+        f"{folder}/ml_ready",
+        lambda: assemble(feature_table(read_table(spark, cleaned.path))),
+        [cleaned.path],
+    )
+    return [cleaned, ready]
 
 
 def predictions_path(folder: str, model: str) -> str:

@@ -30,3 +30,13 @@ def read_if_present(spark: SparkSession, path: str, schema: StructType) -> tuple
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """At least one partition per core, for a table that is about to be worked on many times.
+
+    A few small files would keep it on a few cores. A table with enough partitions, as any large
+    one has, stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from flowlab.settings import with_settings
+
 
 def local_session(cores: str = "8", **settings: str) -> SparkSession:
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        with_settings(SparkSession.builder.master(f"local[{cores}]"))
         .appName("flowlab")
-        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)
