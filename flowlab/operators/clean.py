@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from flowlab.functions.values import cast_failed, no_negative, number, standard_label
+from flowlab.sources.storage import durable
 
 # The identifier columns, and the measures for which a negative is impossible.
 ID_COLUMNS = ("flow_id", "timestamp", "src_ip", "dst_ip")
@@ -22,6 +23,7 @@ NON_NEGATIVE = (
     "packets_rate",
 )
 LABEL = "label"
+MOST_BROADCAST_DIGESTS = 1_000_000  # 8 bytes each
 
 
 def measure_columns(df: DataFrame, label: str = LABEL, ids: Iterable[str] = ID_COLUMNS) -> list[str]:
@@ -87,16 +89,21 @@ def clean_flows(
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Exact whole-row ``distinct`` that shuffles whole rows only where a digest repeats.
 
-    A wide table has few repeated rows, so only an 8-byte digest per row is shuffled for all rows.
-    Rows whose digest is alone pass as they are; the others go through a real distinct, so a
-    digest collision costs a little work and never a row. Both joins are left to the optimiser:
-    it broadcasts the repeated digests when their measured size allows it, and otherwise
-    shuffles, with AQE splitting a hot digest. Copies collapse in the map-side half of each
-    aggregate.
+    A wide table has few repeated rows, so only an 8-byte digest per row is shuffled for all rows,
+    and the digests that repeat are stored and counted. If there are few, they are broadcast: rows
+    with another digest pass as they are, and the copies go through a real distinct, so a digest
+    collision costs a little work and never a row. If there are many, a plain distinct of the
+    whole table is the better plan; its map-side half collapses the copies of a hot row.
     """
     columns = df.columns
     digested = df.withColumn("_digest", F.xxhash64(*columns))
-    repeated = digested.groupBy("_digest").count().filter("count > 1").select("_digest")
-    alone = digested.join(repeated, "_digest", "left_anti").select(*columns)
-    copies = digested.join(repeated, "_digest", "left_semi").select(*columns).distinct()
+    repeated = durable(digested.groupBy("_digest").count().filter("count > 1").select("_digest"))
+    found = repeated.count()
+    if found == 0:
+        return df
+    if found > MOST_BROADCAST_DIGESTS:
+        return df.distinct()
+    few = F.broadcast(repeated)
+    alone = digested.join(few, "_digest", "left_anti").select(*columns)
+    copies = digested.join(few, "_digest", "left_semi").select(*columns).distinct()
     return alone.unionByName(copies)

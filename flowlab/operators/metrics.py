@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.operators.ranking import cut_points, default_buckets, running_totals
+from flowlab.sources.storage import durable
 
 # The names and the order of the reported metrics.
 METRICS = ("accuracy", "precision", "recall", "f1", "auc_roc")
@@ -83,7 +84,11 @@ def weighted_metrics(cells: DataFrame) -> DataFrame:
 
 
 def score_counts(scored: DataFrame, score: str) -> DataFrame:
-    """(model, score, p, n): positives and negatives at each score, equal scores in one row."""
+    """(model, score, p, n): positives and negatives at each score, equal scores in one row.
+
+    Curve and area read this several times, so they store it first: the scored table, which may
+    still have to be scored, is scanned and shuffled once.
+    """
     positive = F.col("label") > 0.5
     return (
         scored.filter(F.col(score).isNotNull())
@@ -92,11 +97,9 @@ def score_counts(scored: DataFrame, score: str) -> DataFrame:
     )
 
 
-def _ranked_scores(scored: DataFrame, score: str, peek: list[str] | None = None) -> DataFrame:
-    cuts = cut_points(scored, score, default_buckets(scored))
-    return running_totals(
-        score_counts(scored, score), ["model"], "score", ["p", "n"], cuts, descending=True, peek=peek
-    )
+def _ranked(counts: DataFrame, peek: list[str] | None = None) -> DataFrame:
+    cuts = cut_points(counts, "score", default_buckets(counts))
+    return running_totals(counts, ["model"], "score", ["p", "n"], cuts, descending=True, peek=peek)
 
 
 def roc_points(scored: DataFrame, score: str, drop_collinear: bool = True) -> DataFrame:
@@ -106,13 +109,14 @@ def roc_points(scored: DataFrame, score: str, drop_collinear: bool = True) -> Da
     point excepted: the curve and its area stay the same. The start point has no score. A rate
     over an absent class is NULL.
     """
-    ranked = _ranked_scores(scored, score, ["p", "n"]).withColumnsRenamed({"p_so_far": "tp", "n_so_far": "fp"})
+    counts = durable(score_counts(scored, score))
+    ranked = _ranked(counts, ["p", "n"]).withColumnsRenamed({"p_so_far": "tp", "n_so_far": "fp"})
     if drop_collinear:
         first = (F.col("tp") == F.col("p")) & (F.col("fp") == F.col("n"))
         last = F.col("p_next").isNull()
         bends = (F.col("p_next") != F.col("p")) | (F.col("n_next") != F.col("n"))
         ranked = ranked.filter(first | last | bends)
-    totals = _class_totals(scored)
+    totals = counts.groupBy("model").agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     zero = F.lit(0).cast("bigint")
     start = totals.select(
         "model", F.lit(None).cast(ranked.schema["score"].dataType).alias("score"), zero.alias("tp"), zero.alias("fp")
@@ -128,13 +132,6 @@ def roc_points(scored: DataFrame, score: str, drop_collinear: bool = True) -> Da
     )
 
 
-def _class_totals(scored: DataFrame) -> DataFrame:
-    positive = F.col("label") > 0.5
-    return scored.groupBy("model").agg(
-        F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
-    )
-
-
 def auc_exact(scored: DataFrame, score: str) -> DataFrame:
     """(model, auc_roc): area under the full ROC curve by trapezoids, ties counted half.
 
@@ -143,7 +140,7 @@ def auc_exact(scored: DataFrame, score: str) -> DataFrame:
     """
     whole = "decimal(19,0)"
     doubled = F.col("n").cast(whole) * (2 * F.col("p_so_far") - F.col("p")).cast(whole)
-    sums = _ranked_scores(scored, score).groupBy("model").agg(
+    sums = _ranked(durable(score_counts(scored, score))).groupBy("model").agg(
         F.sum(doubled).alias("area"), F.sum("p").alias("p"), F.sum("n").alias("n")
     )
     square = 2.0 * F.col("p").cast("double") * F.col("n").cast("double")

@@ -35,11 +35,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/flowlab-{uuid.uuid4().hex}/{name}"
 
 
+def name_checkpoint_folder(spark: SparkSession) -> None:
+    """Point Spark's checkpoints at the shared folder, unless the session already did."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written once to shared storage: computed a single time, and safe from lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+    name_checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

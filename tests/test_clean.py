@@ -81,7 +81,10 @@ def test_identifiers_stay_text_unless_told_otherwise(spark, sf_dir):
     assert as_numbers.filter("flow_id IS NOT NULL").isEmpty()
 
 
-def test_dedup_equals_distinct(spark):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_dedup_equals_distinct(spark, monkeypatch, most):
+    """With the repeated digests broadcast, and with too many of them for that."""
+    monkeypatch.setattr(clean, "MOST_BROADCAST_DIGESTS", most)
     nan = float("nan")
     unique = [(i, float(i), None if i % 3 else "x") for i in range(200)]
     hot = [(7, nan, None)] * 150
