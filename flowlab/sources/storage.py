@@ -6,28 +6,18 @@ object store.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-@lru_cache(maxsize=1)
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="flowlab-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only in local mode."""
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, one in the warehouse."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return _local_scratch()
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/flowlab-scratch"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -35,16 +25,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/flowlab-{uuid.uuid4().hex}/{name}"
 
 
-def name_checkpoint_folder(spark: SparkSession) -> None:
-    """Point Spark's checkpoints at the shared folder, unless the session already did."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written once to shared storage: computed a single time, and safe from lost executors."""
-    name_checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+def durable(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once to shared storage as Parquet and read back: computed a single time, read
+    column by column, and safe from lost executors."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
