@@ -25,6 +25,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/flowlab-{uuid.uuid4().hex}/{name}"
 
 
+def name_checkpoint_folder(spark: SparkSession) -> None:
+    """Point Spark's own checkpoints at the shared folder, unless the session already did."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written once to shared storage as Parquet and read back: computed a single time, read
     column by column, and safe from lost executors."""
