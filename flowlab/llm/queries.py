@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import byte_bpe, exact_dedup, mixing, token_counts
+from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, simhash, token_counts
+from flowlab.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, most_bits=2)
+    digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
+    return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *bpe_files())
@@ -33,6 +41,15 @@ def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder("doc_id", 4) == 2
+    profiles = language_id.learn(docs.filter(~held_out))
+    predicted = language_id.predict(docs.select("doc_id", "text"), profiles)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
