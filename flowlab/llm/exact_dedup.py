@@ -24,8 +24,13 @@ from pyspark.sql import functions as F
 from flowlab.llm.common import join_narrow, text_or_empty, whole_row
 from flowlab.sources.storage import durable, new_folder
 
-STATE_SETTING = "spark.sql.streaming.stateStore.providerClass"
-STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State lies on disk, and small state takes little of it: no space is allocated in advance.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 #: Hits are first narrowed by a table of this many slots. A slot without a repeated digest shows
 #: that a text is unique, and its bytes need not move; full slots only cost a wider shuffle.
@@ -75,8 +80,9 @@ def track(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> None
     def store(updates: DataFrame, batch: int) -> None:
         updates.write.mode("overwrite").parquet(f"{folder}/updates/batch={batch}")
 
-    before = spark.conf.get(STATE_SETTING)
-    spark.conf.set(STATE_SETTING, STATE_ON_DISK)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         query = (
             seen.writeStream.outputMode("update")
@@ -86,7 +92,11 @@ def track(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> None
             .start()
         )
     finally:
-        spark.conf.set(STATE_SETTING, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     query.awaitTermination()
 
 
