@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, simhash, token_counts
+from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, nn_descent, simhash, token_counts
 from flowlab.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
