@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, nn_descent, simhash, token_counts
+from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, nn_descent, simhash, token_counts, warc_zstd
 from flowlab.llm.common import crc_remainder
+from flowlab.sources.storage import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc_zstd.write(table(spark, sf_dir, "pages"), path, least_bytes=100)
+    back = warc_zstd.read(spark, path)
+    return back.select(
+        F.col("id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+ORACLES["op1_warc"] = """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+placed AS (SELECT *, strlen(payload) AS bytes, min(page_id) OVER (PARTITION BY payload) AS first FROM sized)
+SELECT page_id, bytes::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN bytes >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM placed
+"""
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, most_bits=2)
