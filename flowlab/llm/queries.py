@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import byte_bpe, exact_dedup, language_id, license_join, mixing, nn_descent, simhash, token_counts, warc_zstd
+from flowlab.llm import byte_bpe, exact_dedup, katz, language_id, license_join, mixing, nn_descent, simhash, token_counts, warc_zstd
 from flowlab.llm.common import crc_remainder
 from flowlab.sources.storage import new_folder
 
@@ -57,6 +57,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), folds=10, held_out_fold=0).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
