@@ -184,10 +184,17 @@ def learn(
     return Profiles(languages, prototypes, seed)
 
 
-def predict(docs: DataFrame, profiles: Profiles, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1)."""
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    kept = [f for f in docs.schema.fields if f.name.lower() not in ("lang_pred", "score") or f.name == text_col]
+def predict(
+    docs: DataFrame,
+    profiles: Profiles,
+    *,
+    text_col: str = "text",
+    lang_out: str = "lang_pred",
+    score_out: str = "score",
+) -> DataFrame:
+    """``docs`` with the language and its cosine (0 to 1)."""
+    added = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())]
+    kept = [f for f in docs.schema.fields if f.name not in (lang_out, score_out)]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +205,7 @@ def predict(docs: DataFrame, profiles: Profiles, *, text_col: str = "text") -> D
                 columns = [part.column(n) for n in names]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    [*names, "lang_pred", "score"],
+                    [*names, lang_out, score_out],
                 )
 
     return docs.mapInArrow(run, T.StructType([*kept, *added]))
