@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.llm.common import join_narrow, text_or_empty, whole_row
-from flowlab.sources.storage import durable, new_folder
+from flowlab.sources.storage import durable, exists, new_folder
 
 #: State lies on disk, and small state takes little of it: no space is allocated in advance.
 STATE_SETTINGS = {
@@ -52,11 +52,14 @@ def admit(
 ) -> None:
     """Append ``docs`` to the content store in ``folder``; with_rows keeps all their columns."""
     text = text_or_empty(text_col)
+    spark, first = docs.sparkSession, 0
+    if exists(spark, f"{folder}/content"):
+        first = (content(spark, folder).agg(F.max("place")).first()[0] or -1) + 1
     stored = docs.select(
         F.col(id_col).alias("id"),
         digest(text).alias("digest"),
         text.alias("text"),
-        F.monotonically_increasing_id().alias("place"),
+        (F.monotonically_increasing_id() + first).alias("place"),
         *([whole_row(docs).alias("row")] if with_rows else []),
     )
     stored.write.mode("append").parquet(f"{folder}/content")

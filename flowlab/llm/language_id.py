@@ -2,13 +2,13 @@
 
 Every letter has a random vector of +1 and -1. An n-gram's vector binds (multiplies) its letters'
 vectors, each permuted (rotated) by its place; a text's vector bundles (adds) those of its n-grams,
-and a language's prototype those of its training texts. A text gets the language whose prototype has
-the largest cosine.
+and a language's prototype the vectors of its training texts at equal length, so that one long text
+weighs no more than a short one. A text gets the language whose prototype has the largest cosine.
 
 Letters are the characters for which ``str.isalpha`` holds, in simple lower case. Everything between
 two words counts as one space, and a text begins and ends with one, so n-grams know word ends.
 
-Bundling is a sum of whole numbers: any order, partition or retry gives the same prototypes. Each
+Bundles are sums of whole numbers (texts' vectors are rounded to a grid of 2**-20): any order, partition or retry gives the same prototypes. Each
 task bundles its own texts, so what is shuffled is one vector per task and language, and the driver
 gets one per language. Long texts are read in pieces and lose no n-gram.
 
@@ -37,6 +37,7 @@ SEED = 42
 UNDETERMINED = "und"
 #: Characters read, and texts handled, at a time.
 PIECE = 1 << 18
+GRID = 1 << 20
 TEXTS = 256
 
 
@@ -125,6 +126,12 @@ def bundles(owners: list[int], texts: list[str | None], count: int, dims: int, s
     return total
 
 
+def on_grid(vectors: np.ndarray) -> np.ndarray:
+    """Vectors at equal length in whole numbers; zero stays zero."""
+    lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.rint(vectors * (GRID / np.where(lengths > 0, lengths, 1))).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Profiles:
     """Languages in order of code points and their prototypes, one row each."""
@@ -164,13 +171,11 @@ def learn(
             for start in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(start, TEXTS)
                 langs = part.column("lang").to_pylist()
-                names = sorted(set(langs))
-                owners = list(map(names.index, langs))
-                made = bundles(owners, part.column("text").to_pylist(), len(names), dims, seed)
-                for name, vector in zip(names, made, strict=True):
-                    sums[name] = sums.get(name, 0) + vector
+                made = bundles(list(range(len(langs))), part.column("text").to_pylist(), len(langs), dims, seed)
+                for lang, vector in zip(langs, on_grid(made), strict=True):
+                    sums[lang] = sums.get(lang, 0) + vector
         if sums:
-            vectors = [v.astype(np.int64).tolist() for v in sums.values()]
+            vectors = [v.tolist() for v in sums.values()]
             yield pa.record_batch([pa.array(list(sums)), pa.array(vectors, pa.list_(pa.int64()))], ["lang", "vector"])
 
     per_task = labelled.filter("lang IS NOT NULL").mapInArrow(bundle, "lang string, vector array<bigint>")
