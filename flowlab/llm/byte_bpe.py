@@ -33,7 +33,8 @@ from flowlab.llm.common import SAFE_PLACE
 
 WORD_BITS = 256
 #: Encodings that a worker remembers; a full memory starts anew. It changes no result.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED_WORDS = 900_000
+MOST_REMEMBERED_PIECES = 300_000
 LONGEST_REMEMBERED = 64
 #: Texts handled at a time, in bytes.
 SLICE_BYTES = 8 << 20
@@ -79,14 +80,14 @@ class RankQueue:
 class Memory(dict):
     """What a function returned for short strings; full, it starts anew."""
 
-    def __init__(self, function):
+    def __init__(self, function, most: int):
         super().__init__()
-        self.function = function
+        self.function, self.most = function, most
 
     def __missing__(self, key: str) -> bytes:
         ids = self.function(key)
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= MOST_REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = ids
         return ids
@@ -102,8 +103,8 @@ class ByteBpe:
         self.vocabulary = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
-        self.words = Memory(self.word)
-        self.after_space = Memory(lambda piece: self.piece(" " + piece))
+        self.words = Memory(self.word, MOST_REMEMBERED_WORDS)
+        self.after_space = Memory(lambda piece: self.piece(" " + piece), MOST_REMEMBERED_PIECES)
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of one pre-token: always merges the pair of least rank, the leftmost first."""
@@ -176,17 +177,23 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(ranks, pattern)
 
 
-def _mapped(df: DataFrame, column: str, added: str, convert) -> DataFrame:
-    """``df`` with a binary column made from each Arrow batch's column, a slice of bytes at a time."""
-    kept = [f for f in df.schema.fields if f.name != added]
-    schema = T.StructType([*kept, T.StructField(added, T.BinaryType(), False)])
+def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
+    """``df`` with binary columns, each made from the one before, the first from ``column``.
+
+    Works on each Arrow batch a slice of bytes at a time.
+    """
+    kept = [f for f in df.schema.fields if f.name not in added]
+    names = [f.name for f in kept]
+    schema = T.StructType([*kept, *(T.StructField(name, T.BinaryType(), False) for name in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, column):
-                values = pa.array([convert(v) for v in part.column(column).to_pylist()], pa.binary())
-                rest = [n for n in part.schema.names if n != added]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in rest), values], [*rest, added])
+                values, made = part.column(column).to_pylist(), []
+                for convert in added.values():
+                    values = list(map(convert, values))
+                    made.append(pa.array(values, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, *added])
 
     return df.mapInArrow(run, schema)
 
@@ -205,21 +212,34 @@ def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit numbers in one binary."""
-    return _mapped(docs, text_col, ids_col, lambda text: coder(path, pattern).encode(text) if text else b"")
+    return _mapped(docs, text_col, {ids_col: lambda text: coder(path, pattern).encode(text or "")})
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that each row's ids stand for."""
-    return _mapped(encoded, ids_col, out_col, lambda ids: coder(path, pattern).decode(ids) if ids else b"")
+    return _mapped(encoded, ids_col, {out_col: lambda ids: coder(path, pattern).decode(ids or b"")})
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
+) -> DataFrame:
+    """``docs`` encoded and decoded again by the same workers, so that texts reach Python once."""
+    return _mapped(
+        docs,
+        text_col,
+        {
+            ids_col: lambda text: coder(path, pattern).encode(text or ""),
+            out_col: lambda ids: coder(path, pattern).decode(ids),
+        },
+    )
 
 
 def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, number of ids, SHA-256 of the ids and of the bytes they decode to."""
-    encoded = encode(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), path, pattern)
-    decoded = decode(encoded.select("id", "ids"), path, pattern)
-    return decoded.select(
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return round_trip(rows, path, pattern).select(
         F.col("id").alias(id_col),
-        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
