@@ -48,7 +48,7 @@ from flowlab.sources.storage import durable, new_folder
 
 END = b"\n"  # no word has white space in it
 MOST_DISCOUNTED = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Words, and bigrams, that a part is meant to have; the numbers of parts follow from the corpus.
 PART_WORDS = 1 << 20
 PART_PAIRS = 1 << 21
@@ -89,7 +89,7 @@ def discounts(counts_of_counts: list[int]) -> np.ndarray:
     half a count is taken off. Counts above the limit keep all.
     """
     n = [0, *counts_of_counts]
-    for limit in range(MOST_DISCOUNTED, 0, -1):
+    for limit in range(MOST_DISCOUNTED, 1, -1):
         if min(n[1 : limit + 2]) > 0:
             common = (limit + 1) * n[limit + 1] / n[1]
             found = [((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common) if common != 1 else 0 for r in range(1, limit + 1)]
