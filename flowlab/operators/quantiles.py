@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from decimal import ROUND_CEILING, Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.functions.values import not_nan
 from flowlab.operators.ranking import cut_points, default_buckets, running_totals
-from flowlab.operators.sketches import ERROR, sketched_quantiles
+from flowlab.operators.sketches import ERROR, size_for, sketched_quantiles
 from flowlab.sources.storage import durable
 
-COLUMNS_PER_SKETCH = 32
 BRACKETS_PER_SCAN = 32
 EVERYTHING = (float("-inf"), float("inf"))
 
@@ -25,13 +25,13 @@ def approximate_quantiles(
     The error must be smaller than the distance of every probability from 0 and 1: at or above
     it, the sketch may answer with the minimum or the maximum, and capping there caps nothing.
     Columns are sketched in groups, so what a merge holds does not grow with the table's width.
+    A column with fewer rows than the sketch's size is answered exactly; beyond that, another run
+    may answer with another value inside the error.
     """
     check_error(probabilities, rel_error)
-    found: dict[str, list[float]] = {}
-    for i in range(0, len(columns), COLUMNS_PER_SKETCH):
-        group = columns[i : i + COLUMNS_PER_SKETCH]
-        found.update(zip(group, df.approxQuantile(group, probabilities, rel_error), strict=True))
-    return found
+    values = df.select(*(not_nan(F.col(c).cast("double")).alias(c) for c in columns))
+    found = sketched_quantiles(values, columns, probabilities, size_for(rel_error))
+    return {c: found.get(c, []) for c in columns}
 
 
 def check_error(probabilities: list[float], rel_error: float) -> None:
@@ -56,31 +56,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     if not targets:
         return spark.createDataFrame([], empty)
 
-    inside = (
-        values.select(
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        *(
-                            F.when(
-                                F.col(c).between(lo, hi),
-                                F.struct(
-                                    F.lit(c).alias("column"),
-                                    F.lit(p).alias("probability"),
-                                    F.col(c).alias("value"),
-                                ),
-                            )
-                            for (c, p), (lo, hi, _) in targets.items()
-                        )
-                    )
-                )
-            ).alias("hit")
-        )
-        .groupBy("hit")
-        .agg(F.count("*").alias("n"))
-        .select("hit.*", "n")
-    )
-    inside = durable(inside)
+    entries = list(targets.items())
+    groups = [entries[i : i + BRACKETS_PER_SCAN] for i in range(0, len(entries), BRACKETS_PER_SCAN)]
+    inside = durable(reduce(DataFrame.union, (_inside(values, group) for group in groups)), "inside")
     cuts = cut_points(inside, "value", default_buckets(inside))
     ranked = running_totals(inside, ["column", "probability"], "value", ["n"], cuts)
     wanted = spark.createDataFrame(
@@ -95,6 +73,22 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     )
 
 
+def _inside(values: DataFrame, targets: list) -> DataFrame:
+    """(column, probability, value, n): how often each value lies in a bracket of its column.
+
+    Each group of brackets is a scan of its own columns and an expression of bounded size.
+    """
+    hits = (
+        F.when(
+            F.col(c).between(lo, hi),
+            F.struct(F.lit(c).alias("column"), F.lit(p).alias("probability"), F.col(c).alias("value")),
+        )
+        for (c, p), (lo, hi, _) in targets
+    )
+    rows = values.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+    return rows.groupBy("hit").agg(F.count("*").alias("n")).select("hit.*", "n")
+
+
 def _ranked_brackets(
     values: DataFrame, columns: list[str], probabilities: list[float]
 ) -> dict[tuple[str, float], tuple[float, float, int]]:

@@ -12,17 +12,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.operators.sketches import sketched_quantiles
+from flowlab.operators.sketches import LARGEST, SIZE, sketched_quantiles
 
 BUCKET = "_bucket"
 
 
-MOST_RANGES = 1000
-
-
 def default_buckets(df: DataFrame) -> int:
-    """Two ranges per shuffle partition keep the partitions even; a sketch resolves about 1000."""
-    return min(MOST_RANGES, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Two ranges per shuffle partition keep the partitions even, however many there are."""
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
@@ -33,7 +30,8 @@ def cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
     if buckets < 2:
         return []
     steps = [i / buckets for i in range(1, buckets)]
-    return sorted(set(sketched_quantiles(df, [column], steps).get(column, [])))
+    size = min(LARGEST, max(SIZE, 4 * buckets))  # several steps of the sketch per range
+    return sorted(set(sketched_quantiles(df, [column], steps, size).get(column, [])))
 
 
 def with_bucket(df: DataFrame, column: str, cuts: list[float]) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlab.operators import quantiles, ranking
+from flowlab.operators import quantiles, ranking, sketches
 from flowlab.operators.quantiles import exact_quantiles
 
 P = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
@@ -45,6 +45,19 @@ def test_holds_when_the_sketch_is_wrong(spark, monkeypatch):
     assert found == {0.1: 49.0, 0.9: 449.0}
 
 
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_default_bounds_stay_inside_the_error(spark, monkeypatch, partitions):
+    """Sketches merged in several steps; ranks checked against the sorted values."""
+    monkeypatch.setattr(sketches, "FAN_IN", 3)
+    rows = spark.range(200_000).select(F.pow(F.rand(7), F.lit(3)).alias("x"), (F.col("id") % 5).alias("few"))
+    rows = rows.repartition(partitions)
+    values = {c: np.sort([float(r[0]) for r in rows.select(c).collect()]) for c in rows.columns}
+    for column, found in quantiles.approximate_quantiles(rows, rows.columns, [0.01, 0.5, 0.99], 0.002).items():
+        for p, v in zip([0.01, 0.5, 0.99], found, strict=True):
+            low, high = (np.searchsorted(values[column], v, side) / len(values[column]) for side in ("left", "right"))
+            assert low <= p + 0.002 and high >= p - 0.002
+
+
 def test_empty_table_and_empty_column(spark):
     rows = spark.createDataFrame([(None, 1.0)], "none double, x double")
     assert [tuple(r) for r in exact_quantiles(rows, ["none", "x"], [0.5]).collect()] == [("x", 0.5, 1.0)]
