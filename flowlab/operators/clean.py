@@ -23,7 +23,8 @@ NON_NEGATIVE = (
     "packets_rate",
 )
 LABEL = "label"
-MOST_BROADCAST_DIGESTS = 1_000_000  # 8 bytes each
+#: Slots that tell where digests repeat: a table of at most this many rows of 8 bytes.
+SLOTS = 2**20
 
 
 def measure_columns(df: DataFrame, label: str = LABEL, ids: Iterable[str] = ID_COLUMNS) -> list[str]:
@@ -87,23 +88,21 @@ def clean_flows(
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Exact whole-row ``distinct`` that shuffles whole rows only where a digest repeats.
-
-    A wide table has few repeated rows, so only an 8-byte digest per row is shuffled for all rows,
-    and the digests that repeat are stored and counted. If there are few, they are broadcast: rows
-    with another digest pass as they are, and the copies go through a real distinct, so a digest
-    collision costs a little work and never a row. If there are many, a plain distinct of the
-    whole table is the better plan; its map-side half collapses the copies of a hot row.
+    """Exact whole-row ``distinct`` that shuffles whole rows only where a digest may repeat.
+
+    The rows are stored once with their digest, so what made them runs once. Counting digests then
+    reads and shuffles 8 bytes a row. A digest that occurs twice marks one of ``SLOTS`` slots; rows
+    of unmarked slots have no copy and pass as they are, and the others go through a real distinct,
+    whose map side collapses the copies of a hot row. A shared slot or digest costs a little work
+    and never a row. The marks have a fixed size and are broadcast, so the plan is the same for any
+    table; where copies are so many that all slots are marked, it is a plain distinct.
     """
     columns = df.columns
-    digested = df.withColumn("_digest", F.xxhash64(*columns))
-    repeated = durable(digested.groupBy("_digest").count().filter("count > 1").select("_digest"))
-    found = repeated.count()
-    if found == 0:
-        return df
-    if found > MOST_BROADCAST_DIGESTS:
-        return df.distinct()
-    few = F.broadcast(repeated)
-    alone = digested.join(few, "_digest", "left_anti").select(*columns)
-    copies = digested.join(few, "_digest", "left_semi").select(*columns).distinct()
+    digested = durable(df.withColumn("_digest", F.xxhash64(*columns)), "digested")
+    slot = F.pmod("_digest", F.lit(SLOTS)).alias("_slot")
+    repeated = digested.groupBy("_digest").count().filter("count > 1")
+    marked = F.broadcast(durable(repeated.select(slot).distinct(), "marked"))
+    placed = digested.select(*columns, slot)
+    alone = placed.join(marked, "_slot", "left_anti").select(*columns)
+    copies = placed.join(marked, "_slot", "left_semi").select(*columns).distinct()
     return alone.unionByName(copies)

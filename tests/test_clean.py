@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import math
 
 import pytest
@@ -81,10 +83,10 @@ def test_identifiers_stay_text_unless_told_otherwise(spark, sf_dir):
     assert as_numbers.filter("flow_id IS NOT NULL").isEmpty()
 
 
-@pytest.mark.parametrize("most", [0, 1_000_000])
-def test_dedup_equals_distinct(spark, monkeypatch, most):
-    """With the repeated digests broadcast, and with too many of them for that."""
-    monkeypatch.setattr(clean, "MOST_BROADCAST_DIGESTS", most)
+@pytest.mark.parametrize("slots", [1, 3, 2**20])
+def test_dedup_equals_distinct(spark, monkeypatch, slots):
+    """With a slot for every repeated digest, and with slots so few that all are marked."""
+    monkeypatch.setattr(clean, "SLOTS", slots)
     nan = float("nan")
     unique = [(i, float(i), None if i % 3 else "x") for i in range(200)]
     hot = [(7, nan, None)] * 150
@@ -100,6 +102,18 @@ def test_dedup_equals_distinct(spark, monkeypatch, most):
     assert {k for k in found if "0.0" not in k} == {k for k in expected if "0.0" not in k}
 
 
+@pytest.mark.parametrize("repeated", [0, 20, 2000])
+def test_dedup_has_one_plan(spark, repeated):
+    rows = spark.range(20_000).unionByName(spark.range(repeated)).withColumn("x", F.col("id") * 2)
+    found = clean.drop_duplicate_rows(rows)
+    plan = re.sub(r"#\d+L?|\[[^]]*\]|flowlab-\w+|\d+", "", found._jdf.queryExecution().optimizedPlan().toString())
+    assert found.count() == rows.distinct().count() == 20_000
+    assert plan == PLANS.setdefault("dedup", plan)
+
+
+PLANS: dict[str, str] = {}
+
+
 def test_dedup_of_nothing(spark):
     assert clean.drop_duplicate_rows(spark.createDataFrame([], "a int, b string")).count() == 0
 
