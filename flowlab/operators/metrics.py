@@ -83,16 +83,71 @@ def weighted_metrics(cells: DataFrame) -> DataFrame:
     )
 
 
+def _usable(score: str) -> Column:
+    """The score, or NULL where it is NULL or NaN: no threshold can place such a row."""
+    value = F.col(score)
+    return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), value)
+
+
+def score_coverage(scored: DataFrame, score: str) -> DataFrame:
+    """(model, rows, scored, null_scores, nan_scores): the rows that curve and area rest on, and the
+    others, which only the confusion counts include."""
+    value = F.col(score)
+    return scored.groupBy("model").agg(
+        F.count("*").alias("rows"),
+        F.count(_usable(score)).alias("scored"),
+        F.count_if(value.isNull()).alias("null_scores"),
+        F.count_if(F.isnan(value.cast("double"))).alias("nan_scores"),
+    )
+
+
+def outcome_counts(scored: DataFrame, score: str) -> DataFrame:
+    """(model, label, prediction, score, count): all that the metrics need to know of the rows.
+
+    One scan and one shuffle; hot scores are added up before it. Confusion counts and score counts
+    are sums of these rows.
+    """
+    return (
+        scored.groupBy(
+            "model",
+            F.col("label").cast("double").alias("label"),
+            F.col("prediction").cast("double").alias("prediction"),
+            _usable(score).alias("score"),
+        )
+        .count()
+    )
+
+
+def confusion_of(outcomes: DataFrame) -> DataFrame:
+    """(model, label, prediction, count) from ``outcome_counts``."""
+    return outcomes.groupBy("model", "label", "prediction").agg(F.sum("count").alias("count"))
+
+
+def score_counts_of(outcomes: DataFrame) -> DataFrame:
+    """(model, score, p, n) from ``outcome_counts``; rows without a usable score are left out."""
+    positive = F.col("label") > 0.5
+    return (
+        outcomes.filter(F.col("score").isNotNull())
+        .groupBy("model", "score")
+        .agg(
+            F.sum(F.when(positive, F.col("count")).otherwise(0)).alias("p"),
+            F.sum(F.when(~positive, F.col("count")).otherwise(0)).alias("n"),
+        )
+    )
+
+
 def score_counts(scored: DataFrame, score: str) -> DataFrame:
     """(model, score, p, n): positives and negatives at each score, equal scores in one row.
 
-    Curve and area read this several times, so they store it first: the scored table, which may
-    still have to be scored, is scanned and shuffled once.
+    Rows without a score, NULL or NaN, are left out; ``score_coverage`` counts them. Curve and area
+    read this several times, so they store it first: the scored table, which may still have to be
+    scored, is scanned and shuffled once.
     """
     positive = F.col("label") > 0.5
     return (
-        scored.filter(F.col(score).isNotNull())
-        .groupBy("model", F.col(score).alias("score"))
+        scored.withColumn("_usable", _usable(score))
+        .filter("_usable IS NOT NULL")
+        .groupBy("model", F.col("_usable").alias("score"))
         .agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
     )
 
@@ -109,7 +164,7 @@ def roc_points(scored: DataFrame, score: str, drop_collinear: bool = True) -> Da
     point excepted: the curve and its area stay the same. The start point has no score. A rate
     over an absent class is NULL.
     """
-    counts = durable(score_counts(scored, score))
+    counts = durable(score_counts(scored, score), "scores")
     ranked = _ranked(counts, ["p", "n"]).withColumnsRenamed({"p_so_far": "tp", "n_so_far": "fp"})
     if drop_collinear:
         first = (F.col("tp") == F.col("p")) & (F.col("fp") == F.col("n"))
@@ -138,9 +193,14 @@ def auc_exact(scored: DataFrame, score: str) -> DataFrame:
     The doubled area is summed in whole numbers, as decimals: with 10^12 rows it passes a
     bigint. NULL where a model saw one class only.
     """
+    return area_of(durable(score_counts(scored, score), "scores"))
+
+
+def area_of(counts: DataFrame) -> DataFrame:
+    """(model, auc_roc) from stored score counts."""
     whole = "decimal(19,0)"
     doubled = F.col("n").cast(whole) * (2 * F.col("p_so_far") - F.col("p")).cast(whole)
-    sums = _ranked(durable(score_counts(scored, score))).groupBy("model").agg(
+    sums = _ranked(counts).groupBy("model").agg(
         F.sum(doubled).alias("area"), F.sum("p").alias("p"), F.sum("n").alias("n")
     )
     square = 2.0 * F.col("p").cast("double") * F.col("n").cast("double")
@@ -162,11 +222,16 @@ def auc_binned(scored: DataFrame, score: str, bins: int = 1000) -> DataFrame:
 
 
 def metrics_long(scored: DataFrame, score: str) -> DataFrame:
-    """(model, metric, value) with all of ``METRICS`` for every model."""
+    """(model, metric, value) with all of ``METRICS`` for every model, from one scan of the rows."""
+    return metrics_of(durable(outcome_counts(scored, score), "outcomes"))
+
+
+def metrics_of(outcomes: DataFrame) -> DataFrame:
+    """(model, metric, value) from stored ``outcome_counts``."""
     four = [m for m in METRICS if m != "auc_roc"]
-    weighted = weighted_metrics(confusion(scored)).unpivot(["model"], four, "metric", "value")
-    area = auc_exact(scored, score).select("model", F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value"))
-    return weighted.unionByName(area)
+    weighted = weighted_metrics(confusion_of(outcomes)).unpivot(["model"], four, "metric", "value")
+    area = area_of(durable(score_counts_of(outcomes), "scores"))
+    return weighted.unionByName(area.select("model", F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value")))
 
 
 def metrics_wide(metrics: DataFrame, digits: int | None = None) -> DataFrame:
@@ -206,3 +271,13 @@ def short_name(model: Column) -> Column:
 def slug(model: Column) -> Column:
     """The model's name as a file name: lower case, blanks to underscores, no hyphens."""
     return F.replace(F.replace(F.lower(model), F.lit(" "), F.lit("_")), F.lit("-"), F.lit(""))
+
+
+def recall_by_class(scored: DataFrame, original: str = "label_original") -> DataFrame:
+    """(model, class, rows, found, recall): the share of each original class that was called right."""
+    right = F.col("label").cast("double") == F.col("prediction").cast("double")
+    return (
+        scored.groupBy("model", F.col(original).alias("class"))
+        .agg(F.count("*").alias("rows"), F.count_if(right).alias("found"))
+        .withColumn("recall", F.col("found") / F.col("rows"))
+    )

@@ -137,6 +137,23 @@ def test_roc_equals_brute_force(spark, distinct):
     assert kept == len({s for s, _ in pairs}) + 1
 
 
+def test_odd_scores_are_counted_and_not_ranked(spark):
+    data = [("m", float(i % 2), 1.0, s) for i, s in enumerate([0.1, 0.9, None, float("nan"), 0.4, 0.8, float("nan")])]
+    rows = spark.createDataFrame(data * 30, "model string, label double, prediction double, score double").repartition(4)
+    assert [tuple(r) for r in metrics.score_coverage(rows, "score").collect()] == [("m", 210, 120, 30, 60)]
+    assert metrics.auc_exact(rows, "score").first().auc_roc == 1.0
+    assert metrics.roc_points(rows, "score").filter("score IS NOT NULL").count() > 0
+    found = {r.metric: r.value for r in metrics.metrics_long(rows, "score").collect()}
+    assert found["auc_roc"] == 1.0 and found["accuracy"] == pytest.approx(3 / 7)
+
+
+def test_recall_by_class(spark):
+    data = [("m", "a", 1.0, 1.0), ("m", "a", 1.0, 0.0), ("m", "b", 0.0, 0.0), ("m", None, 1.0, 1.0)]
+    rows = spark.createDataFrame(data, "model string, label_original string, label double, prediction double")
+    found = {r["class"]: (r.rows, r.found, r.recall) for r in metrics.recall_by_class(rows).collect()}
+    assert found == {"a": (2, 1, 0.5), "b": (1, 1, 1.0), None: (1, 1, 1.0)}
+
+
 def test_ties_name_every_best_model(spark):
     long = spark.createDataFrame([("b", "f1", 0.5), ("a", "f1", 0.5), ("c", "f1", 0.1)], "model string, metric string, value double")
     assert metrics.best_model(long).first()["model"] == "a"
