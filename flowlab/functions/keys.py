@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 
 def hash_percent(key: str, salt: str = "") -> Column:
-    """A bigint in [0, 100) from the first 32 bits of the key's md5."""
-    text = F.col(key).cast("string")
+    """A bigint in [0, 100) from the first 32 bits of the key's md5; a NULL key counts as empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
     if salt:
         text = F.concat(F.lit(salt), text)
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100

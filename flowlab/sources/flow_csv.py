@@ -37,21 +37,40 @@ def text_schema(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def check_headers(spark: SparkSession, path: str) -> None:
+    """Fail unless all files have the same header, padding aside. Reads the files as text, once."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    firsts = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    words = F.transform(F.split("line", ","), lambda w: F.trim(F.regexp_replace(F.trim(w), '^"|"$', "")))
+    kinds = firsts.groupBy(words.alias("words")).agg(F.min("file").alias("file")).limit(2).collect()
+    if len(kinds) > 1:
+        raise ValueError(f"headers differ: {kinds[0].words} in {kinds[0].file}, {kinds[1].words} in {kinds[1].file}")
+
+
 def read_flows(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
     """All CSV files under ``path`` as text columns, blanks around values removed.
 
-    The schema comes from one header line and not from inference, so the files are scanned only
-    when the result is used. Where the header is clean, Spark checks it against every file and
-    fails on a file with other columns; a padded or repeated header is bound by position.
-    ``keep_corrupt`` adds the raw text of rows with a wrong number of fields.
+    The schema comes from one header line and not from inference. Every file's header must be that
+    of the first, padding aside; a file with other columns, or the same in another order, fails.
+    Spark makes that check while it reads, if every column has its own name. With repeated names, or
+    with ``keep_corrupt``, which adds the raw text of rows with a wrong number of fields, columns
+    are bound by position and the headers are compared beforehand.
     """
     header = header_names(spark, path)
     names, kept = positional_names(header)
+    by_position = keep_corrupt or names != [name.strip() for name in header]
+    if by_position:
+        check_headers(spark, path)
     schema = text_schema([*names, CORRUPT] if keep_corrupt else names)
     rows = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", keep_corrupt or names != header)
+        .option("enforceSchema", by_position)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreLeadingWhiteSpace", True)

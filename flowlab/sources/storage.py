@@ -47,3 +47,26 @@ def exists(spark: SparkSession, path: str) -> bool:
 def complete(spark: SparkSession, path: str) -> bool:
     """True if a job finished writing ``path``; a half-written folder has no marker."""
     return exists(spark, f"{path}/_SUCCESS")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    if not exists(spark, path):
+        return None
+    return "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file over whatever is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def remove_marker(spark: SparkSession, path: str) -> None:
+    """Make a finished result count as unfinished before it is written anew."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, False)

@@ -29,14 +29,17 @@ def read_if_present(spark: SparkSession, path: str, schema: StructType) -> tuple
 
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Overwrite ``path``. With ``partition_by``, rows are first brought together by these columns, in
+    partitions of an even size: few files per directory, and several for a large one."""
+    by = list(partition_by)
+    rows = df.hint("rebalance", *by) if by else df
+    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """At least one partition per core, for a table that is about to be worked on many times.
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt out by key to ``spark.sql.shuffle.partitions`` even partitions.
 
-    A few small files would keep it on a few cores. A table with enough partitions, as any large
-    one has, stays where it is.
+    For a table that is about to be worked on many times: its layout then depends on its rows and
+    that setting, and neither on the files it came in nor on the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

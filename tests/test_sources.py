@@ -42,6 +42,40 @@ def test_a_file_with_other_columns_fails(spark, tmp_path):
         flow_csv.read_flows(spark, str(folder)).collect()
 
 
+@pytest.mark.parametrize("header", ["b,a,a", "a,b", "a,b,c", "a,a,b"])
+def test_repeated_names_do_not_switch_the_check_off(spark, tmp_path, header):
+    folder = tmp_path / "raw"
+    write(folder, "a.csv", " a,b,a \n1,2,3\n")
+    write(folder, "b.csv", f"{header}\n4,5,6\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        flow_csv.read_flows(spark, str(folder))
+
+
+def test_padding_does_not_switch_the_check_off(spark, tmp_path):
+    folder = tmp_path / "raw"
+    write(folder, "a.csv", " a , b\n1,2\n")
+    write(folder, "b.csv", "a,b \n3,4\n")
+    assert sorted(map(tuple, flow_csv.read_flows(spark, str(folder)).collect())) == [("1", "2"), ("3", "4")]
+    write(folder, "c.csv", "b,a\n5,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        flow_csv.read_flows(spark, str(folder)).collect()
+
+
+def test_kept_corrupt_rows_still_need_equal_headers(spark, tmp_path):
+    folder = tmp_path / "raw"
+    write(folder, "a.csv", "a,b\n1,2\n")
+    write(folder, "b.csv", "b,a\n1,2\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        flow_csv.read_flows(spark, str(folder), keep_corrupt=True)
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    rows = spark.range(0, 10_000, 1, 20).withColumn("k", F.col("id") % 3)
+    tables.write_table(rows, str(tmp_path / "out"), ["k"])
+    assert len(list((tmp_path / "out").glob("k=*/*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10_000
+
+
 def test_rows_with_a_wrong_field_count_are_kept_and_marked(spark, tmp_path):
     folder = tmp_path / "raw"
     write(folder, "a.csv", "a,b\n1,2\n3\n4,5,6\n")
