@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -12,13 +11,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.functions.keys import in_percent
 from flowlab.functions.vectors import class_probability
 from flowlab.sources.storage import name_checkpoint_folder
-from flowlab.sources.tables import spread
+from flowlab.sources.tables import dealt
 
 # The model names of the comparison, the share of training rows, and the settings
 # of each estimator (all others are MLlib's defaults).
@@ -87,6 +86,12 @@ def train_rf(train: DataFrame, **settings) -> Model:
 TRAINERS: dict[str, Callable[..., Model]] = {MODEL_LR: train_lr, MODEL_MLP: train_mlp, MODEL_RF: train_rf}
 
 
+def feature_importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame:
+    """(feature, importance) of a fitted forest, most important first; the importances add up to 1."""
+    rows = sorted(zip(names, map(float, model.featureImportances.toArray()), strict=True), key=lambda r: (-r[1], r[0]))
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
 def predict(model: Model, rows: DataFrame, name: str) -> DataFrame:
     """Scored rows in one schema for every model, lineage columns first.
 
@@ -106,13 +111,10 @@ def predict(model: Model, rows: DataFrame, name: str) -> DataFrame:
 def fit_and_predict(name: str, ml_ready: DataFrame, key: str = "flow_id", **settings) -> DataFrame:
     """Train the named model on the training split and score the test split.
 
-    The training rows are kept for the iterations, on disk where memory is short, and let go
-    after the fit; scoring reads the test rows lazily.
+    The estimators keep their own copy of the training rows for the iterations, so none is kept
+    here. Rows are dealt out by key: the same rows and settings add up in the same partitions.
+    Scoring reads the test rows lazily.
     """
     train, test = split(ml_ready, key)
-    train = spread(train, key).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = TRAINERS[name](train, **settings)
-    finally:
-        train.unpersist()
+    model = TRAINERS[name](dealt(train, key).select("features", "label"), **settings)
     return predict(model, test, name)

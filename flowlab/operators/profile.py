@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.functions.keys import in_percent
-from flowlab.functions.values import BENIGN, is_sentinel, not_nan
+from flowlab.functions.values import BENIGN, finite_or_null, is_sentinel
 
-COLUMNS_PER_SCAN = 32
+STATISTICS_PER_SCAN = 256
 HISTOGRAM_BINS = 50
 # The measures that exploration looks at, and the statistics of a description.
 EXPLORED = (
@@ -73,14 +73,16 @@ def _one_row(df: DataFrame, columns: list[str], stats: dict[str, Callable[[str],
         )
         return row.select(F.inline(F.array(*(F.col(f"c{i}") for i in range(len(group))))))
 
-    groups = [columns[i : i + COLUMNS_PER_SCAN] for i in range(0, len(columns), COLUMNS_PER_SCAN)]
+    width = max(1, STATISTICS_PER_SCAN // len(stats))
+    groups = [columns[i : i + width] for i in range(0, len(columns), width)]
     return reduce(DataFrame.unionByName, map(scan, groups))
 
 
-def null_profile(df: DataFrame, columns: list[str], top: int = 20) -> DataFrame:
-    """(column, null_count) of the columns with most NULLs, columns without any left out."""
+def null_profile(df: DataFrame, columns: list[str], top: int | None = None) -> DataFrame:
+    """(column, null_count), most NULLs first, columns without any left out; ``top`` keeps so many."""
     counts = _one_row(df, columns, {"null_count": lambda c: F.count_if(F.col(c).isNull())})
-    return counts.filter("null_count > 0").orderBy(F.desc("null_count"), "column").limit(top)
+    ordered = counts.filter("null_count > 0").orderBy(F.desc("null_count"), "column")
+    return ordered if top is None else ordered.limit(top)
 
 
 def sentinel_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -121,12 +123,18 @@ def estimated_distribution(df: DataFrame, column: str, key: str, percent: int =
 
 
 def _present(name: str) -> Column:
-    """A measure as a double, with NaN counted as missing."""
-    return not_nan(F.col(name).cast("double"))
+    """A measure as a double, with NaN and infinities counted as missing; see ``infinite_counts``."""
+    return finite_or_null(F.col(name).cast("double"))
+
+
+def infinite_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, infinite) of the columns with infinities, which no range or scaled value includes."""
+    infinite = lambda c: F.count_if(F.abs(F.col(c).cast("double")) == float("inf"))
+    return _one_row(df, columns, {"infinite": infinite}).filter("infinite > 0")
 
 
 def fit_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Smallest and largest value per column, NaN left out, on the driver: two numbers each."""
+    """Smallest and largest finite value per column, on the driver: two numbers each."""
     rows = _one_row(
         df,
         columns,
@@ -211,18 +219,32 @@ def log_histogram(df: DataFrame, columns: list[str], bins: int = HISTOGRAM_BINS)
     return counted.select("feature", F.posexplode(slots).alias("bin", "count"))
 
 
+def _against_previous(counts: DataFrame) -> DataFrame:
+    before = F.lag("rows").over(Window.partitionBy().orderBy("position"))  # one row per stage
+    return counts.withColumn("removed", before - F.col("rows")).withColumn(
+        "removed_percent", F.round(F.when(before > 0, 100 * F.col("removed") / before), 4)
+    )
+
+
 def reconcile(stages: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """(position, stage, rows, removed, removed_percent), each stage against the one before.
 
-    Over persisted stages every count comes from Parquet footers.
+    For stored stages, whose rows come from Parquet footers.
     """
     counts = [
         row_count(df).select(F.lit(i).alias("position"), F.lit(name).alias("stage"), "rows")
         for i, (name, df) in enumerate(stages)
     ]
-    before = F.lag("rows").over(Window.partitionBy().orderBy("position"))
-    return (
-        reduce(DataFrame.unionByName, counts)
-        .withColumn("removed", before - F.col("rows"))
-        .withColumn("removed_percent", F.round(F.when(before > 0, 100 * F.col("removed") / before), 4))
+    return _against_previous(reduce(DataFrame.unionByName, counts))
+
+
+def reconcile_rules(df: DataFrame, stages: Iterable[tuple[str, Column]]) -> DataFrame:
+    """As ``reconcile``, for stages that are rules about the rows of one table: one scan of it."""
+    named = list(stages)
+    row = df.agg(
+        *(
+            F.struct(F.lit(i).alias("position"), F.lit(name).alias("stage"), F.count_if(rule).alias("rows")).alias(f"s{i}")
+            for i, (name, rule) in enumerate(named)
+        )
     )
+    return _against_previous(row.select(F.inline(F.array(*(f"s{i}" for i in range(len(named)))))))

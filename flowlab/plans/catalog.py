@@ -7,21 +7,23 @@ tables into the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlab.functions.derived import LOGS, OVER_TOTALS, RATIOS, TOTALS
 from flowlab.functions.keys import in_percent
-from flowlab.operators import clean, features, metrics, models, profile
-from flowlab.operators.quantiles import exact_quantiles
+from flowlab.functions.values import no_negative
+from flowlab.operators import clean, features, metrics, models, profile, quality
+from flowlab.operators.quantiles import approximate_quantiles, exact_quantiles
 from flowlab.plans import stages
 from flowlab.plans.inputs import SCORED_LIFTS, flows, scored, table
 from flowlab.sources import exports, flow_csv, tables
 from flowlab.sources.storage import new_folder
 from flowlab.streaming.ingest import ingest_new_files
+from flowlab.streaming.scoring import score_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,7 +114,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = clean.cast_measures(flows(spark, sf_dir))
-    return profile.null_profile(typed, clean.measure_columns(typed))
+    return profile.null_profile(typed, clean.measure_columns(typed), top=20)
 
 
 @query
@@ -157,12 +159,12 @@ def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = flows(spark, sf_dir)
-    kept = clean.clean_flows(raw)
-    ml_ready = features.binary_target(kept)
-    return profile.reconcile(
-        [("raw", raw), ("cleaned", kept), ("ml_ready", ml_ready), ("test", models.split(ml_ready)[1])]
-    )
+    """Rows of each stage; all stages only leave rows out, so one scan of the raw table counts them."""
+    typed = clean.cast_measures(flows(spark, sf_dir))
+    kept = no_negative([c for c in clean.NON_NEGATIVE if c in typed.columns])
+    test = ~in_percent("flow_id", models.TRAIN_PERCENT)
+    rules = [("raw", F.lit(True)), ("cleaned", kept), ("ml_ready", kept), ("test", kept & test)]
+    return profile.reconcile_rules(typed, rules)
 
 
 @query
@@ -205,6 +207,21 @@ def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows(spark, sf_dir).groupBy(part.alias("part")).count()
 
 
+def _some_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.when(F.col("fwd_packets_count") != "7", F.col("flow_id"))
+    return flows(spark, sf_dir).withColumn("flow_id", key)
+
+
+@query
+def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part, rows, without_key): every row is in one part, also those whose key is NULL."""
+    train, test = models.split(_some_null_keys(spark, sf_dir))
+    parts = train.select(F.lit("train").alias("part"), "flow_id").union(test.select(F.lit("test"), "flow_id"))
+    return parts.groupBy("part").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("flow_id").isNull()).alias("without_key")
+    )
+
+
 # ---- a second domain: the event table ------------------------------------------------------
 
 
@@ -264,6 +281,34 @@ def quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_quantiles(rows, clean.measure_columns(rows), list(CAPPED))
 
 
+@query
+def approx_bounds_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(column, probability, within): the default bounds' true ranks, held against the allowed error.
+
+    A value fills the ranks from the share of rows below it to the share of rows up to it.
+    """
+    error = 0.001
+    rows = stored(spark, sf_dir)
+    names = clean.measure_columns(rows)
+    rows = features.nan_to_null(rows, names)
+    found = approximate_quantiles(rows, names, list(CAPPED), error)
+    pairs = [(c, p, v) for c, values in found.items() for p, v in zip(CAPPED, values, strict=True)]
+    counted = rows.agg(
+        *(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(p).alias("probability"),
+                (
+                    (F.count_if(F.col(c) < v) / F.count(c) <= p + error)
+                    & (F.count_if(F.col(c) <= v) / F.count(c) >= p - error)
+                ).alias("within"),
+            ).alias(f"b{i}")
+            for i, (c, p, v) in enumerate(pairs)
+        )
+    )
+    return counted.select(F.inline(F.array(*(f"b{i}" for i in range(len(pairs))))))
+
+
 @query
 def winsorized(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(spark, sf_dir)
@@ -384,7 +429,26 @@ def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def auc_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.auc_binned(scored(spark, sf_dir), "score")
+    """(model, near): the thinned curve's area lies within 0.001 of the exact one."""
+    rows = scored(spark, sf_dir)
+    both = metrics.auc_binned(rows, "score").join(metrics.auc_exact(rows, "score"), "model")
+    return both.select("model", (F.abs(F.col("auc_binned") - F.col("auc_roc")) < 0.001).alias("near"))
+
+
+@query
+def score_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with and without a usable score, where some scores are NULL and some NaN."""
+    score = F.col("score").cast("double")
+    odd = F.when(F.col("score") % 50 == 0, None).when(F.col("score") % 50 == 1, float("nan")).otherwise(score)
+    rows = scored(spark, sf_dir).withColumn("score", odd)
+    area = metrics.auc_exact(rows, "score").withColumn("auc_roc", F.round("auc_roc", 12))
+    return metrics.score_coverage(rows, "score").join(area, "model")
+
+
+@query
+def recall_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = metrics.recall_by_class(scored(spark, sf_dir), "line_class")
+    return found.withColumn("recall", F.round("recall", 9))
 
 
 # ---- files, stages, ingest -----------------------------------------------------------------
@@ -421,6 +485,22 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_flows(flow_csv.read_flows(spark, path))
 
 
+@query
+def header_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose header pads names and repeats one: the first of equal names is the column."""
+    folder = new_folder(spark, "padded")
+    lines = flows(spark, sf_dir).select(
+        F.concat_ws(",", F.concat(F.lit(" "), "flow_id"), F.concat("duration", F.lit("  ")), F.coalesce("label", F.lit("")), F.lit("other"))
+        .alias("value"),
+        (F.col("bwd_packets_count") == "0").alias("first"),
+    )
+    headers = ((" flow_id ,duration,  label, duration ", "first"), ("flow_id, duration ,label,duration", "not first"))
+    for number, (header, which) in enumerate(headers):
+        head = spark.createDataFrame([(header,)], "value string")
+        head.union(lines.filter(which).select("value")).coalesce(1).write.text(f"{folder}/{number}")
+    return flow_csv.read_flows(spark, f"{folder}/*")
+
+
 @query
 def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class report as JSON and as CSV; the rows of both."""
@@ -481,6 +561,31 @@ def tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(report, "input string, found boolean, rows bigint")
 
 
+@query
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks; with no identifiers declared, the text key is the column that fails to cast."""
+    made = features.engineered(cleaned(spark, sf_dir)).withColumns(
+        {"nothing": F.lit(None).cast("double"), "same": F.lit(1.5), "endless": F.when(F.col("duration") > 40, float("inf")).otherwise(0.0)}
+    )
+    return quality.quality_report(flows(spark, sf_dir), made, features.numeric_columns(made), ids=())
+
+
+@query
+def stage_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(export, rows) of the readable copies of the prepared stages, read back."""
+    folder = new_folder(spark, "exported")
+    raw = lambda: flows(spark, sf_dir)
+    stages.prepare(spark, raw, folder)
+    stages.report_quality(spark, raw, folder)
+    names = stages.export(spark, folder, models=())
+    counts = [
+        (spark.read.option("header", True).csv(f"{folder}/exports/{n}") if "json" not in n else spark.read.json(f"{folder}/exports/{n}"))
+        .agg(F.lit(n).alias("export"), F.count("*").alias("rows"))
+        for n in names
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---- trained models ------------------------------------------------------------------------
 
 
@@ -498,8 +603,20 @@ def _predictions(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFram
 
 
 def _scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    columns = ["model", "flow_id", "label", "label_original", "prediction", models.SCORE]
-    return _predictions(spark, sf_dir, [name]).select(*columns)
+    """Per class of the test rows: how many were scored, with a probability between 0 and 1, and a
+    prediction that is a class; and whether the model is hardly worse than always naming one class."""
+    rows = _predictions(spark, sf_dir, [name])
+    in_unit = F.col(models.SCORE).between(0, 1)
+    per_class = rows.groupBy("model", "label").agg(
+        F.count("*").alias("rows"),
+        F.count_if(in_unit).alias("in_unit"),
+        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("classes"),
+        F.count_if(F.col("prediction") == F.col("label")).alias("hits"),
+    )
+    everywhere = Window.partitionBy("model")  # two rows
+    total = F.sum("rows").over(everywhere)
+    fair = F.sum("hits").over(everywhere) / total >= F.max("rows").over(everywhere) / total - 0.05
+    return per_class.select("model", "label", "rows", "in_unit", "classes", fair.alias("fair"))
 
 
 @query
@@ -529,10 +646,61 @@ def prediction_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small forest's importances: one per feature, none negative, together one."""
+    ready = tables.read_table(spark, f"{_stage_folder(spark, sf_dir)}/ml_ready")
+    train = models.split(ready)[0].select("features", "label")
+    forest = models.train_rf(train, numTrees=5, maxDepth=4)
+    names = features.numeric_columns(features.engineered(stored(spark, sf_dir)))
+    return models.feature_importance(forest, names, spark).agg(
+        F.count("*").alias("features"),
+        F.count_if(F.col("importance") >= 0).alias("valid"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+    )
+
+
+@query
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(label, rows, as_batch): rows scored as a stream of files equal rows scored as a table."""
+    source = f"{_stage_folder(spark, sf_dir)}/ml_ready"
+    ready, folder = tables.read_table(spark, source), new_folder(spark, "scored-stream")
+    model = models.train_lr(models.split(ready)[0].select("features", "label"), maxIter=2)
+    score_new_files(spark, model, models.MODEL_LR, source, f"{folder}/rows", f"{folder}/checkpoint")
+    batch = models.predict(model, ready, models.MODEL_LR).select("flow_id", F.col(models.SCORE).alias("expected"))
+    streamed = spark.read.parquet(f"{folder}/rows").join(batch, "flow_id", "left")
+    return streamed.groupBy("label").agg(
+        F.count("*").alias("rows"), F.count_if(F.col(models.SCORE) == F.col("expected")).alias("as_batch")
+    )
+
+
 @query
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, rows, as_counted, area): the compared metrics of the trained models follow from their
+    stored confusion counts, and the areas are shares."""
     names = list(models.TRAINERS)
     _predictions(spark, sf_dir, names)
     folder = _stage_folder(spark, sf_dir)
     stages.compare(spark, folder, names)
-    return metrics.metrics_wide(tables.read_table(spark, f"{folder}/comparison/metrics"))
+    wide = metrics.metrics_wide(tables.read_table(spark, f"{folder}/comparison/metrics"))
+    cells = metrics.confusion_dense(tables.read_table(spark, f"{folder}/comparison/confusion"))
+    rows = F.expr("tn + fp + fn + tp")
+
+    def ratio(top: str, bottom: str) -> Column:
+        return F.expr(f"CASE WHEN {bottom} > 0 THEN ({top}) / ({bottom}) ELSE 0 END")
+
+    def harmonic(one: Column, other: Column) -> Column:
+        return F.when(one + other > 0, 2 * one * other / (one + other)).otherwise(0.0)
+
+    no, yes = F.expr("tn + fp") / rows, F.expr("fn + tp") / rows
+    p0, p1, r0, r1 = ratio("tn", "tn + fn"), ratio("tp", "tp + fp"), ratio("tn", "tn + fp"), ratio("tp", "fn + tp")
+    closed = {
+        "accuracy": F.expr("tn + tp") / rows,
+        "precision": no * p0 + yes * p1,
+        "recall": F.expr("tn + tp") / rows,
+        "f1": no * harmonic(p0, r0) + yes * harmonic(p1, r1),
+    }
+    equal = reduce(lambda a, b: a & b, (F.abs(F.col(m) - v) < 1e-9 for m, v in closed.items()))
+    return wide.join(cells, "model").select(
+        "model", rows.alias("rows"), equal.alias("as_counted"), F.col("auc_roc").between(0, 1).alias("area")
+    )

@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
-from flowlab.functions.values import SENTINELS
-from flowlab.operators.clean import NON_NEGATIVE
-from flowlab.operators.features import CHECKED
-from flowlab.operators.metrics import METRICS
-from flowlab.operators.models import MODEL_LR, MODEL_MLP, MODEL_RF, TRAIN_PERCENT
-from flowlab.operators.profile import EXPLORED, HISTOGRAM_BINS
 from flowlab.plans.inputs import FLOWS_SQL, SCORED_LIFTS, SCORED_SQL
 
-MEASURES = list(NON_NEGATIVE)
-EXPLORED_HERE = [c for c in EXPLORED if c in MEASURES]
+# The rules are spelled out here once more: a wrong constant in the library must not pass.
+SENTINELS = ["Infinity", "-Infinity", "inf", "-inf"]
+MEASURES = [
+    "duration",
+    "fwd_packets_count",
+    "bwd_packets_count",
+    "fwd_total_payload_bytes",
+    "bwd_total_payload_bytes",
+    "bytes_rate",
+    "packets_rate",
+]
+EXPLORED_HERE = ["duration", "fwd_packets_count", "bwd_packets_count", "bytes_rate", "packets_rate"]
+CHECKED = [
+    "duration",
+    "bytes_rate",
+    "packets_rate",
+    "total_packets",
+    "total_payload_bytes",
+    "avg_payload_per_packet",
+    "fwd_bwd_packet_ratio",
+    "log_duration",
+    "log_bytes_rate",
+    "log_packets_rate",
+]
+METRICS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
+MODEL_LR = "Model A - Logistic Regression"
+MODEL_MLP = "Model B - Deep Learning MLP"
+MODEL_RF = "Model C - Random Forest"
+TRAIN_PERCENT = 80
+HISTOGRAM_BINS = 50
 LOGS = {"log_duration": "duration", "log_bytes_rate": "bytes_rate", "log_packets_rate": "packets_rate"}
 FEATURES = [
     *MEASURES,
@@ -28,7 +50,7 @@ IN_LIST = ", ".join(f"'{s}'" for s in SENTINELS)
 
 
 def percent_of(key: str) -> str:
-    return f"('0x' || substr(md5({key}), 1, 8))::BIGINT % 100"
+    return f"('0x' || substr(md5(coalesce({key}, '')), 1, 8))::BIGINT % 100"
 
 
 def in_train(key: str = "flow_id") -> str:
@@ -342,6 +364,52 @@ def oracle_sql() -> dict[str, str]:
         "(VALUES (1, 'written'), (2, 'skipped')) r(run, status) GROUP BY run, status",
         "tolerant_scan": "SELECT 'lineitem' AS input, TRUE AS found, count(*) AS rows FROM lineitem "
         "UNION ALL SELECT 'no_such_table', FALSE, 0",
+        "split_rows": f"{WITH_FLOWS}, keyed AS (SELECT CASE WHEN fwd_packets_count <> '7' THEN flow_id END AS flow_id FROM flows) "
+        f"SELECT CASE WHEN {in_train()} THEN 'train' ELSE 'test' END AS part, count(*) AS rows, "
+        "count(*) FILTER (flow_id IS NULL) AS without_key FROM keyed GROUP BY 1",
+        "approx_bounds_within_error": " UNION ALL ".join(
+            f"SELECT '{m}' AS \"column\", {p}::DOUBLE AS probability, TRUE AS within" for m in MEASURES for p in (0.01, 0.99)
+        ),
+        "auc_binned": f"{WITH_SCORED} SELECT DISTINCT model, TRUE AS near FROM scored",
+        "score_coverage": WITH_RANKED.format(
+            scored=WITH_SCORED.replace("WITH scored AS", "WITH every AS")
+            + ", scored AS (SELECT * FROM every WHERE score % 50 NOT IN (0, 1))"
+        )
+        + f", area AS ({AREA}), covered AS (SELECT model, count(*) AS rows, "
+        "count(*) FILTER (score % 50 NOT IN (0, 1)) AS scored, count(*) FILTER (score % 50 = 0) AS null_scores, "
+        "count(*) FILTER (score % 50 = 1) AS nan_scores FROM every GROUP BY model) "
+        "SELECT covered.*, round(auc_roc, 12) AS auc_roc FROM covered JOIN area USING (model)",
+        "recall_by_class": f"{WITH_SCORED} SELECT model, line_class AS class, count(*) AS rows, "
+        "count(*) FILTER (label = prediction) AS found, round(count(*) FILTER (label = prediction) / count(*), 9) AS recall "
+        "FROM scored GROUP BY ALL",
+        "header_normalise": f"{WITH_FLOWS} SELECT flow_id, duration, trim(label) AS label FROM flows",
+        "quality_report": f"{WITH_CLEANED} SELECT 'cast_failed' AS \"check\", 'flow_id' AS \"column\", count(*) AS rows FROM flows "
+        f"WHERE flow_id NOT IN ({IN_LIST}) AND TRY_CAST(flow_id AS DOUBLE) IS NULL "
+        "UNION ALL SELECT 'label_missing', 'label', count(*) FROM flows WHERE label IS NULL "
+        "UNION ALL SELECT 'all_null', 'nothing', count(*) FROM cleaned "
+        "UNION ALL SELECT 'constant', 'same', count(*) FROM cleaned "
+        "UNION ALL SELECT 'infinite', 'endless', count(*) FROM cleaned WHERE duration > 40",
+        "stage_exports": f"{WITH_CLEANED}, counted AS (SELECT count(*) AS n, count(DISTINCT coalesce(label, '?')) AS classes, "
+        f"count(DISTINCT {TARGET}) AS targets FROM cleaned) "
+        "SELECT 'samples/cleaned' AS export, least(n, 50) AS rows FROM counted "
+        "UNION ALL SELECT 'samples/ml_ready', least(n, 50) FROM counted "
+        "UNION ALL SELECT 'schemas/cleaned', 9 UNION ALL SELECT 'schemas/ml_ready', 4 "
+        "UNION ALL SELECT 'reports_csv/classes', classes FROM counted "
+        "UNION ALL SELECT 'reports_json/classes', classes FROM counted "
+        "UNION ALL SELECT 'reports_csv/targets', targets FROM counted "
+        "UNION ALL SELECT 'reports_json/targets', targets FROM counted "
+        "UNION ALL SELECT 'reports_csv/stages', 2 UNION ALL SELECT 'reports_json/stages', 2 "
+        "UNION ALL SELECT 'reports_csv/quality', 1 UNION ALL SELECT 'reports_json/quality', 1",
+        **{
+            name: f"{WITH_CLEANED}, test AS (SELECT {TARGET} AS label FROM cleaned WHERE NOT ({in_train()})) "
+            f"SELECT '{model}' AS model, label, count(*) AS rows, count(*) AS in_unit, count(*) AS classes, TRUE AS fair "
+            "FROM test GROUP BY label"
+            for name, model in (("score_lr", MODEL_LR), ("score_mlp", MODEL_MLP), ("score_rf", MODEL_RF))
+        },
+        "feature_importance": f"SELECT {len(FEATURES)}::BIGINT AS features, {len(FEATURES)}::BIGINT AS valid, TRUE AS sums_to_one",
+        "stream_score": f"{WITH_CLEANED} SELECT {TARGET} AS label, count(*) AS rows, count(*) AS as_batch FROM cleaned GROUP BY 1",
+        "model_comparison": f"{WITH_CLEANED} SELECT model, count(*) AS rows, TRUE AS as_counted, TRUE AS area FROM cleaned, "
+        f"(VALUES {names}) m(model) WHERE NOT ({in_train()}) GROUP BY model",
         "prediction_lineage": f"{WITH_CLEANED} SELECT model, label AS label_original, {TARGET} AS label, "
         "count(*) AS rows, count(*) AS sums_to_one, count(*) AS follows_probability FROM cleaned, "
         f"(VALUES {names}) m(model) WHERE NOT ({in_train()}) GROUP BY 1, 2, 3",

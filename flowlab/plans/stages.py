@@ -1,18 +1,22 @@
-"""Resumable stages: clean, features, models, comparison, each a Parquet directory with a marker."""
+"""Resumable stages: clean, features, models, comparison, exports, each a directory with a marker."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowlab.operators import features, metrics, profile, quality
 from flowlab.operators.clean import clean_flows
-from flowlab.operators.features import assemble, feature_table
-from flowlab.operators.metrics import confusion, metrics_long
-from flowlab.operators.models import SCORE, TRAINERS, fit_and_predict
-from flowlab.sources.storage import complete, exists
-from flowlab.sources.tables import read_table, spread, write_table
+from flowlab.operators.models import SCORE, TRAINERS, fit_and_predict, split
+from flowlab.sources import exports
+from flowlab.sources.storage import complete, exists, read_text, remove_marker, write_text
+from flowlab.sources.tables import dealt, read_table, write_table
+
+SAMPLE_ROWS = 50
 
 
 class Stage(NamedTuple):
@@ -24,6 +28,28 @@ class Stage(NamedTuple):
     rows: int | None
 
 
+@dataclass(frozen=True)
+class Options:
+    """How the tables are prepared. Other options make other tables, so they redo the stages."""
+
+    key: str = "flow_id"
+    keep_nulls: bool = False
+    strict: bool = False
+    deduplicate: bool = False
+    caps_from: str = "all"  # rows that outlier bounds are fitted on: "all" or "train"
+    exact_caps: bool = False
+    exclude: tuple[str, ...] = ()  # columns that are no features, such as ports
+
+
+def _marks(path: str) -> str:
+    return f"{path}.settings"
+
+
+def fingerprint(spark: SparkSession, settings: dict | None, needs: Iterable[str]) -> str:
+    """What a result depends on: its own settings, and those of the results that it is made from."""
+    return json.dumps({"settings": settings or {}, "needs": {p: read_text(spark, _marks(p)) for p in needs}}, sort_keys=True)
+
+
 def materialize(
     spark: SparkSession,
     name: str,
@@ -31,17 +57,23 @@ def materialize(
     build: Callable[[], DataFrame],
     needs: Iterable[str] = (),
     partition_by: Iterable[str] = (),
+    settings: dict | None = None,
 ) -> Stage:
-    """Write ``build()`` to ``path`` unless a finished result is there.
+    """Write ``build()`` to ``path`` unless a finished result of the same settings is there.
 
-    Missing inputs fail before any work, and the result must carry its marker afterwards. The
-    rows are counted from the written files' footers.
+    Missing inputs fail before any work, and the result must carry its marker afterwards. Settings
+    lie next to the result and are written first, so that a result never passes for one of others.
+    The rows are counted from the written files' footers.
     """
-    if complete(spark, path):
+    needs = list(needs)
+    wanted = fingerprint(spark, settings, needs)
+    if complete(spark, path) and read_text(spark, _marks(path)) == wanted:
         return Stage(name, path, "skipped", None)
     missing = [p for p in needs if not exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"stage {name} needs {', '.join(missing)}")
+    remove_marker(spark, path)
+    write_text(spark, _marks(path), wanted)
     write_table(build(), path, partition_by)
     if not complete(spark, path):
         raise RuntimeError(f"stage {name} left no marker in {path}")
@@ -53,24 +85,60 @@ def slug(model: str) -> str:
     return model.lower().replace(" ", "_").replace("-", "")
 
 
-def prepare_cleaned(spark: SparkSession, raw: Callable[[], DataFrame], folder: str, key: str = "flow_id") -> Stage:
+def prepare_cleaned(
+    spark: SparkSession, raw: Callable[[], DataFrame], folder: str, options: Options = Options()
+) -> Stage:
     """Raw flows to cleaned flows, the table that every later scan reads."""
-    return materialize(spark, "cleaned", f"{folder}/cleaned", lambda: clean_flows(spread(raw(), key)))
+    rules = {"keep_nulls": options.keep_nulls, "strict": options.strict, "deduplicate": options.deduplicate}
+    return materialize(
+        spark,
+        "cleaned",
+        f"{folder}/cleaned",
+        lambda: clean_flows(dealt(raw(), options.key), **rules),
+        settings=rules | {"key": options.key},
+    )
+
+
+def ready_table(cleaned: DataFrame, options: Options = Options()) -> DataFrame:
+    """Cleaned flows to vectors, outliers capped at bounds of all rows or of the training rows."""
+    made = features.engineered(cleaned)
+    columns = features.numeric_columns(made, ("label", "label_original", *options.exclude))
+    fitted = split(made, options.key)[0] if options.caps_from == "train" else made
+    caps = features.fit_caps(fitted, columns, exact=options.exact_caps)
+    filled = features.fill_missing(features.apply_caps(made, caps), columns)
+    return features.assemble(filled, columns, options.key)
 
 
-def prepare(spark: SparkSession, raw: Callable[[], DataFrame], folder: str) -> list[Stage]:
+def prepare(
+    spark: SparkSession, raw: Callable[[], DataFrame], folder: str, options: Options = Options()
+) -> list[Stage]:
     """Raw flows to cleaned flows to the ml-ready table."""
-    cleaned = prepare_cleaned(spark, raw, folder)
+    cleaned = prepare_cleaned(spark, raw, folder, options)
     ready = materialize(
         spark,
         "ml_ready",
         f"{folder}/ml_ready",
-        lambda: assemble(feature_table(read_table(spark, cleaned.path))),
+        lambda: ready_table(read_table(spark, cleaned.path), options),
         [cleaned.path],
+        settings=asdict(options) | {"exclude": list(options.exclude)},
     )
     return [cleaned, ready]
 
 
+def report_quality(
+    spark: SparkSession, raw: Callable[[], DataFrame], folder: str, options: Options = Options()
+) -> Stage:
+    """What is wrong with the raw table and with its features, as a small table."""
+    cleaned = f"{folder}/cleaned"
+
+    def report() -> DataFrame:
+        made = features.engineered(read_table(spark, cleaned))
+        columns = features.numeric_columns(made, ("label", "label_original", *options.exclude))
+        return quality.quality_report(raw(), made, columns)
+
+    return materialize(spark, "quality", f"{folder}/quality", report, [cleaned])
+
+
 def predictions_path(folder: str, model: str) -> str:
     return f"{folder}/predictions/{slug(model)}"
 
@@ -84,39 +152,87 @@ def score(spark: SparkSession, folder: str, model: str, **settings) -> Stage:
         predictions_path(folder, model),
         lambda: fit_and_predict(model, read_table(spark, ml_ready), **settings),
         [ml_ready],
+        settings=settings,
     )
 
 
 def compare(spark: SparkSession, folder: str, models: Iterable[str] = tuple(TRAINERS)) -> list[Stage]:
-    """Metrics and confusion counts of all models, each computed in one pass over their rows."""
+    """Metrics and confusion counts of all models, from one pass over their rows."""
     parts = [predictions_path(folder, m) for m in models]
+    outcomes, comparison = f"{folder}/comparison/outcomes", f"{folder}/comparison"
+
+    def counted() -> DataFrame:
+        return metrics.outcome_counts(read_table(spark, parts, ["model", "label", "prediction", SCORE]), SCORE)
 
-    def scored() -> DataFrame:
-        return read_table(spark, parts, ["model", "label", "prediction", SCORE])
+    def stored() -> DataFrame:
+        return read_table(spark, outcomes)
 
     return [
-        materialize(
-            spark, "metrics", f"{folder}/comparison/metrics", lambda: metrics_long(scored(), SCORE), parts
-        ),
-        materialize(spark, "confusion", f"{folder}/comparison/confusion", lambda: confusion(scored()), parts),
+        materialize(spark, "outcomes", outcomes, counted, parts),
+        materialize(spark, "metrics", f"{comparison}/metrics", lambda: metrics.metrics_of(stored()), [outcomes]),
+        materialize(spark, "confusion", f"{comparison}/confusion", lambda: metrics.confusion_of(stored()), [outcomes]),
     ]
 
 
+def _finished(spark: SparkSession, folder: str, names: dict[str, str]) -> dict[str, str]:
+    return {name: path for name, path in names.items() if complete(spark, f"{folder}/{path}")}
+
+
+def export(spark: SparkSession, folder: str, models: Iterable[str] = tuple(TRAINERS), key: str = "flow_id") -> list[str]:
+    """Readable copies of all finished stages under ``exports``; returns what was written.
+
+    Per table a sample of its first rows by key as CSV, and its schema; per report one CSV and one JSON
+    file: classes, stage counts, quality, metrics, confusion counts.
+    """
+    tables = {"cleaned": "cleaned", "ml_ready": "ml_ready"} | {
+        slug(m): predictions_path("", m).lstrip("/") for m in models
+    }
+    written = []
+
+    def out(kind: str, name: str) -> str:
+        written.append(f"{kind}/{name}")
+        return f"{folder}/exports/{kind}/{name}"
+
+    found = {name: read_table(spark, f"{folder}/{path}") for name, path in _finished(spark, folder, tables).items()}
+    for name, rows in found.items():
+        exports.write_csv(exports.sample_rows(rows, SAMPLE_ROWS, key), out("samples", name), one_file=True)
+        exports.write_csv(exports.schema_table(rows), out("schemas", name), one_file=True)
+    reports = {}
+    if "cleaned" in found:
+        reports["classes"] = profile.class_share(found["cleaned"], "label")
+    if "ml_ready" in found:
+        reports["targets"] = profile.distribution(found["ml_ready"], "label", largest_first=False)
+        reports["stages"] = profile.reconcile((n, found[n]) for n in ("cleaned", "ml_ready") if n in found)
+    named = {"quality": "quality", "metrics": "comparison/metrics", "confusion": "comparison/confusion"}
+    reports |= {name: read_table(spark, f"{folder}/{path}") for name, path in _finished(spark, folder, named).items()}
+    for name, rows in reports.items():
+        exports.write_csv(rows, out("reports_csv", name), one_file=True)
+        exports.write_json(rows, out("reports_json", name), one_file=True)
+    return written
+
+
 def run_stages(
     spark: SparkSession,
     raw: Callable[[], DataFrame],
     folder: str,
     models: Iterable[str] = tuple(TRAINERS),
     settings: dict[str, dict] | None = None,
+    options: Options = Options(),
+    exported: bool = False,
 ) -> list[Stage]:
-    """Raw flows to model comparison under ``folder``; a second call only does what is missing."""
+    """Raw flows to model comparison under ``folder``; a second call only does what is missing or was
+    made with other settings. ``exported`` also writes the readable copies."""
     models = list(models)
     scores = [(m, (settings or {}).get(m, {})) for m in models]
-    return [
-        *prepare(spark, raw, folder),
-        *(score(spark, folder, m, **options) for m, options in scores),
+    done = [
+        *prepare(spark, raw, folder, options),
+        report_quality(spark, raw, folder, options),
+        *(score(spark, folder, m, **given) for m, given in scores),
         *compare(spark, folder, models),
     ]
+    if exported:
+        export(spark, folder, models, options.key)
+    return done
 
 
 def stage_status(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, bool]]:

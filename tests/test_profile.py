@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowlab.functions.keys import in_percent
 from flowlab.operators import profile
@@ -55,7 +56,7 @@ def test_histogram_without_positive_values(spark):
 
 def test_profile_in_several_column_groups(spark, monkeypatch, odd):
     whole = sorted(profile.null_profile(odd, odd.columns).collect())
-    monkeypatch.setattr(profile, "COLUMNS_PER_SCAN", 2)
+    monkeypatch.setattr(profile, "STATISTICS_PER_SCAN", 2)
     assert sorted(profile.null_profile(odd, odd.columns).collect()) == whole
     assert [tuple(r) for r in profile.null_profile(odd, odd.columns, top=1).collect()] == [("none", 6)]
 
@@ -92,6 +93,30 @@ def test_hash_choice_ignores_the_layout(spark, sf_dir, partitions):
     assert rows.repartition(partitions).filter(in_percent("flow_id", 80)).count() == 4812
 
 
+def test_infinities_are_counted_and_in_no_range(spark):
+    values = [1.0, 3.0, 5.0, float("inf"), float("-inf"), float("nan"), None]
+    rows = spark.createDataFrame([(v, "a") for v in values], "x double, label string")
+    assert profile.fit_ranges(rows, ["x"]) == {"x": (1.0, 5.0)}
+    assert [tuple(r) for r in profile.infinite_counts(rows, ["x"]).collect()] == [("x", 2)]
+    scaled = [r.x for r in profile.minmax_scaled(rows, ["x"]).collect()]
+    assert scaled == [0.0, 0.5, 1.0, None, None, None, None]
+    assert profile.minmax_class_means(rows, "label", ["x"]).first().x == 0.5
+    bins = {r.bin: r["count"] for r in profile.log_histogram(rows, ["x"], bins=2).collect()}
+    assert bins == {0: 1, 1: 2}
+
+
+def test_null_profile_leaves_no_column_out(spark):
+    rows = spark.range(2).select(*(F.lit(None).cast("int").alias(f"c{i}") for i in range(40)))
+    assert profile.null_profile(rows, rows.columns).count() == 40
+
+
+def test_reconciled_rules_equal_reconciled_tables(spark):
+    rows = spark.range(100)
+    rules = [("all", F.lit(True)), ("some", F.col("id") > 9), ("few", F.col("id") > 95)]
+    tables = [(name, rows.filter(rule)) for name, rule in rules]
+    assert sorted(profile.reconcile_rules(rows, rules).collect()) == sorted(profile.reconcile(tables).collect())
+
+
 def test_reconcile_of_an_empty_first_stage(spark):
     rows = profile.reconcile([("raw", spark.range(0)), ("cleaned", spark.range(0))]).orderBy("position").collect()
     assert [(r["rows"], r["removed"], r["removed_percent"]) for r in rows] == [(0, None, None), (0, 0, None)]

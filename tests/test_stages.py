@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -77,6 +78,45 @@ def test_half_written_stage_is_done_again(spark, tmp_path):
     assert (stage.status, stage.rows) == ("written", 5) and spark.read.parquet(str(path)).count() == 5
 
 
+def test_other_settings_redo_a_stage_and_what_follows(spark, tmp_path):
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+
+    def run(**settings):
+        made = stages.materialize(spark, "first", first, lambda: spark.range(5), settings=settings)
+        return made.status, stages.materialize(spark, "second", second, lambda: spark.read.parquet(first), [first]).status
+
+    assert run(rate=1) == ("written", "written")
+    assert run(rate=1) == ("skipped", "skipped")
+    assert run(rate=2) == ("written", "written")
+    assert run(rate=2) == ("skipped", "skipped")
+
+
+def test_options_reach_the_tables(spark, sf_dir, tmp_path):
+    def prepared(name, **options):
+        chosen = stages.Options(**options)
+        done = stages.prepare(spark, lambda: flows(spark, sf_dir), str(tmp_path / name), chosen)
+        return done, tables.read_table(spark, done[1].path)
+
+    (plain, _), ready = prepared("plain")
+    (kept, _), _ = prepared("kept", keep_nulls=True)
+    assert kept.rows > plain.rows
+    _, narrow = prepared("narrow", exclude=("duration", "log_duration"), caps_from="train")
+    assert models.feature_width(narrow) == models.feature_width(ready) - 2
+    again = stages.prepare(spark, lambda: flows(spark, sf_dir), str(tmp_path / "plain"), stages.Options(strict=True))
+    assert [s.status for s in again] == ["written", "written"]
+
+
+def test_exports_cover_every_finished_stage(spark, first_run, folder):
+    names = stages.export(spark, folder)
+    assert {n for n in names if n.startswith("samples/")} == {
+        "samples/cleaned", "samples/ml_ready", *(f"samples/{stages.slug(m)}" for m in models.TRAINERS)
+    }
+    assert {"reports_csv/metrics", "reports_json/confusion", "reports_csv/quality"} <= set(names)
+    for name in names:
+        read = spark.read.option("header", True).csv if "json" not in name else spark.read.json
+        assert read(f"{folder}/exports/{name}").count() > 0, name
+
+
 def test_slug_rules_agree(spark):
     from flowlab.operators.metrics import slug
 
@@ -116,6 +156,22 @@ def test_split_keeps_every_row_once(spark, sf_dir):
     assert train.count() + test.count() == rows.count()
 
 
+def test_null_keys_are_in_exactly_one_part(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 10 > 0, F.col("id").cast("string")).alias("flow_id"), "id")
+    train, test = models.split(rows)
+    assert train.count() + test.count() == 1000
+    assert train.unionByName(test).select("id").distinct().count() == 1000
+
+
+def test_ingest_fails_on_reordered_columns(spark, tmp_path):
+    source, landing, memory = (tmp_path / n for n in ("source", "landing", "memory"))
+    source.mkdir()
+    (source / "a.csv").write_text("label,flow_id,duration\nBenign,f1,x2\n")
+    schema = flow_csv.text_schema(["flow_id", "duration", "label"])
+    with pytest.raises(StreamingQueryException):
+        ingest_new_files(spark, str(source), schema, str(landing), str(memory))
+
+
 def test_ingest_lands_every_file_once(spark, tmp_path):
     source, landing, memory = (str(tmp_path / n) for n in ("source", "landing", "memory"))
     schema = flow_csv.text_schema(["flow_id", "label"])
