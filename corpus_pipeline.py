@@ -1,6 +1,6 @@
 """From raw documents to token ids: five stages, each a whole job over what the one before kept.
 
-1. language identification: documents without letters, or like no learned language, go;
+1. language identification: documents without letters, and longer ones like no learned language, go;
 2. exact deduplication: one row of each set of equal texts stays;
 3. SimHash near-deduplication: one document of each group of near copies stays;
 4. mixing: documents are repeated or left out until their sources reach their target weights;
@@ -22,15 +22,18 @@ from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, simhash
 from flowlab.llm.common import crc_remainder, join_narrow
 from flowlab.sources.storage import new_folder
 
-#: The least cosine between a document and a language that it is said to be in. Very short texts
-#: in a learned language reach 0.2; text in none stays near 0.
-LEAST_SCORE = 0.1
+#: A document of so many letters must be so similar to some language. Text in none stays near 0, and
+#: longer text in a learned one is above 0.1; a few words alone may be like nothing and stay.
+LEAST_SCORE = 0.05
+LEAST_LETTERS = 100
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = language_id.learn(docs.filter(crc_remainder("doc_id", 4) != 2))
     predicted = language_id.predict(docs, profiles, lang_out="_language", score_out="_score")
-    known = (F.col("_language") != language_id.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)
+    letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
+    like_some = F.when(F.col("_score") < LEAST_SCORE, letters < LEAST_LETTERS).otherwise(True)
+    known = (F.col("_language") != language_id.UNDETERMINED) & like_some
     return predicted.filter(known).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

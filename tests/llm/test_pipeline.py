@@ -63,6 +63,14 @@ def test_language_stage_rejects_what_has_no_letters(spark):
     assert {4, 5, 6, 7, 9} <= {r.doc_id for r in rows}
 
 
+def test_language_stage_keeps_short_texts_and_drops_foreign_ones(spark):
+    known = [(i, "these are the plain words of a language that has been learned " * 3, "en") for i in range(40)]
+    odd = [(100, "Ja.", "en"), (101, "日本語の文章は" * 60, None), (102, "1234 !?", None), (103, "xq", None)]
+    docs = spark.createDataFrame(known + odd, "doc_id bigint, text string, lang string")
+    rows = corpus_pipeline.identify_language(spark, docs, "").collect()
+    assert {r.doc_id for r in rows} == {*range(40), 100, 103}
+
+
 def test_every_stage_takes_an_empty_table(spark, tmp_path):
     docs = no_docs(spark)
     for name, stage in corpus_pipeline.STAGES:
