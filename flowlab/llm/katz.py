@@ -48,7 +48,7 @@ from flowlab.sources.storage import durable, new_folder
 
 END = b"\n"  # no word has white space in it
 MOST_DISCOUNTED = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Words, and bigrams, that a part is meant to have; the numbers of parts follow from the corpus.
 PART_WORDS = 1 << 20
 PART_PAIRS = 1 << 21
