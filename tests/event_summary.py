@@ -1,4 +1,4 @@
-"""Jobs, tasks, longest task and shuffled bytes per query: python tests/event_summary.py <event log>"""
+"""Jobs, tasks, longest task, records read and shuffled bytes per query: python tests/event_summary.py <event log>"""
 
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ def summary(path: str) -> dict[str, dict[str, float]]:
             elif kind == "SparkListenerTaskEnd" and event.get("Task Metrics"):
                 t, m = totals[group_of.get(event["Stage ID"], "")], event["Task Metrics"]
                 t["tasks"] += 1
+                t["records_read"] += m["Input Metrics"]["Records Read"]
                 t["shuffle_bytes"] += m["Shuffle Write Metrics"]["Shuffle Bytes Written"]
                 t["longest_task_ms"] = max(t["longest_task_ms"], m["Executor Run Time"])
                 t["task_ms"] += m["Executor Run Time"]
