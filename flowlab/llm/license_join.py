@@ -32,10 +32,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import lower_ascii, text_or_empty
+from flowlab.llm.common import lower_ascii, text_or_empty, words_between
 from flowlab.sources.storage import durable
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.8
 MOST_TEMPLATE_WORDS = 20_000
 
@@ -72,7 +72,7 @@ OWN = (
 
 
 def words_of(text: str) -> Column:
-    return F.regexp_extract_all(lower_ascii(text_or_empty(text)), F.lit(WORD), F.lit(0))
+    return words_between(lower_ascii(text_or_empty(text)), BETWEEN)
 
 
 def word_order(docs: DataFrame, text_col: str, templates: Sequence[Template]) -> dict[str, int]:
@@ -113,7 +113,8 @@ def leading_blocks(
     )
     count = F.size("words")
     places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    hits = F.filter(places, lambda i: F.get("words", i).isin(leads))
+    led = F.arrays_overlap("words", F.array(*map(F.lit, leads)))  # most texts end here
+    hits = F.when(led, F.filter(places, lambda i: F.get("words", i).isin(leads)))
 
     def blocks(i: Column) -> Column:
         last = F.floor(i / stride).cast("int")
@@ -122,9 +123,8 @@ def leading_blocks(
         before = F.struct(word.alias("word"), (last - 1).alias("block"))
         return F.when((last > 0) & (i < (last - 1) * stride + length), F.array(before, here)).otherwise(F.array(here))
 
-    led = F.array_distinct(F.flatten(F.transform("hits", blocks)))
     with_words = F.transform(
-        led,
+        F.array_distinct(F.flatten(F.transform("hits", blocks))),
         lambda b: F.struct(
             b["word"].alias("word"),
             b["block"].alias("block"),

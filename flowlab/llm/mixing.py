@@ -18,9 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import join_narrow, text_or_empty, whole_row
+from flowlab.llm.common import join_narrow, text_or_empty, whole_row, words_between
 
-WORD = r"[^\x20\x09-\x0D]+"
+BETWEEN = r"[\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
@@ -28,7 +28,7 @@ SEED = 42
 
 
 def word_count(text: str) -> Column:
-    return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("bigint")
+    return F.size(words_between(text_or_empty(text), BETWEEN)).cast("bigint")
 
 
 def draw(column: str, seed: int = SEED) -> Column:
