@@ -41,6 +41,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from xxhash import xxh64_intdigest
 
 from flowlab.llm.common import crc_remainder
@@ -92,8 +93,9 @@ def discounts(counts_of_counts: list[int]) -> np.ndarray:
     for limit in range(MOST_DISCOUNTED, 1, -1):
         if min(n[1 : limit + 2]) > 0:
             common = (limit + 1) * n[limit + 1] / n[1]
-            found = [((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common) if common != 1 else 0 for r in range(1, limit + 1)]
-            if common < 1 and all(0 < d < 1 for d in found):
+            ratios = [(r + 1) * n[r + 1] / (r * n[r]) for r in range(1, limit + 1)]
+            found = [(ratio - common) / (1 - common) for ratio in ratios] if common < 1 else []
+            if found and all(0 < d < 1 for d in found):
                 return np.array([0.0, *found, *[1.0] * (MOST_DISCOUNTED - limit)])
     return np.array([0.0, *((r - 0.5) / r for r in range(1, MOST_DISCOUNTED + 1))])
 
@@ -369,7 +371,8 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
             contexts, following = block.context[pairs], block.word[pairs]
             bigrams = np.concatenate([block.number[contexts], block.number[following], seen[pairs]])
             counts = np.concatenate([block.count[contexts], block.count[following]])
-            out.append(message("pairs", p, row["block"], pack(bigrams), pack(counts), pack(block.number[block.codes[codes]])))
+            asked = pack(block.number[block.codes[codes]])
+            out.append(message("pairs", p, row["block"], pack(bigrams), pack(counts), asked))
         return messages(out)
 
     def count(table: pa.Table) -> pa.Table:
@@ -381,9 +384,8 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
             for part, into in zip(np.split(unpack(r["b"]), 2), (context_counts, word_counts), strict=True):
                 into.append(part)
         sizes = [len(c) for c in contexts]
-        context, word, seen, context_count, word_count = map(
-            np.concatenate, (contexts, words, seen, context_counts, word_counts)
-        )
+        gathered = (contexts, words, seen, context_counts, word_counts)
+        context, word, seen, context_count, word_count = map(np.concatenate, gathered)
         order = np.lexsort((word, context))
         context, word = context[order], word[order]
         new = np.ones(len(order), bool)
@@ -400,7 +402,8 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
         opens[1:] = context[1:] != context[:-1]
         heads = np.flatnonzero(opens)
         held = np.where(counts > 0, unigrams.probability(word_count), 0.0)
-        sums = [np.add.reduceat((counts == r).astype(np.int64), heads) for r in range(1, MOST_DISCOUNTED + 1)] if len(heads) else []
+        rates = range(1, MOST_DISCOUNTED + 1)
+        sums = [np.add.reduceat((counts == r).astype(np.int64), heads) for r in rates] if len(heads) else []
         mass = np.add.reduceat(held, heads) if len(heads) else np.empty(0)
         names, shared = context[heads], layout.shares(context_count[heads]) > 1
         part = rows[0]["part"]
@@ -415,11 +418,14 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
         start = 0
         for r, size in zip(rows, sizes, strict=True):
             asked = unpack(r["c"])
-            at = np.minimum(np.searchsorted(names, asked), max(len(names) - 1, 0))
-            there = names[at] == asked if len(names) else np.zeros(len(asked), bool)
-            found = [np.where(there, s[at], 0) for s in sums] if len(names) else [np.zeros(len(asked), np.int64)] * MOST_DISCOUNTED
-            weights = np.where(there, mass[at], 0.0) if len(names) else np.zeros(len(asked))
-            out.append(message("pairs", part, r["block"], pack(answer[start : start + size]), pack(np.concatenate(found)), pack(weights)))
+            found, weights = [np.zeros(len(asked), np.int64)] * MOST_DISCOUNTED, np.zeros(len(asked))
+            if len(names):
+                at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+                there = names[at] == asked  # a context without known words after it has no sums
+                found = [np.where(there, s[at], 0) for s in sums]
+                weights = np.where(there, mass[at], 0.0)
+            counted = pack(answer[start : start + size])
+            out.append(message("pairs", part, r["block"], counted, pack(np.concatenate(found)), pack(weights)))
             start += size
         return messages(out)
 
@@ -430,18 +436,20 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
 def spread_sums(pairs: DataFrame) -> dict[int, np.ndarray]:
     """Sums of the contexts that several parts share, at most MOST_SPREAD of them."""
 
+    counted = [f"n{r}" for r in range(1, MOST_DISCOUNTED + 1)]
+
     def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 numbers = np.split(unpack(row["a"]), MOST_DISCOUNTED + 1)
                 columns = [*(pa.array(n) for n in numbers), pa.array(unpack(row["b"], np.float64))]
-                yield pa.RecordBatch.from_arrays(columns, ["word", *map("n{}".format, range(1, MOST_DISCOUNTED + 1)), "mass"])
+                yield pa.RecordBatch.from_arrays(columns, ["word", *counted, "mass"])
 
-    counted = [f"n{r}" for r in range(1, MOST_DISCOUNTED + 1)]
     schema = ", ".join(["word bigint", *(f"{c} bigint" for c in counted), "mass double"])
     rows = pairs.filter("kind = 'spread'").select("a", "b").mapInArrow(open_up, schema)
-    summed = rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in counted), F.sort_array(F.collect_list("mass")).alias("m"))
-    # added up in a fixed order: reruns agree to the last bit
+    # masses are added up in a fixed order: reruns agree to the last bit
+    masses = F.sort_array(F.collect_list("mass")).alias("m")
+    summed = rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in counted), masses)
     return {r.word: np.array([*(r[c] for c in counted), math.fsum(r.m)]) for r in summed.collect()}
 
 
@@ -490,23 +498,28 @@ def score(
         bigram = discounted(seen, factors) / total[block.context]
         whole = np.where(seen > 0, bigram, weight[block.context] * unigram[block.word])
         probability[block.known] = whole[block.pair]
-        texts = len(block.lengths)
-        per_text = [np.add.reduceat(x, block.starts) for x in (np.log10(probability), unigrams.base(block.count)[block.tokens], (block.count > 0)[block.tokens].astype(np.int64))]
+        base = unigrams.base(block.count)[block.tokens]
+        known = (block.count > 0)[block.tokens].astype(np.int64)
+
+        def per_text(values: np.ndarray) -> pa.Array:
+            return pa.array(np.add.reduceat(values, block.starts))
+
         return pa.table(
             {
                 "id": pa.array(block.ids, id_arrow),
                 "held_out": pa.array(block.held),
                 "n_tokens": pa.array(block.lengths),
-                "n_known": pa.array(per_text[2]),
-                "train_tokens": pa.array(np.full(texts, unigrams.tokens)),
-                "base_score": pa.array(per_text[1]),
-                "score": pa.array(per_text[0]),
+                "n_known": per_text(known),
+                "train_tokens": pa.array(np.full(len(block.lengths), unigrams.tokens)),
+                "base_score": per_text(base),
+                "score": per_text(np.log10(probability)),
             }
         )
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     id_arrow = to_arrow_type(docs.schema[id_col].dataType)
     sent = words.filter("kind = 'words'").unionByName(pairs.filter("kind = 'pairs'"))
-    schema = f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    schema = (
+        f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+        "base_score double, score double"
+    )
     return with_blocks(corpus, sent, evaluate, schema)

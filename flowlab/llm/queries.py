@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import byte_bpe, exact_dedup, katz, language_id, license_join, mixing, nn_descent, simhash, token_counts, warc_zstd
+from flowlab.llm import (
+    byte_bpe,
+    exact_dedup,
+    katz,
+    language_id,
+    license_join,
+    mixing,
+    nn_descent,
+    simhash,
+    token_counts,
+    warc_zstd,
+)
 from flowlab.llm.common import crc_remainder
 from flowlab.sources.storage import new_folder
 

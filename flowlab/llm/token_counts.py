@@ -108,6 +108,5 @@ def token_lengths(path: str):
 def count_tokens(docs: DataFrame, path: str, *, text_col: str = "text", limit: int = 512) -> DataFrame:
     """``docs`` with n_bytes (UTF-8), n_tokens and over_limit (more than ``limit`` tokens)."""
     text = text_or_empty(text_col)
-    return docs.withColumns({"n_bytes": F.octet_length(text).cast("bigint"), "n_tokens": token_lengths(path)(text)}).withColumn(
-        "over_limit", F.col("n_tokens") > limit
-    )
+    counts = {"n_bytes": F.octet_length(text).cast("bigint"), "n_tokens": token_lengths(path)(text)}
+    return docs.withColumns(counts).withColumn("over_limit", F.col("n_tokens") > limit)

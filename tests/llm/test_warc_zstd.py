@@ -91,7 +91,10 @@ def test_layout_of_an_archive(spark):
 
 
 def test_compressed_dictionaries_are_read():
-    records = [w.record(str(i), "http://a", f"page {i} ".encode() * 50, hashlib.sha256(f"page {i} ".encode() * 50).hexdigest(), len(f"page {i} ") * 50, None) for i in range(200)]
+    payloads = [f"page {i} ".encode() * 50 for i in range(200)]
+    digests = [hashlib.sha256(p).hexdigest() for p in payloads]
+    rows = enumerate(zip(payloads, digests, strict=True))
+    records = [w.record(str(i), "http://a", p, digest, len(p), None) for i, (p, digest) in rows]
     first, *rest = w.frames(iter(records))
     packed = zstandard.ZstdCompressor().compress(first[8:])
     archive = struct.pack("<II", w.DICTIONARY_MAGIC, len(packed)) + packed + b"".join(rest)
