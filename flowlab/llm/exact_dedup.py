@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from flowlab.llm.common import join_narrow, text_or_empty, whole_row
 from flowlab.sources.storage import durable, exists, new_folder
 
-#: State lies on disk, and small state takes little of it: no space is allocated in advance.
+#: State lies on disk: its buffers share a bounded memory in each executor, and no disk is allocated in
+#: advance, so that small state takes little.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
 
 #: Hits are first narrowed by a table of this many slots. A slot without a repeated digest shows
@@ -50,7 +53,8 @@ def admit(
     digest: Callable[[Column], Column] = sha256,
     with_rows: bool = False,
 ) -> None:
-    """Append ``docs`` to the content store in ``folder``; with_rows keeps all their columns."""
+    """Append ``docs`` to the content store in ``folder``; with_rows keeps all their columns, the text as
+    one of them."""
     text = text_or_empty(text_col)
     spark, first = docs.sparkSession, 0
     if exists(spark, f"{folder}/content"):
@@ -58,9 +62,8 @@ def admit(
     stored = docs.select(
         F.col(id_col).alias("id"),
         digest(text).alias("digest"),
-        text.alias("text"),
         (F.monotonically_increasing_id() + first).alias("place"),
-        *([whole_row(docs).alias("row")] if with_rows else []),
+        whole_row(docs).alias("row") if with_rows else text.alias("text"),
     )
     stored.write.mode("append").parquet(f"{folder}/content")
 
@@ -69,6 +72,12 @@ def content(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/content")
 
 
+def texts_in(stored: DataFrame, text_col: str) -> DataFrame:
+    """(id, place, digest, text) of a content store, whether it keeps texts alone or whole rows."""
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")) if "row" in stored.columns else F.col("text")
+    return stored.select("id", "place", "digest", text.alias("text"))
+
+
 def track(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> None:
     """Run the stream over all files that the content store has and the state has not seen."""
     schema = content(spark, folder).schema
@@ -125,9 +134,9 @@ def _texts_of_hits(rows: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
-def resolve(spark: SparkSession, folder: str) -> DataFrame:
+def resolve(spark: SparkSession, folder: str, text_col: str = "text") -> DataFrame:
     """One row per admitted row: id, place, digest, keep_id, group_size, kept."""
-    rows = content(spark, folder).select("id", "place", "digest", "text")
+    rows = texts_in(content(spark, folder), text_col)
     seen = durable(groups(spark, folder), "groups")
     texts = _texts_of_hits(rows, seen)
     parts = texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1")
@@ -158,12 +167,13 @@ def _run(docs: DataFrame, folder: str | None, files_per_batch: int, **options) -
 
 def deduplicate(docs: DataFrame, *, folder: str | None = None, files_per_batch: int = 1000, **options) -> DataFrame:
     """The state of each row of ``docs`` after all were seen, see ``resolve``."""
-    return resolve(docs.sparkSession, _run(docs, folder, files_per_batch, **options))
+    folder = _run(docs, folder, files_per_batch, **options)
+    return resolve(docs.sparkSession, folder, options.get("text_col", "text"))
 
 
 def unique_rows(docs: DataFrame, *, folder: str | None = None, files_per_batch: int = 1000, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
     spark = docs.sparkSession
     folder = _run(docs, folder, files_per_batch, with_rows=True, **options)
-    dropped = resolve(spark, folder).filter("not kept").select("place")
+    dropped = resolve(spark, folder, options.get("text_col", "text")).filter("not kept").select("place")
     return join_narrow(content(spark, folder), dropped, "place", "left_anti").select("row.*")

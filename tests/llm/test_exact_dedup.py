@@ -47,6 +47,12 @@ def test_unique_rows_keep_their_columns(spark):
     assert all(r[c] == f"other {c}" for r in rows for c in CLASHES)
 
 
+def test_other_column_names(spark):
+    docs = edge_docs(spark).withColumnsRenamed({"doc_id": "key", "text": "body"})
+    rows = exact_dedup.unique_rows(docs, id_col="key", text_col="body").collect()
+    assert len(rows) == len({r[1] or "" for r in ROWS})
+
+
 def test_state_outlives_a_run(spark):
     """Rows admitted later meet what earlier runs have seen."""
     folder = new_folder(spark, "kept-state")
