@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlab.llm.common import SAFE_PLACE
+from flowlab.llm.common import SAFE_PLACE, tidy
 
 WORD_BITS = 256
 #: Encodings that a worker remembers; a full memory starts anew. It changes no result.
@@ -37,7 +37,7 @@ MOST_REMEMBERED_WORDS = 900_000
 MOST_REMEMBERED_PIECES = 300_000
 LONGEST_REMEMBERED = 64
 #: Texts handled at a time, in bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 class RankQueue:
@@ -159,6 +159,10 @@ class ByteBpe:
         first, *rest = SAFE_PLACE.split(text)
         return b"".join([self.piece(first), *map(self.after_space.__getitem__, rest)])
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.after_space.clear()
+
     def decode(self, ids: bytes) -> bytes:
         numbers = array("I")
         numbers.frombytes(ids)
@@ -177,15 +181,17 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(ranks, pattern)
 
 
-def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
+def _mapped(df: DataFrame, column: str, added: dict, end) -> DataFrame:
     """``df`` with binary columns, each made from the one before, the first from ``column``.
 
-    Works on each Arrow batch a slice of bytes at a time.
+    Works on each Arrow batch a slice of bytes at a time. ``end`` is called when a task is done:
+    workers live on, and what they remember would take memory from the stages that follow.
     """
     kept = [f for f in df.schema.fields if f.name not in added]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, *(T.StructField(name, T.BinaryType(), False) for name in added)])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, column):
@@ -194,6 +200,7 @@ def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
                     values = list(map(convert, values))
                     made.append(pa.array(values, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, *added])
+        end()
 
     return df.mapInArrow(run, schema)
 
@@ -212,12 +219,14 @@ def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit numbers in one binary."""
-    return _mapped(docs, text_col, {ids_col: lambda text: coder(path, pattern).encode(text or "")})
+    encoded = {ids_col: lambda text: coder(path, pattern).encode(text or "")}
+    return _mapped(docs, text_col, encoded, lambda: coder(path, pattern).forget())
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that each row's ids stand for."""
-    return _mapped(encoded, ids_col, {out_col: lambda ids: coder(path, pattern).decode(ids or b"")})
+    decoded = {out_col: lambda ids: coder(path, pattern).decode(ids or b"")}
+    return _mapped(encoded, ids_col, decoded, lambda: None)
 
 
 def round_trip(
@@ -231,6 +240,7 @@ def round_trip(
             ids_col: lambda text: coder(path, pattern).encode(text or ""),
             out_col: lambda ids: coder(path, pattern).decode(ids),
         },
+        lambda: coder(path, pattern).forget(),
     )
 
 

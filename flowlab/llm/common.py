@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,20 @@ def join_narrow(left: DataFrame, right: DataFrame, on, how: str, limit: int = MO
     return left.join(F.broadcast(kept) if kept.count() <= limit else kept, on, how)
 
 
+def tidy(function):
+    """An Arrow function that at a task's end gives back the memory that it no longer uses.
+
+    Python workers outlive their tasks; what their allocators keep would be missing in later stages.
+    """
+
+    @wraps(function)
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def slices(items: list, weights: list[int], most: int) -> Iterator[list]:
     """Consecutive items whose weights add up to ``most`` or less; a heavier item comes alone."""
     part, total = [], 0

@@ -8,9 +8,10 @@ weighs no more than a short one. A text gets the language whose prototype has th
 Letters are the characters for which ``str.isalpha`` holds, in simple lower case. Everything between
 two words counts as one space, and a text begins and ends with one, so n-grams know word ends.
 
-Bundles are sums of whole numbers (texts' vectors are rounded to a grid of 2**-20): any order, partition or retry gives the same prototypes. Each
-task bundles its own texts, so what is shuffled is one vector per task and language, and the driver
-gets one per language. Long texts are read in pieces and lose no n-gram.
+Bundles are sums of whole numbers (texts' vectors are rounded to a grid of 2**-20): any order,
+partition or retry gives the same prototypes. Each task bundles its own texts, so what is shuffled is
+one vector per task and language, and the driver gets one per language. Long texts are read in pieces
+and lose no n-gram.
 
 Rows: a null text, or one without letters, is ``und`` with score 0. A text with a null language
 teaches nothing. Of equal cosines the first language in order of code points wins; a negative cosine
@@ -30,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlab.llm.common import tidy
+
 SPACE = 32
 DIMS = 1024
 GRAM = 3
@@ -165,6 +168,7 @@ def learn(
     """The prototypes of all languages, from every text with a language."""
     labelled = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
+    @tidy
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -202,6 +206,7 @@ def predict(
     kept = [f for f in docs.schema.fields if f.name not in (lang_out, score_out)]
     names = [f.name for f in kept]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS):

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from flowlab.llm.common import tidy
 from flowlab.llm.components import components
 from flowlab.sources.storage import durable
 
@@ -62,6 +63,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """(id, print): the 64 bits as a signed number."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), words) for t in batch.column("text")], np.uint64)
