@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, simhash
 from flowlab.llm.common import crc_remainder, join_narrow
+from flowlab.llm.queries import reach_package
 from flowlab.sources.storage import new_folder
 
 #: A document of so many letters must be so similar to some language. Text in none stays near 0, and
@@ -84,6 +85,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents in ``sf_dir``; every stage's rows lie in the shared folder."""
+    reach_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = new_folder(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +35,17 @@ def query(function: Query) -> Query:
     return function
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, also where the session was started without it on its
+    path. A cluster has it installed or gets it with ``--py-files``; there this changes nothing."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
