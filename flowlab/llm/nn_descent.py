@@ -10,7 +10,9 @@
 4. A list holds the nearest few, and is enlarged as long as it is saturated: every neighbour above
    the threshold stays in it. Saturated lists also join in larger samples.
 5. When a round finds hardly any new pair above the threshold, recall is audited: sampled vectors
-   are compared with all. Below the wanted recall, more hyperplanes and rounds follow.
+   are compared with all, block after block until 200 of them had a link or all were asked. So where
+   few vectors have a link many are asked, and without any link all. Below the wanted recall, more
+   hyperplanes and rounds follow.
 6. All pairs above the threshold that were ever found are links; only verified cosines count.
 
 Cosines are computed in double precision. Sampling decides only where to look, never which found
@@ -18,7 +20,8 @@ pair counts. Vectors of different lengths are never compared.
 
 Rows: a vector that is null, empty or zero, or that holds a null or non-finite component, links with
 nothing; so does a row with a null id, whose component is null. Rows with equal ids are vectors of
-their own. Other columns do not matter. An empty table gives an empty result.
+their own. Other columns do not matter. An empty table gives an empty result. ``recall`` is null where
+no vector has a link.
 """
 
 from __future__ import annotations
@@ -35,6 +38,12 @@ from pyspark.sql import functions as F
 from flowlab.llm.components import components
 from flowlab.sources.storage import durable
 
+#: Hashes that order the vectors of an audit, numbers in a block of them at most (collected, and sent
+#: to every task), and vectors of a block that are compared at a time.
+HASHES = 1 << 40
+ASKED_NUMBERS = 1 << 21
+TILE = 400
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -47,7 +56,8 @@ class Settings:
     saturated_sample: int = 64
     settled: float = 0.005  # share of new links below which the rounds end
     rounds: int = 6  # at most, between audits
-    audited: int = 400  # vectors compared with all in an audit
+    audited: int = 400  # vectors compared with all in the first block of an audit
+    audited_linked: int = 200  # vectors with a link that an audit must see, unless it asked all vectors
     recall: float = 0.98
     audits: int = 4
     seed: int = 42
@@ -209,36 +219,56 @@ def refine(points: DataFrame, graph: DataFrame, turn: int, s: Settings) -> DataF
     return around.mapInArrow(join, f"a {id_type}, b {id_type}, cosine double")
 
 
-def audit(points: DataFrame, links: DataFrame, s: Settings) -> float:
-    """Mean share of their links that sampled vectors have; the sample is bounded, the rows are all."""
-    hashed = points.orderBy(F.xxhash64("id", F.lit(s.seed)), "id").limit(s.audited)
-    sampled = [(r.id, r.vector, r.dim) for r in hashed.collect()]
+def true_links(points: DataFrame, low: int, high: int, s: Settings) -> DataFrame:
+    """(a, b) for every link of the vectors whose hash is in [low, high), which are compared with all."""
+    place = F.pmod(F.xxhash64("id", "vector", F.lit(s.seed)), F.lit(HASHES))
+    block = points.filter((place >= low) & (place < high)).select("id", "vector", "dim").toArrow().combine_chunks()
+    asked = {d: block.filter(pc.equal(block["dim"], d)) for d in pc.unique(block["dim"]).to_pylist()}
+    queries = {d: (t["id"].combine_chunks(), t["vector"].combine_chunks()) for d, t in asked.items()}
     id_type = points.schema["id"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
+                if dim not in queries:
+                    continue
                 part = batch.filter(pa.array(dims == dim))
-                asked = [(i, v) for i, v, d in sampled if d == dim]
-                if asked:
-                    wanted = unit_rows(np.concatenate([np.asarray(v, np.float64) for _, v in asked]), dim)
-                    x, y = np.nonzero(wanted @ _stack(part.column("vector"), dim).T >= s.threshold)
-                    ids = part.column("id")
-                    queries = pa.array([i for i, _ in asked], ids.type)
-                    pairs = pa.RecordBatch.from_arrays([queries.take(pa.array(x)), ids.take(pa.array(y))], ["a", "b"])
+                ids, units = part.column("id"), _stack(part.column("vector"), dim)
+                for start in range(0, len(queries[dim][0]), TILE):
+                    names, vectors = (x.slice(start, TILE) for x in queries[dim])
+                    x, y = np.nonzero(_stack(vectors, dim) @ units.T >= s.threshold)
+                    columns = [names.take(pa.array(x)), ids.take(pa.array(y))]
+                    pairs = pa.RecordBatch.from_arrays(columns, ["a", "b"])
                     yield pairs.filter(pc.not_equal(pairs.column("a"), pairs.column("b")))
 
-    true = points.select("id", "vector", "dim").mapInArrow(compare, f"a {id_type}, b {id_type}")
-    found = true.join(links.select("a", "b", F.lit(1).alias("found")), ["a", "b"], "left")
-    shares = found.groupBy("a").agg((F.count("found") / F.count("*")).alias("share"))
-    return shares.agg(F.coalesce(F.mean("share"), F.lit(1.0))).first()[0]
+    return points.select("id", "vector", "dim").mapInArrow(compare, f"a {id_type}, b {id_type}")
+
+
+def audit(points: DataFrame, links: DataFrame, s: Settings) -> float | None:
+    """Mean share of their links that vectors have, over blocks of vectors in the order of a hash.
+
+    Blocks go on until enough vectors with a link were seen or all vectors were asked; None if none has
+    a link. A block is bounded, the rows that it is compared with are all.
+    """
+    size = points.agg(F.count("*").alias("rows"), F.coalesce(F.sum("dim"), F.lit(0)).alias("numbers")).first()
+    step = -(-HASHES * s.audited // max(1, size.rows))
+    most = max(1, HASHES * ASKED_NUMBERS // max(1, size.numbers))
+    known = links.select("a", "b", F.lit(1).alias("found"))
+    low, linked, total = 0, 0, 0.0
+    while low < HASHES and linked < s.audited_linked:
+        high = min(HASHES, low + min(step, most))
+        found = true_links(points, low, high, s).join(known, ["a", "b"], "left")
+        shares = found.groupBy("a").agg((F.count("found") / F.count("*")).alias("share"))
+        seen = shares.agg(F.count("*").alias("linked"), F.coalesce(F.sum("share"), F.lit(0.0)).alias("total")).first()
+        low, linked, total, step = high, linked + seen.linked, total + seen.total, 2 * step
+    return total / linked if linked else None
 
 
-def links(points: DataFrame, s: Settings) -> tuple[DataFrame, float]:
-    """(a, b) in both directions, and the recall that the last audit measured."""
+def links(points: DataFrame, s: Settings) -> tuple[DataFrame, float | None]:
+    """(a, b) in both directions, and the recall that the last audit measured; None without any link."""
     graph: DataFrame | None = None
-    recall, turn = 0.0, 0
+    recall, turn = None, 0
     for attempt in range(s.audits):
         pairs = near_in_runs(points, attempt, s)
         graph = durable(lists(pairs if graph is None else pairs.union(graph.select("a", "b", "cosine")), s), "graph")
@@ -252,7 +282,7 @@ def links(points: DataFrame, s: Settings) -> tuple[DataFrame, float]:
                 break
         kept = graph.filter(F.col("cosine") >= s.threshold).select("a", "b")
         recall = audit(points, kept, s)
-        if recall >= s.recall:
+        if recall is None or recall >= s.recall:
             break
     return kept, recall
 
@@ -286,5 +316,5 @@ def near_duplicates(
             F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
             F.coalesce("component", "id").alias("component_id"),
         )
-        .select("*", (F.col("id") == F.col("component_id")).alias("kept"), F.lit(recall).alias("recall"))
+        .select("*", (F.col("id") == F.col("component_id")).alias("kept"), F.lit(recall).cast("double").alias("recall"))
     )

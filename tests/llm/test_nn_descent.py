@@ -95,3 +95,18 @@ def test_unit_rows_do_not_overflow():
 
 def test_empty(spark):
     assert nn_descent.near_duplicates(frame(spark, [(1, [1.0])]).filter("false")).collect() == []
+
+
+def test_audit_goes_on_until_links_were_seen(spark):
+    """Two linked vectors among 600: a sample of 10 sees no link, and none is no recall of 1."""
+    r = np.random.default_rng(8)
+    alone = r.standard_normal((600, 24))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([*alone, alone[0] * 1.01 + 0.01])]
+    settings = nn_descent.Settings(audited=10)
+    points = nn_descent.classes(frame(spark, rows), "vec_id", "embedding").localCheckpoint()
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert nn_descent.audit(points, none, settings) == 0.0
+    assert nn_descent.audit(points, spark.createDataFrame([(0, 600), (600, 0)], "a bigint, b bigint"), settings) == 1.0
+    assert nn_descent.audit(points.filter("id < 600"), none, settings) is None
+    found = nn_descent.near_duplicates(frame(spark, rows[:600]), settings=settings)
+    assert found.filter("recall IS NULL AND n_links = 0").count() == 600
