@@ -8,11 +8,13 @@
    and of those that have it as a neighbour is compared in full. Pairs that are new and near go into
    the lists of both.
 4. A list holds the nearest few, and is enlarged as long as it is saturated: every neighbour above
-   the threshold stays in it. Saturated lists also join in larger samples.
+   the threshold stays in it. Saturated lists also join in samples that
+   grow with their length.
 5. When a round finds hardly any new pair above the threshold, recall is audited: sampled vectors
    are compared with all, block after block until 200 of them had a link or all were asked. So where
    few vectors have a link many are asked, and without any link all. Below the wanted recall, more
-   hyperplanes and rounds follow.
+   hyperplanes and rounds with larger samples follow; if these do not reach it, all are compared with
+   all, so no result is below it.
 6. All pairs above the threshold that were ever found are links; only verified cosines count.
 
 Cosines are computed in double precision. Sampling decides only where to look, never which found
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.components import components
-from flowlab.sources.storage import durable
+from flowlab.sources.storage import durable, new_folder
 
 #: Hashes that order the vectors of an audit, numbers in a block of them at most (collected, and sent
 #: to every task), and vectors of a block that are compared at a time.
@@ -53,7 +55,8 @@ class Settings:
     planes: int = 48  # hyperplanes of one key
     run: int = 256  # rows of a run
     sample: int = 20  # neighbours compared around a vector
-    saturated_sample: int = 64
+    saturated_sample: int = 64  # at least, around a vector whose list is saturated
+    tile: int = 512  # vectors of a sample that are one side of a comparison
     settled: float = 0.005  # share of new links below which the rounds end
     rounds: int = 6  # at most, between audits
     audited: int = 400  # vectors compared with all in the first block of an audit
@@ -181,27 +184,37 @@ def lists(pairs: DataFrame, s: Settings) -> DataFrame:
     return placed.filter((F.col("place") <= s.neighbours) | (F.col("cosine") >= s.threshold))
 
 
-def refine(points: DataFrame, graph: DataFrame, turn: int, s: Settings) -> DataFrame:
-    """(a, b, cosine) found by comparing, around each vector, a sample of its neighbours."""
+def refine(points: DataFrame, graph: DataFrame, turn: int, s: Settings, attempt: int = 0) -> DataFrame:
+    """(a, b, cosine) found by comparing, around each vector, a sample of its neighbours.
+
+    Around n vectors that are all near each other, samples of 2 sqrt(n) hold nearly all of their pairs.
+    So the sample of a saturated list grows with the root of its length, and doubles with each attempt.
+    """
     id_type = points.schema["id"].dataType.simpleString()
     both = graph.select(F.col("a").alias("v"), F.col("b").alias("u")).union(graph.select("b", "a")).distinct()
     worst = graph.filter(F.col("place") == s.neighbours).select(F.col("a").alias("id"), F.col("cosine").alias("worst"))
     # how many neighbours a vector has, and whether its list is saturated, decides its sample
     degrees = both.groupBy("v").agg(F.count("*").alias("degree"))
+    saturated = F.greatest(F.lit(s.saturated_sample), 2 * F.sqrt("degree")) * 2**attempt
+    size = F.when(F.col("worst") >= s.threshold, saturated).otherwise(s.sample)
     sizes = degrees.join(worst.withColumnRenamed("id", "v"), "v", "left").select(
-        "v",
-        (
-            F.when(F.col("worst") >= s.threshold, s.saturated_sample).otherwise(s.sample) / F.col("degree")
-        ).alias("share"),
+        "v", (size / F.col("degree")).alias("share"), F.ceil(F.least(size, "degree") / s.tile).cast("int").alias("tiles")
     )
     draw = F.pmod(F.xxhash64("v", "u", F.lit(s.seed), F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = both.join(sizes, "v").filter(draw < F.col("share")).select("v", "u")
+    chosen = both.join(sizes, "v").filter(draw < F.col("share"))
+    # a large sample is cut into tiles, and any two tiles are a group of their own
+    tile = F.pmod(F.xxhash64("u", "v", F.lit(s.seed + 1)), F.col("tiles")).cast("int")
+    chosen = chosen.select("v", "u", "tiles", tile.alias("one"))
+    chosen = chosen.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    chosen = chosen.filter("tiles = 1 OR one <> other").select(
+        "v", "u", F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")
+    )
     members = points.select(F.col("id").alias("u"), "vector", "dim").join(
         worst.withColumnRenamed("id", "u"), "u", "left"
     )
     around = (
         chosen.join(members, "u")
-        .groupBy("v")
+        .groupBy("v", "one", "other")
         .agg(F.collect_list(F.struct("u", "worst", "dim", "vector")).alias("members"))
         .select("members")
     )
@@ -245,46 +258,72 @@ def true_links(points: DataFrame, low: int, high: int, s: Settings) -> DataFrame
     return points.select("id", "vector", "dim").mapInArrow(compare, f"a {id_type}, b {id_type}")
 
 
-def audit(points: DataFrame, links: DataFrame, s: Settings) -> float | None:
-    """Mean share of their links that vectors have, over blocks of vectors in the order of a hash.
+def ask(
+    points: DataFrame, links: DataFrame, s: Settings, *, everything: bool = False
+) -> tuple[float | None, DataFrame | None]:
+    """Recall over blocks of vectors in the order of a hash; and, if all were asked, the true links.
 
-    Blocks go on until enough vectors with a link were seen or all vectors were asked; None if none has
-    a link. A block is bounded, the rows that it is compared with are all.
+    Recall is the mean share of their links that vectors have, or the share of all links of these
+    vectors if it is smaller: neither many small groups nor one large one can hide the other. Blocks go
+    on until enough vectors with a link were seen or all vectors were asked; None if none has a link.
+    A block is bounded, the rows that it is compared with are all.
     """
     size = points.agg(F.count("*").alias("rows"), F.coalesce(F.sum("dim"), F.lit(0)).alias("numbers")).first()
     step = -(-HASHES * s.audited // max(1, size.rows))
     most = max(1, HASHES * ASKED_NUMBERS // max(1, size.numbers))
     known = links.select("a", "b", F.lit(1).alias("found"))
-    low, linked, total = 0, 0, 0.0
-    while low < HASHES and linked < s.audited_linked:
+    path = new_folder(points.sparkSession, "true")
+    low, linked, share, found, wanted = 0, 0, 0.0, 0, 0
+    while low < HASHES and (everything or linked < s.audited_linked):
         high = min(HASHES, low + min(step, most))
-        found = true_links(points, low, high, s).join(known, ["a", "b"], "left")
-        shares = found.groupBy("a").agg((F.count("found") / F.count("*")).alias("share"))
-        seen = shares.agg(F.count("*").alias("linked"), F.coalesce(F.sum("share"), F.lit(0.0)).alias("total")).first()
-        low, linked, total, step = high, linked + seen.linked, total + seen.total, 2 * step
-    return total / linked if linked else None
+        block = f"{path}/block={low}"
+        true = true_links(points, low, high, s)
+        true.write.parquet(block)
+        true = points.sparkSession.read.schema(true.schema).parquet(block)
+        shares = true.join(known, ["a", "b"], "left").groupBy("a")
+        shares = shares.agg(F.count("found").alias("found"), F.count("*").alias("wanted"))
+        seen = shares.agg(
+            F.count("*").alias("linked"),
+            *(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("found", "wanted")),
+            F.coalesce(F.sum(F.col("found") / F.col("wanted")), F.lit(0.0)).alias("share"),
+        ).first()
+        low, linked, share, step = high, linked + seen.linked, share + seen.share, 2 * step
+        found, wanted = found + seen.found, wanted + seen.wanted
+    every = points.sparkSession.read.schema(true.schema).parquet(f"{path}/block=*") if low == HASHES else None
+    return (min(share / linked, found / wanted) if linked else None), every
+
+
+def audit(points: DataFrame, links: DataFrame, s: Settings) -> float | None:
+    """The recall alone, see ``ask``."""
+    return ask(points, links, s)[0]
 
 
 def links(points: DataFrame, s: Settings) -> tuple[DataFrame, float | None]:
-    """(a, b) in both directions, and the recall that the last audit measured; None without any link."""
+    """(a, b) in both directions, and the recall that the last audit measured; None without any link.
+
+    Where the last attempt stays below the wanted recall, the result is that of an audit of all vectors:
+    every link, at the price of all cosines. So it is where an audit had to ask all vectors.
+    """
     graph: DataFrame | None = None
-    recall, turn = None, 0
+    turn = 0
     for attempt in range(s.audits):
         pairs = near_in_runs(points, attempt, s)
         graph = durable(lists(pairs if graph is None else pairs.union(graph.select("a", "b", "cosine")), s), "graph")
         count = graph.filter(F.col("cosine") >= s.threshold).count()
         for _ in range(s.rounds):
             turn += 1
-            pairs = refine(points, graph, turn, s).union(graph.select("a", "b", "cosine"))
+            pairs = refine(points, graph, turn, s, attempt).union(graph.select("a", "b", "cosine"))
             graph = durable(lists(pairs, s), "graph")
             before, count = count, graph.filter(F.col("cosine") >= s.threshold).count()
             if count - before <= s.settled * count:
                 break
         kept = graph.filter(F.col("cosine") >= s.threshold).select("a", "b")
-        recall = audit(points, kept, s)
+        recall, every = ask(points, kept, s)
         if recall is None or recall >= s.recall:
-            break
-    return kept, recall
+            return kept, recall
+        if every is not None:
+            return every, 1.0
+    return ask(points, kept, s, everything=True)[1], 1.0
 
 
 def near_duplicates(

@@ -110,3 +110,28 @@ def test_audit_goes_on_until_links_were_seen(spark):
     assert nn_descent.audit(points.filter("id < 600"), none, settings) is None
     found = nn_descent.near_duplicates(frame(spark, rows[:600]), settings=settings)
     assert found.filter("recall IS NULL AND n_links = 0").count() == 600
+
+
+def test_below_the_floor_all_are_compared(spark):
+    """One attempt that finds a small part of a large group's links is not the result."""
+    rows = made(11, [250], 150)
+    settings = nn_descent.Settings(audited=50, audited_linked=10, audits=1, rounds=1, orders=1, run=8, saturated_sample=4)
+    found = {r.id: r for r in nn_descent.near_duplicates(frame(spark, rows), settings=settings).collect()}
+    assert [found[i].n_links for i, _ in rows] == [n for _, n, _ in brute(rows)]
+    assert found[0].recall == 1.0
+
+
+def test_samples_grow_with_saturated_lists(spark):
+    """Around a vector with 400 links about 40 are compared, in tiles that together hold all their pairs."""
+    r = np.random.default_rng(12)
+    centre = r.standard_normal(24)
+    rows = [(i, [float(x) for x in centre + 0.05 * r.standard_normal(24)]) for i in range(401)]
+    points = nn_descent.classes(frame(spark, rows), "vec_id", "embedding").localCheckpoint()
+    star = spark.range(1, 401).selectExpr("0L AS a", "id AS b", "0.95D AS cosine", "cast(id AS int) AS place")
+    for tile in (512, 16):
+        settings = nn_descent.Settings(saturated_sample=4, tile=tile)
+        pairs = {(p.a, p.b) for p in nn_descent.refine(points, star, 1, settings).collect() if 0 not in (p.a, p.b)}
+        members = {a for a, _ in pairs}
+        assert 25 <= len(members) <= 60
+        assert len(pairs) == len(members) * (len(members) - 1)
+    assert nn_descent.refine(points, star, 1, settings, 1).select("a").distinct().count() > 60
