@@ -7,8 +7,8 @@
 5. byte-level BPE: texts become token ids, and are decoded again as a check.
 
 Every stage is written as Parquet before the next one reads it. A null text counts as empty and goes
-in the first stage. Repeated rows are copies of each other. A document without an id cannot be named
-as a near copy and stays. Further columns pass through all stages but the last, whatever their names.
+in the first stage. Near copies are decided row by row: of a group one row stays, also where ids are
+null or repeated. Further columns pass through all stages but the last, whatever their names.
 An empty table gives an empty result.
 """
 
@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.llm import byte_bpe, exact_dedup, language_id, mixing, simhash
-from flowlab.llm.common import crc_remainder, join_narrow
+from flowlab.llm.common import crc_remainder, join_narrow, whole_row
 from flowlab.llm.queries import reach_package
-from flowlab.sources.storage import new_folder
+from flowlab.sources.storage import durable, new_folder
 
 #: A document of so many letters must be so similar to some language. Text in none stays near 0, and
 #: longer text in a learned one is above 0.1; a few words alone may be like nothing and stay.
 LEAST_SCORE = 0.05
 LEAST_LETTERS = 100
+#: Places of dropped rows, paths among them, that are broadcast at most.
+MOST_PLACES = 100_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +44,29 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.unique_rows(docs)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(at, row): the rows of a Parquet table, told apart by where they are stored; other rows are stored
+    first. Numbers of tasks would not do: a second scan may be split in another way."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = durable(docs, "rows")
+    place = docs.metadataColumn("_metadata")
+    at = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"),
+        F.col("doc_id").alias("id"),
+        place["file_path"].alias("file"),
+        place["row_index"].alias("number"),
+    )
+    return docs.select(at.alias("at"), whole_row(docs).alias("row"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs, words=3, most_bits=2)
-    dropped = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    return join_narrow(docs, dropped, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """Of each group the row with the smallest id and place stays; null ids come last."""
+    rows = numbered(docs)
+    found = simhash.near_duplicates(rows, id_col="at", text_col="row.text", words=3, most_bits=2)
+    same = (F.col("id.file") == F.col("component_id.file")) & (F.col("id.number") == F.col("component_id.number"))
+    dropped = found.filter(~same).select("id.file", "id.number")
+    placed = rows.select("at.file", "at.number", "row")
+    return join_narrow(placed, dropped, ["file", "number"], "left_anti", MOST_PLACES).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

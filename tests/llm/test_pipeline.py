@@ -77,3 +77,19 @@ def test_every_stage_takes_an_empty_table(spark, tmp_path):
         stage(spark, docs, "").write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         assert docs.count() == 0
+
+
+def test_near_copies_are_decided_by_row(spark, tmp_path):
+    """Ids that repeat or are null name no row: a clean text stays, and a group keeps one document."""
+    words = [f"word{i}" for i in range(400)]
+    near, clean = " ".join(words), "a clean text that is like no other one here"
+    twin = " ".join(f"twin{i}" for i in range(400))
+    lone = " ".join(f"lone{i}" for i in range(400))
+    rows = [(1, near), (2, near.upper()), (2, clean), (3, twin), (3, twin.upper()), (None, lone), (None, lone.upper())]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, _metadata string")
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    for table in (docs, spark.read.parquet(str(tmp_path / "docs"))):
+        kept = corpus_pipeline.drop_near_copies(spark, table, "")
+        assert kept.columns == docs.columns
+        found = sorted((str(r.doc_id), r.text.lower()) for r in kept.collect())
+        assert found == sorted([("1", near), ("2", clean), ("3", twin), ("None", lone)])
