@@ -58,7 +58,8 @@ def admit(
     text = text_or_empty(text_col)
     spark, first = docs.sparkSession, 0
     if exists(spark, f"{folder}/content"):
-        first = (content(spark, folder).agg(F.max("place")).first()[0] or -1) + 1
+        last = content(spark, folder).agg(F.max("place")).first()[0]
+        first = 0 if last is None else last + 1
     stored = docs.select(
         F.col(id_col).alias("id"),
         digest(text).alias("digest"),

@@ -73,3 +73,14 @@ def test_settings_of_the_session_stay(spark):
 def test_empty(spark):
     assert exact_dedup.deduplicate(no_docs(spark)).collect() == []
     assert exact_dedup.unique_rows(no_docs(spark)).collect() == []
+
+
+def test_places_go_on_after_a_single_row(spark, tmp_path):
+    """The first admission's only place is 0, which is a place and not none."""
+    folder = str(tmp_path / "one")
+    for rows in ([(1, "a")], [(2, "b"), (3, "a")]):
+        exact_dedup.admit(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), folder)
+    exact_dedup.track(spark, folder)
+    found = exact_dedup.resolve(spark, folder).collect()
+    assert len({r.place for r in found}) == 3
+    assert {r.id for r in found if r.kept} == {2, 3}
