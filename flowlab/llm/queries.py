@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowlab.llm import (
     byte_bpe,
     exact_dedup,
+    fingerprints,
     katz,
     language_id,
     license_join,
@@ -186,3 +187,8 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
