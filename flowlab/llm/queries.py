@@ -20,8 +20,10 @@ from flowlab.llm import (
     mixing,
     nn_descent,
     simhash,
+    spelling,
     token_counts,
     warc_zstd,
+    whitening,
 )
 from flowlab.llm.common import crc_remainder
 from flowlab.sources.storage import new_folder
@@ -192,3 +194,61 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 @query
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted_words(table(spark, sf_dir, "documents"), slip_every=97))
+
+
+# crc32 byte by byte from its table; near words meet in what is left of them without one letter.
+ORACLES["op12_spelling"] = """
+WITH RECURSIVE bits(byte, step, crc) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM bits WHERE step < 8
+), crcs AS (SELECT list(crc ORDER BY byte) AS crc_of FROM bits WHERE step = 8),
+split AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS key, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), runs AS (SELECT key, run, count(*) AS times FROM split WHERE length(run) >= 5 GROUP BY ALL),
+bytes AS (
+  SELECT run, times, flatten(list_transform(string_split(key || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+         ELSE [192 + (unicode(c)::BIGINT >> 6), 128 + (unicode(c)::BIGINT & 63)] END)) AS bytes
+  FROM runs
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+    lambda crc, byte: xor(crc >> 8, crc_of[(xor(crc, byte) & 255) + 1]))) AS h
+  FROM bytes, crcs
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+              ELSE run END AS word, sum(times)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3
+), cut AS (
+  SELECT word, n, place, left(word, place - 1) || substr(word, place + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (place, rest) WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+         CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), followed(word, last) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT followed.word, form FROM followed JOIN forms ON forms.word = last WHERE form IS NOT NULL
+)
+SELECT forms.word, forms.form, last AS root, forms.n, forms.n_near, forms.form_n
+FROM followed JOIN forms AS ends ON ends.word = last AND ends.form IS NULL JOIN forms ON forms.word = followed.word
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -1,0 +1,145 @@
+from __future__ import annotations
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowlab.llm import whitening as w
+from flowlab.llm.queries import op13_whitening
+
+SCHEMA = "vec_id bigint, embedding array<float>, id string, x int, component string"
+
+
+def gridded(vector):
+    return [math.floor(256 * c) for c in vector]
+
+
+def plain(vectors):
+    """n, sums, exact covariance as fractions, and its eigenpairs by the library, of usable vectors."""
+    fit = [list(x) for x in {tuple(gridded(v)) for v in vectors}]
+    n, sums = len(fit), [sum(c) for c in zip(*fit, strict=True)]
+    centred = [[n * c - s for c, s in zip(x, sums, strict=True)] for x in fit]
+    exact = [[Fraction(sum(c[i] * c[j] for c in centred), n**3) for j in range(len(sums))] for i in range(len(sums))]
+    values, columns = np.linalg.eigh(np.array([[float(v) for v in row] for row in exact]))
+    return n, sums, exact, values[::-1], columns[:, ::-1]
+
+
+def check(found, vectors, most=4):
+    """``vectors``: (id, usable vector). Whitened values may have either sign, the same for all rows."""
+    n, sums, exact, values, columns = plain([v for _, v in vectors])
+    trace = float(sum(exact[i][i] for i in range(len(exact))))
+    rows = found.collect()
+    kept = int((values[:most] > trace * 1e-12).sum())
+    assert len(rows) == len(vectors) * kept
+    by_id = {}
+    for i, v in vectors:
+        by_id.setdefault(i, []).append(gridded(v))
+    signs = {}
+    for row in rows:
+        [x] = {tuple(v) for v in by_id[row[0]]}
+        k = row.component - 1
+        wanted = sum((c - s / n) * u for c, s, u in zip(x, sums, columns[:, k], strict=True)) / math.sqrt(values[k])
+        assert row.n == n and row.deviation == sum((n * c - s) ** 2 for c, s in zip(x, sums, strict=True))
+        assert row.explained == pytest.approx(values[k] / trace, rel=1e-9) and row.identity_error < 1e-10
+        if abs(wanted) > 1e-6:
+            assert signs.setdefault(k, math.copysign(1, wanted * row.whitened)) == math.copysign(1, wanted * row.whitened)
+        assert abs(row.whitened) == pytest.approx(abs(wanted), rel=1e-7, abs=1e-7)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    usable = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    check(op13_whitening(spark, sf_dir), usable)
+
+
+def edge_vectors():
+    r = np.random.default_rng(13)
+    good = [(k, [float(c) for c in r.normal(size=5).astype(np.float32)]) for k in range(40)]
+    again = [(100 + k, good[k % 2][1]) for k in range(30)]
+    odd = [
+        (None, [0.0, -0.0, 0.5, 1.0, -1.0]),
+        (7, good[7][1]),
+        (200, None),
+        (201, [0.0, None, 1.0, 2.0, 3.0]),
+        (202, [0.0, float("nan"), 1.0, 2.0, 3.0]),
+        (203, [0.0, float("inf"), 1.0, 2.0, 3.0]),
+        (204, [1.0, 2.0]),
+        (205, []),
+    ]
+    return good + again + odd
+
+
+def test_edges(spark):
+    vectors = edge_vectors()
+    frame = spark.createDataFrame([(i, v, "a", 1, "b") for i, v in vectors], SCHEMA)
+    usable = [(i, v) for i, v in vectors if v and len(v) == 5 and all(c is not None and math.isfinite(c) for c in v)]
+    check(w.whiten(frame), usable)
+    check(w.whiten(frame, most=2), usable, most=2)
+    assert w.whiten(frame.filter("false")).isEmpty()
+
+
+@pytest.mark.parametrize("vectors", [[[1.0, 2.0]], [[1.0, 2.0]] * 9, [[]] * 3, [None, [float("nan")]]])
+def test_without_variance_there_is_no_component(spark, vectors):
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    assert w.whiten(frame).isEmpty()
+
+
+def test_less_rank_than_components(spark):
+    vectors = [(i, [float(i), 2.0 * i, 5.0]) for i in range(50)]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    check(w.whiten(frame), vectors)
+    assert w.whiten(frame).agg(F.max("component")).first()[0] == 1
+
+
+def test_sums_are_exact_for_large_entries(spark):
+    r = np.random.default_rng(5)
+    block = r.integers(-(2**52), 2**52, (300, 4))
+    assert (w.gram(block) == block.astype(object).T @ block.astype(object)).all()
+    assert (w.column_sums(block) == block.astype(object).sum(axis=0)).all()
+    model = w.Whitening(300, w.column_sums(block), np.eye(4)[:2], np.ones(2), np.ones(2))
+    wanted = [sum((300 * int(c) - int(s)) ** 2 for c, s in zip(row, model.sums, strict=True)) for row in block]
+    assert model.deviations(model.centred(block)) == [None] * 300 and min(wanted) >= 2**63
+    small = block >> 30
+    model = w.Whitening(300, w.column_sums(small), np.eye(4)[:2], np.ones(2), np.ones(2))
+    wanted = [sum((300 * int(c) - int(s)) ** 2 for c, s in zip(row, model.sums, strict=True)) for row in small]
+    assert model.deviations(model.centred(small)) == wanted
+
+
+def spread(values, seed=3):
+    """A symmetric matrix with these eigenvalues, in extended precision."""
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values),) * 2))[0].astype(np.longdouble)
+    for _ in range(4):
+        q = q + q @ (np.eye(len(values)) - q.T @ q) / 2
+    made = (q * np.array(values, np.longdouble)) @ q.T
+    return (made + made.T) / 2, q
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [9, 5, 3, 1, 0.5, 0.1],
+        [1 + 1e-9, 1, 1 - 3e-9, 0.5, 0.25, 1e-3],
+        [1 + 1e-12, 1, 0.5 + 1e-10, 0.5, 0.5 - 1e-10, 0.1],
+        [2, 2, 2, 1, 1, 0],
+        list(np.linspace(1, 1 + 1e-8, 24)) + [0.5] * 8,
+    ],
+)
+def test_refinement_of_close_and_equal_eigenvalues(values):
+    made, _ = spread(values)
+    start = np.linalg.eigh(made.astype(np.float32))[1]
+    found, x = w.refine(made, start)
+    order = np.argsort(-found)
+    assert np.abs(np.array(sorted(values, reverse=True), np.longdouble) - found[order]).max() < 1e-16 * max(values)
+    assert np.abs(x.T @ x - np.eye(len(values))).max() < 1e-17
+    assert np.abs(made @ x - x * found).max() < 1e-17 * max(values)
+
+
+def test_close_eigenvectors_are_right_to_double_precision():
+    made, q = spread([1 + 1e-4, 1, 0.4, 0.39, 0.1])
+    _, x = w.refine(made, np.linalg.eigh(made.astype(np.float32))[1])
+    turned = np.abs(q.T @ x)
+    assert np.abs(np.sort(turned, axis=0)[-1] - 1).max() < 1e-15
+    assert np.sort(turned, axis=0)[-2].max() < 1e-14
