@@ -26,11 +26,17 @@ def approximate_quantiles(
     it, the sketch may answer with the minimum or the maximum, and capping there caps nothing.
     Columns are sketched in groups, so what a merge holds does not grow with the table's width.
     A column with fewer rows than the sketch's size is answered exactly; beyond that, another run
-    may answer with another value inside the error.
+    may answer with another value inside the error. An error that no sketch keeps, 0 among them, is
+    kept by exact quantiles, in three scans.
     """
     check_error(probabilities, rel_error)
+    size = size_for(rel_error)
+    if size is None:
+        rows = exact_quantiles(df, columns, probabilities).collect()
+        at = {(r["column"], r["probability"]): r["value"] for r in rows}
+        return {c: [at[c, p] for p in probabilities if (c, p) in at] for c in columns}
     values = df.select(*(not_nan(F.col(c).cast("double")).alias(c) for c in columns))
-    found = sketched_quantiles(values, columns, probabilities, size_for(rel_error))
+    found = sketched_quantiles(values, columns, probabilities, size)
     return {c: found.get(c, []) for c in columns}
 
 

@@ -17,12 +17,14 @@ STEPS = 3
 COLUMNS_PER_SKETCH = 32
 
 
-def size_for(error: float) -> int:
-    """The size whose rank error is half of ``error`` with 99 % confidence.
+def size_for(error: float) -> int | None:
+    """The size whose rank error is half of ``error`` with 99 % confidence; None where no sketch is
+    large enough.
 
     A sketch of size k errs by 2.296 / k^0.9021 in rank; twice that is passed about never.
     """
-    return min(LARGEST, max(SIZE, round((2 * 2.296 / error) ** (1 / 0.9021))))
+    size = max(SIZE, round((2 * 2.296 / error) ** (1 / 0.9021))) if error > 0 else LARGEST + 1
+    return size if size <= LARGEST else None
 
 
 def sketched_quantiles(

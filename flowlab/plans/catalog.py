@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from flowlab.functions.derived import LOGS, OVER_TOTALS, RATIOS, TOTALS
 from flowlab.functions.keys import in_percent
 from flowlab.functions.values import no_negative
-from flowlab.operators import clean, features, metrics, models, profile, quality
+from flowlab.operators import clean, features, metrics, models, multiclass, profile, quality, tuning, weights
+from flowlab.operators.capping import OutlierCaps
 from flowlab.operators.quantiles import approximate_quantiles, exact_quantiles
 from flowlab.plans import stages
-from flowlab.plans.inputs import SCORED_LIFTS, flows, scored, table
+from flowlab.plans.inputs import SCORED_LIFTS, classed, flows, scored, table
 from flowlab.sources import exports, flow_csv, tables
-from flowlab.sources.storage import new_folder
+from flowlab.sources.storage import durable, new_folder
 from flowlab.streaming.ingest import ingest_new_files
-from flowlab.streaming.scoring import score_new_files
+from flowlab.streaming.scoring import score_new_files, score_raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +55,7 @@ def stage_folder(spark: SparkSession, sf_dir: str) -> str:
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned flows as a finished stage: for queries that scan them several times."""
     folder = stage_folder(spark, sf_dir)
-    stage = stages.prepare_cleaned(spark, lambda: flows(spark, sf_dir), folder)
+    stage, _ = stages.prepare_counted(spark, lambda: flows(spark, sf_dir), folder)
     return tables.read_table(spark, stage.path)
 
 
@@ -281,13 +282,11 @@ def quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_quantiles(rows, clean.measure_columns(rows), list(CAPPED))
 
 
-@query
-def approx_bounds_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(column, probability, within): the default bounds' true ranks, held against the allowed error.
+def _bounds_within(spark: SparkSession, sf_dir: str, error: float) -> DataFrame:
+    """(column, probability, within): the bounds' true ranks, held against the allowed error.
 
     A value fills the ranks from the share of rows below it to the share of rows up to it.
     """
-    error = 0.001
     rows = stored(spark, sf_dir)
     names = clean.measure_columns(rows)
     rows = features.nan_to_null(rows, names)
@@ -309,6 +308,17 @@ def approx_bounds_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(F.inline(F.array(*(f"b{i}" for i in range(len(pairs))))))
 
 
+@query
+def approx_bounds_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bounds_within(spark, sf_dir, 0.001)
+
+
+@query
+def approx_bounds_beyond_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An error that the largest sketch cannot keep."""
+    return _bounds_within(spark, sf_dir, 0.0001)
+
+
 @query
 def winsorized(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(spark, sf_dir)
@@ -496,11 +506,30 @@ def header_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     headers = ((" flow_id ,duration,  label, duration ", "first"), ("flow_id, duration ,label,duration", "not first"))
     for number, (header, which) in enumerate(headers):
-        head = spark.createDataFrame([(header,)], "value string")
-        head.union(lines.filter(which).select("value")).coalesce(1).write.text(f"{folder}/{number}")
+        exports.write_lines(lines.filter(which).select("value"), f"{folder}/{number}", header)
     return flow_csv.read_flows(spark, f"{folder}/*")
 
 
+@query
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(quarantined, line, named): every line of files in which some lines lack a field or have one too
+    many; ``named`` tells that a quarantined line knows its file."""
+    folder = new_folder(spark, "faulty")
+    fields = F.concat_ws(",", "flow_id", "duration", "fwd_packets_count")
+    line = (
+        F.when(F.col("bwd_packets_count") == "0", F.concat_ws(",", "flow_id", "duration"))
+        .when(F.col("fwd_packets_count") == "7", F.concat(fields, F.lit(",more")))
+        .otherwise(fields)
+    )
+    header = "flow_id,duration,fwd_packets_count"
+    exports.write_lines(flows(spark, sf_dir).select(line.alias("value")), f"{folder}/raw", header)
+    rows, bad = flow_csv.quarantine_flows(spark, f"{folder}/raw", f"{folder}/parsed")
+    good = rows.select(F.lit(False).alias("quarantined"), F.concat_ws(",", *rows.columns).alias("line"), F.lit(None).cast("boolean").alias("named"))
+    return good.unionByName(
+        bad.select(F.lit(True).alias("quarantined"), F.col("text").alias("line"), F.col("file").contains(folder).alias("named"))
+    )
+
+
 @query
 def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class report as JSON and as CSV; the rows of both."""
@@ -586,6 +615,96 @@ def stage_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def observed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows and their faults, counted by the job that wrote the cleaned rows."""
+    folder = new_folder(spark, "counted")
+    _, counts = stages.prepare_counted(spark, lambda: flows(spark, sf_dir).withColumn("note", F.col("flow_id")), folder)
+    return tables.read_table(spark, counts.path)
+
+
+@query
+def rescored_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, rows, called, files_kept): one model of the table of predictions is scored anew; the files of
+    the others stay, and reading one model reads its partition only."""
+    path = new_folder(spark, "predictions")
+    rows = scored(spark, sf_dir)
+    tables.replace_partitions(rows, path, ["model"])
+
+    def files() -> dict[str, list[str]]:
+        kept = spark.read.parquet(path)
+        return {m: tables.files_of(kept.filter(F.col("model") == m)) for m in SCORED_LIFTS}
+
+    before, chosen = files(), list(SCORED_LIFTS)[1]
+    again = rows.filter(F.col("model") == chosen).withColumn("prediction", (F.col("score") >= 300).cast("double"))
+    tables.replace_partitions(again, path, ["model"])
+    after = files()
+    same = F.lit(None).cast("boolean")
+    for m in SCORED_LIFTS:
+        same = F.when(F.col("model") == m, F.lit(before[m] == after[m])).otherwise(same)
+    return (
+        spark.read.parquet(path)
+        .groupBy("model")
+        .agg(F.count("*").alias("rows"), F.sum("prediction").cast("bigint").alias("called"))
+        .withColumn("files_kept", same)
+    )
+
+
+# ---- several classes and class weights -----------------------------------------------------
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, multiclass.StringIndexerModel]:
+    """Rows of several classes with the predictions and scores of a made-up classifier; its index has not
+    seen one class."""
+    rows = classed(spark, sf_dir)
+    index = multiclass.class_index(rows.filter("label_original <> 'Other'"))
+    number = len(index.labels)
+    found = multiclass.indexed(rows, index).withColumn("label", F.col(multiclass.INDEX))
+    places = F.array(*map(F.lit, range(number)))
+    scores = F.transform(places, lambda c: (F.col("base") + c * 131) % 1000 + F.when(c == F.col("label"), 300).otherwise(0))
+    prediction = ((F.col("label") + F.col("shift")) % number).cast("double")
+    return found.select(F.lit("made up").alias("model"), "label", prediction.alias("prediction"), scores.alias("probability")), index
+
+
+@query
+def class_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(class_index, class): most frequent first, then the unseen."""
+    index = multiclass.class_index(classed(spark, sf_dir).filter("label_original <> 'Other'"))
+    return multiclass.class_names(index, spark)
+
+
+@query
+def multiclass_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, _ = multiclass.evaluate(*_classified(spark, sf_dir))
+    return report.withColumns({m: F.round(m, 9) for m in ("precision", "recall", "f1", "auc_roc")})
+
+
+@query
+def multiclass_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, _ = multiclass.evaluate(*_classified(spark, sf_dir))
+    macro = multiclass.macro_metrics(report)
+    return macro.withColumns({m: F.round(m, 9) for m in ("precision", "recall", "f1", "auc_roc")})
+
+
+@query
+def multiclass_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, index = _classified(spark, sf_dir)
+    return multiclass.confusion_matrix(metrics.confusion(rows), index.labels)
+
+
+@query
+def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weights.class_weights(cleaned(spark, sf_dir))
+    return found.withColumn("weight", F.round("weight", 9))
+
+
+@query
+def weighted_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the scored table by rows and by weights that even out the two labels."""
+    cells = weights.weighted_confusion(weights.with_class_weights(scored(spark, sf_dir)))
+    return cells.withColumn("weight", F.round("weight", 6))
+
+
 # ---- trained models ------------------------------------------------------------------------
 
 
@@ -599,7 +718,7 @@ def _predictions(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFram
     folder = _stage_folder(spark, sf_dir)
     for name in names:
         stages.score(spark, folder, name)
-    return tables.read_table(spark, [stages.predictions_path(folder, n) for n in names])
+    return stages.read_predictions(spark, folder, names)
 
 
 def _scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -704,3 +823,115 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.join(cells, "model").select(
         "model", rows.alias("rows"), equal.alias("as_counted"), F.col("auc_roc").between(0, 1).alias("area")
     )
+
+
+# ---- saved, tuned and weighted models ------------------------------------------------------
+
+
+def _quick_pipeline(spark: SparkSession, sf_dir: str, exact: bool = False) -> tuple[DataFrame, models.Pipeline]:
+    """Engineered rows, and the unfitted pipeline from caps to classifier over their columns."""
+    made = features.engineered(stored(spark, sf_dir))
+    return made, models.from_features(features.numeric_columns(made), models.estimator_lr(0, maxIter=3), exact=exact)
+
+
+@query
+def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(label, rows, as_fitted): test rows that a model read back from its files scores as the fitted one."""
+    ready = tables.read_table(spark, f"{_stage_folder(spark, sf_dir)}/ml_ready")
+    model = models.fit_named(models.MODEL_LR, ready, maxIter=5)
+    path = new_folder(spark, "model")
+    models.save_model(model, path)
+    test = models.split(ready)[1]
+    both = models.predict(model, test, "fitted").select("flow_id", "label", F.col(models.SCORE).alias("fitted"))
+    again = models.predict(models.load_model(path), test, "saved").select("flow_id", models.SCORE)
+    return both.join(again, "flow_id").groupBy("label").agg(
+        F.count("*").alias("rows"), F.count_if(F.col(models.SCORE) == F.col("fitted")).alias("as_fitted")
+    )
+
+
+@query
+def saved_pipeline_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capped columns of the test rows, made by a pipeline read back from its files, whose caps were
+    fitted on the training rows."""
+    made, pipeline = _quick_pipeline(spark, sf_dir, exact=True)
+    names = features.numeric_columns(made)
+    train, test = models.split(made)
+    path = new_folder(spark, "pipeline")
+    models.save_model(pipeline.fit(train), path)
+    rows = models.load_model(path).transform(test)
+    return rounded_logs(rows.select("flow_id", *_array_columns("features", names)))
+
+
+@query
+def fold_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fold, column, low, high): the caps that each fold of a cross validation learns from the others."""
+    made = tuning.with_fold(features.engineered(stored(spark, sf_dir)))
+    names = features.numeric_columns(made, ("label", "label_original", tuning.FOLD))
+    rows = []
+    for fold in range(tuning.FOLDS):
+        caps = OutlierCaps(inputCols=names, exact=True).fit(made.filter(F.col(tuning.FOLD) != fold)).caps
+        rows += [(fold, c, *bounds) for c, bounds in caps.items()]
+    found = spark.createDataFrame(rows, "fold int, column string, low double, high double")
+    return found.withColumns({b: F.round(b, LOG_DIGITS) for b in ("low", "high")})
+
+
+@query
+def validation_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fold, label, rows) of the validation parts: every row is in one, rows without a key too."""
+    return tuning.with_fold(_some_null_keys(spark, sf_dir)).groupBy("fold", "label").agg(F.count("*").alias("rows"))
+
+
+@query
+def tuned_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fold, setting, rows, in_unit, best_mean): every setting is scored on every row once, its metrics are
+    shares, and the chosen setting's mean is the largest."""
+    made, pipeline = _quick_pipeline(spark, sf_dir)
+    train = durable(models.split(made)[0], "training")
+    grid = tuning.settings_grid(regParam=[0.0, 0.3], elasticNetParam=[0.0])
+    found = tuning.cross_validate(train, pipeline, grid)
+    rows = found.outcomes.groupBy("fold", F.col("model").alias("setting")).agg(F.sum("count").alias("rows"))
+    shares = found.results.groupBy("fold", "setting").agg(F.count_if(F.col("value").between(0, 1)).alias("in_unit"))
+    means = tuning.setting_means(found.results).agg(F.max("mean").alias("most"), F.max_by("mean", F.col("setting") == tuning.setting_name(found.best)).alias("chosen")).first()
+    return rows.join(shares, ["fold", "setting"]).withColumn("best_mean", F.lit(means.most == means.chosen))
+
+
+@query
+def multiclass_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(class, rows, as_counted, area): test rows of each class that a multinomial model was scored on; the
+    report follows from the stored counts, and areas are shares."""
+    ready = tables.read_table(spark, f"{_stage_folder(spark, sf_dir)}/ml_ready")
+    train, test = models.split(ready)
+    index = multiclass.class_index(train)
+    model = multiclass.fit_classes(train, index, multiclass.multinomial(maxIter=3))
+    report, cells = multiclass.evaluate(multiclass.predict_classes(model, test, index, "multinomial"), index)
+    named = multiclass.class_names(index, spark).withColumnRenamed("class", "name")
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+    counted = cells.join(named, cells["label"] == named[multiclass.INDEX]).groupBy("name").agg(F.sum("count").alias("n"), F.sum(hit).alias("right"))
+    equal = (F.col("n") == F.col("rows")) & (F.col("right") == F.col("hits")) & (F.abs(F.col("right") / F.col("n") - F.col("recall")) < 1e-12)
+    return report.join(counted, report["class"] == counted["name"]).select(
+        "class", "rows", equal.alias("as_counted"), F.coalesce(F.col("auc_roc").between(0, 1), F.lit(True)).alias("area")
+    )
+
+
+@query
+def raw_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, label, rows, as_batch): raw CSV files scored as a stream, in two lots and a restart without new
+    files, by a saved pipeline; every row scores as in a table."""
+    folder = new_folder(spark, "raw-stream")
+    raw = flows(spark, sf_dir)
+    made, pipeline = _quick_pipeline(spark, sf_dir)
+    models.save_model(pipeline.fit(models.split(made)[0]), f"{folder}/model")
+    model, counts = models.load_model(f"{folder}/model"), []
+    for run, lot in enumerate((*models.split(raw, percent=50), None), 1):
+        if lot is not None:
+            lot.write.mode("append").option("header", True).csv(f"{folder}/source")
+        score_raw_files(spark, model, "saved", f"{folder}/source", raw.schema, f"{folder}/rows", f"{folder}/checkpoint")
+        streamed = spark.read.parquet(f"{folder}/rows")
+        batch = models.predict(model, made, "saved").select("flow_id", F.col(models.SCORE).alias("expected"))
+        counts.append(
+            streamed.join(batch, "flow_id", "left")
+            .groupBy(F.lit(run).alias("run"), "label")
+            .agg(F.count("*").alias("rows"), F.count_if(F.col(models.SCORE) == F.col("expected")).alias("as_batch"))
+        )
+        counts[-1] = durable(counts[-1], "counts")
+    return reduce(DataFrame.unionByName, counts)

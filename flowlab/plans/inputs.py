@@ -46,6 +46,19 @@ FROM (SELECT model, flow_id, line_class, label,
       {models}) lifted
 """
 
+#: Rows of seven classes, of one that the class index has not seen and of none, with a shift between the
+#: class and its prediction and a base for the scores.
+CLASSED_SQL = """
+SELECT concat_ws('-', CAST(l_orderkey AS {S}), CAST(l_linenumber AS {S}), CAST(l_partkey AS {S}),
+                 CAST(l_suppkey AS {S}),
+                 CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS {S})) AS flow_id,
+       CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN l_partkey % 97 = 0 THEN 'Other'
+            ELSE concat('Class ', CAST((l_linenumber * 3) % 7 AS {S})) END AS label_original,
+       CASE WHEN l_partkey % 10 < 6 THEN 0 ELSE l_suppkey % 7 END AS shift,
+       (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 1000 AS base
+FROM {lineitem}
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -66,3 +79,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         models=f"LATERAL VIEW explode(map({pairs})) lifts AS model, lift",
     )
     return spark.sql(sql, lineitem=table(spark, sf_dir, "lineitem"))
+
+
+def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of several classes, with what a made-up classifier makes of them in whole numbers."""
+    sql = CLASSED_SQL.format(S="STRING", lineitem="{lineitem}")
+    return spark.sql(sql, lineitem=table(spark, sf_dir, "lineitem"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlab.plans.inputs import FLOWS_SQL, SCORED_LIFTS, SCORED_SQL
+from flowlab.plans.inputs import CLASSED_SQL, FLOWS_SQL, SCORED_LIFTS, SCORED_SQL
 
 # The rules are spelled out here once more: a wrong constant in the library must not pass.
 SENTINELS = ["Infinity", "-Infinity", "inf", "-inf"]
@@ -194,13 +194,14 @@ WITH_SCORED = "WITH scored AS ({})".format(
     SCORED_SQL.format(S="VARCHAR", lineitem="lineitem", models=f"CROSS JOIN (VALUES {LIFTS}) lifts(model, lift)")
 )
 WITH_CELLS = f"{WITH_SCORED}, cells AS (SELECT model, label, prediction, count(*) AS count FROM scored GROUP BY ALL)"
-WITH_CLASSES = f"""{WITH_CELLS}, actual AS (SELECT model, label AS class, sum(count)::BIGINT AS rows,
+CLASS_STEPS = """, actual AS (SELECT model, label AS class, sum(count)::BIGINT AS rows,
     coalesce(sum(count) FILTER (label = prediction), 0)::BIGINT AS hits FROM cells GROUP BY ALL),
   predicted AS (SELECT model, prediction AS class, sum(count)::BIGINT AS n FROM cells GROUP BY ALL),
   pr AS (SELECT a.model, a.class, a.rows, a.hits, CASE WHEN n > 0 THEN hits / n ELSE 0.0::DOUBLE END AS precision,
     hits / rows AS recall FROM actual a LEFT JOIN predicted p ON a.model = p.model AND a.class = p.class),
   classes AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
     ELSE 0.0::DOUBLE END AS f1 FROM pr)"""
+WITH_CLASSES = WITH_CELLS + CLASS_STEPS
 WITH_RANKED = """{scored}, steps AS (SELECT model, score, count(*) FILTER (label > 0.5) AS p,
     count(*) FILTER (label <= 0.5) AS n FROM scored GROUP BY model, score),
   ranked AS (SELECT *, (sum(p) OVER w)::BIGINT AS tp, (sum(n) OVER w)::BIGINT AS fp,
@@ -217,6 +218,26 @@ WITH_LONG = f"{WITH_WIDE}, long AS (" + " UNION ALL ".join(
     f"SELECT model, '{m}' AS metric, {m} AS value FROM wide" for m in METRICS
 ) + ")"
 
+# ---- several classes
+
+CLASSES_KNOWN = 7
+WITH_FOUND = f"""WITH classed AS ({CLASSED_SQL.format(S="VARCHAR", lineitem="lineitem")}),
+  numbers AS (SELECT label_original AS class, (row_number() OVER (ORDER BY count(*) DESC, label_original) - 1)::DOUBLE AS place
+    FROM classed WHERE label_original <> 'Other' GROUP BY label_original
+    UNION ALL SELECT '(unseen)', {CLASSES_KNOWN}.0::DOUBLE),
+  found AS (SELECT label, (label + shift) % {CLASSES_KNOWN} AS prediction, base
+    FROM (SELECT coalesce(place, {CLASSES_KNOWN}.0::DOUBLE) AS label, shift, base FROM classed
+          LEFT JOIN numbers ON class = label_original))"""
+WITH_REPORT = WITH_RANKED.format(
+    scored=f"""{WITH_FOUND}, cells AS (SELECT 'made up' AS model, label, prediction, count(*) AS count FROM found GROUP BY ALL)
+  {CLASS_STEPS}, scored AS (SELECT place::DOUBLE AS model, CASE WHEN place = label THEN 1 ELSE 0 END AS label,
+    (base + place * 131) % 1000 + CASE WHEN place = label THEN 300 ELSE 0 END AS score
+    FROM found, range({CLASSES_KNOWN}) places(place))"""
+) + f""", area AS ({AREA}), report AS (SELECT c.model, n.class, c.rows, c.hits, c.precision, c.recall, c.f1, area.auc_roc
+    FROM classes c JOIN numbers n ON n.place = c.class LEFT JOIN area ON area.model = c.class)"""
+FOLDS = 3
+FOLD = f"(('0x' || substr(md5('fold:' || coalesce(flow_id, '')), 1, 8))::BIGINT % {FOLDS})::INTEGER"
+
 
 def oracle_sql() -> dict[str, str]:
     wide = ", ".join(f"round({m}, 9) AS {m}" for m in METRICS)
@@ -370,6 +391,55 @@ def oracle_sql() -> dict[str, str]:
         "approx_bounds_within_error": " UNION ALL ".join(
             f"SELECT '{m}' AS \"column\", {p}::DOUBLE AS probability, TRUE AS within" for m in MEASURES for p in (0.01, 0.99)
         ),
+        "approx_bounds_beyond_sketches": " UNION ALL ".join(
+            f"SELECT '{m}' AS \"column\", {p}::DOUBLE AS probability, TRUE AS within" for m in MEASURES for p in (0.01, 0.99)
+        ),
+        "quarantined_lines": f"{WITH_FLOWS}, lines AS (SELECT CASE WHEN bwd_packets_count = '0' THEN concat_ws(',', flow_id, duration) "
+        "WHEN fwd_packets_count = '7' THEN concat_ws(',', flow_id, duration, fwd_packets_count, 'more') "
+        "ELSE concat_ws(',', flow_id, duration, fwd_packets_count) END AS line, "
+        "bwd_packets_count = '0' OR fwd_packets_count = '7' AS quarantined FROM flows) "
+        "SELECT quarantined, line, CASE WHEN quarantined THEN TRUE END AS named FROM lines",
+        "observed_quality": f"{WITH_FLOWS} SELECT 'rows' AS \"check\", 'label' AS \"column\", count(*) AS rows FROM flows "
+        "UNION ALL SELECT 'label_missing', 'label', count(*) FROM flows WHERE label IS NULL "
+        f"UNION ALL SELECT 'cast_failed', 'note', count(*) FROM flows WHERE flow_id NOT IN ({IN_LIST}) AND TRY_CAST(flow_id AS DOUBLE) IS NULL",
+        "rescored_partition": f"{WITH_SCORED} SELECT model, count(*) AS rows, "
+        f"sum(CASE WHEN model <> '{list(SCORED_LIFTS)[1]}' THEN prediction WHEN score >= 300 THEN 1 ELSE 0 END)::BIGINT AS called, "
+        f"model <> '{list(SCORED_LIFTS)[1]}' AS files_kept FROM scored GROUP BY model",
+        "class_numbers": f"{WITH_FOUND} SELECT place AS class_index, class FROM numbers",
+        "multiclass_report": f"{WITH_REPORT} SELECT model, class, rows, hits, round(precision, 9) AS precision, "
+        "round(recall, 9) AS recall, round(f1, 9) AS f1, round(auc_roc, 9) AS auc_roc FROM report",
+        "multiclass_macro": f"{WITH_REPORT} SELECT model, count(*) AS classes, round(avg(precision), 9) AS precision, "
+        "round(avg(recall), 9) AS recall, round(avg(f1), 9) AS f1, round(avg(auc_roc), 9) AS auc_roc FROM report GROUP BY model",
+        "multiclass_confusion": f"{WITH_FOUND}, cells AS (SELECT label, prediction, count(*) AS n FROM found GROUP BY ALL) "
+        "SELECT 'made up' AS model, a.class AS actual, p.class AS predicted, coalesce(n, 0) AS count "
+        f"FROM numbers a JOIN numbers p ON p.place < {CLASSES_KNOWN} LEFT JOIN cells ON label = a.place AND prediction = p.place",
+        "class_weights": f"{WITH_CLEANED} SELECT label, count(*) AS rows, "
+        "round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 9) AS weight FROM cleaned GROUP BY label",
+        "weighted_confusion": f"{WITH_SCORED}, sizes AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS k "
+        "FROM scored GROUP BY label) SELECT model, label, prediction, count(*) AS count, round(count(*) * max(total / (k * n)), 6) AS weight "
+        "FROM scored JOIN sizes USING (label) GROUP BY ALL",
+        "saved_model_scores": f"{WITH_CLEANED} SELECT {TARGET} AS label, count(*) AS rows, count(*) AS as_fitted "
+        f"FROM cleaned WHERE NOT ({in_train()}) GROUP BY 1",
+        "saved_pipeline_vectors": f"{WITH_ENGINEERED}, bounds AS ({bounds('engineered', FEATURES)} WHERE {in_train()}), ready AS "
+        "(SELECT flow_id, " + ", ".join(f"coalesce({capped(f)}, 0.0) AS {f}" for f in FEATURES)
+        + f" FROM engineered, bounds WHERE NOT ({in_train()})) SELECT flow_id, {ROUNDED_LOGS} FROM ready",
+        "fold_bounds": f"{WITH_ENGINEERED}, folded AS (SELECT *, {FOLD} AS fold FROM engineered), bounds AS ("
+        + " UNION ALL ".join(
+            f"SELECT {i}::INTEGER AS fold, '{f}' AS \"column\", quantile_disc({f}, 0.01) AS low, quantile_disc({f}, 0.99) AS high "
+            f"FROM folded WHERE fold <> {i}"
+            for i in range(FOLDS)
+            for f in FEATURES
+        )
+        + ') SELECT fold, "column", round(low, 6) AS low, round(high, 6) AS high FROM bounds WHERE low < high',
+        "validation_folds": f"{WITH_FLOWS}, keyed AS (SELECT label, CASE WHEN fwd_packets_count <> '7' THEN flow_id END AS flow_id FROM flows) "
+        f"SELECT {FOLD} AS fold, label, count(*) AS rows FROM keyed GROUP BY 1, 2",
+        "tuned_settings": f"{WITH_CLEANED} SELECT {FOLD} AS fold, setting, count(*) AS rows, 5::BIGINT AS in_unit, TRUE AS best_mean "
+        f"FROM cleaned, (VALUES {', '.join(f"""('{{"elasticNetParam": 0.0, "regParam": {r}}}')""" for r in ('0.0', '0.3'))}) s(setting) "
+        f"WHERE {in_train()} GROUP BY 1, 2",
+        "multiclass_model": f"{WITH_CLEANED} SELECT coalesce(label, '(unseen)') AS class, count(*) AS rows, TRUE AS as_counted, TRUE AS area "
+        f"FROM cleaned WHERE NOT ({in_train()}) GROUP BY 1",
+        "raw_stream_score": f"{WITH_CLEANED} SELECT run::INTEGER AS run, {TARGET} AS label, count(*) AS rows, count(*) AS as_batch "
+        f"FROM cleaned, range(1, 4) runs(run) WHERE run > 1 OR {percent_of('flow_id')} < 50 GROUP BY 1, 2",
         "auc_binned": f"{WITH_SCORED} SELECT DISTINCT model, TRUE AS near FROM scored",
         "score_coverage": WITH_RANKED.format(
             scored=WITH_SCORED.replace("WITH scored AS", "WITH every AS")

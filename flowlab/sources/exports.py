@@ -51,6 +51,13 @@ def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     rows.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """The one text column as lines, in as many files as there are tasks, each headed by ``header``."""
+    as_they_are = {"header": True, "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer = lines.toDF(header).write.mode("overwrite").options(**as_they_are)
+    writer.option("sep", "\u0001").option("emptyValue", "").csv(path)
+
+
 def write_json(df: DataFrame, path: str, one_file: bool = False) -> None:
     rows = df.coalesce(1) if one_file else df
     rows.write.mode("overwrite").json(path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
+FILE = "_file"
+QUARANTINED = "_quarantined"
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:
@@ -52,14 +54,28 @@ def check_headers(spark: SparkSession, path: str) -> None:
         raise ValueError(f"headers differ: {kinds[0].words} in {kinds[0].file}, {kinds[1].words} in {kinds[1].file}")
 
 
-def read_flows(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def quarantine_flows(spark: SparkSession, path: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantined): the CSV files under ``path`` parsed once and written to ``folder``, lines with a
+    wrong number of fields apart from the others. ``quarantined`` has (file, text)."""
+    parsed = read_flows(spark, path, keep_corrupt=True, file_column=FILE)
+    flagged = parsed.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull())
+    flagged.write.mode("overwrite").partitionBy(QUARANTINED).parquet(folder)
+    schema = StructType([*parsed.schema.fields, StructField(QUARANTINED, BooleanType())])
+    stored = spark.read.schema(schema).parquet(folder)
+    rows = stored.filter(~F.col(QUARANTINED)).drop(QUARANTINED, CORRUPT, FILE)
+    return rows, stored.filter(QUARANTINED).select(F.col(FILE).alias("file"), F.col(CORRUPT).alias("text"))
+
+
+def read_flows(
+    spark: SparkSession, path: str, keep_corrupt: bool = False, file_column: str | None = None
+) -> DataFrame:
     """All CSV files under ``path`` as text columns, blanks around values removed.
 
     The schema comes from one header line and not from inference. Every file's header must be that
     of the first, padding aside; a file with other columns, or the same in another order, fails.
     Spark makes that check while it reads, if every column has its own name. With repeated names, or
     with ``keep_corrupt``, which adds the raw text of rows with a wrong number of fields, columns
-    are bound by position and the headers are compared beforehand.
+    are bound by position and the headers are compared beforehand. ``file_column`` adds each row's file.
     """
     header = header_names(spark, path)
     names, kept = positional_names(header)
@@ -77,4 +93,5 @@ def read_flows(spark: SparkSession, path: str, keep_corrupt: bool = False) -> Da
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
-    return rows.select(*(F.col(f"`{c}`") for c in [*kept, *([CORRUPT] if keep_corrupt else [])]))
+    file = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
+    return rows.select(*(F.col(f"`{c}`") for c in [*kept, *([CORRUPT] if keep_corrupt else [])]), *file)

@@ -66,6 +66,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """The marker that Spark's own table writers leave, for results that are written in another way."""
+    write_text(spark, f"{path}/_SUCCESS", "")
+
+
 def remove_marker(spark: SparkSession, path: str) -> None:
     """Make a finished result count as unfinished before it is written anew."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

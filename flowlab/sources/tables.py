@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -28,12 +29,27 @@ def read_if_present(spark: SparkSession, path: str, schema: StructType) -> tuple
         return spark.createDataFrame([], schema), False
 
 
+def _clustered(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.hint("rebalance", *by) if by else df
+
+
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     """Overwrite ``path``. With ``partition_by``, rows are first brought together by these columns, in
     partitions of an even size: few files per directory, and several for a large one."""
     by = list(partition_by)
-    rows = df.hint("rebalance", *by) if by else df
-    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
+    _clustered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
+    """Overwrite the partitions of ``path`` that ``df`` has rows for, and leave the files of all others."""
+    by = list(partition_by)
+    rows = _clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy(*by).parquet(path)
+
+
+def files_of(df: DataFrame) -> list[str]:
+    """The files that rows of a scan come from; partitions that a filter excludes are not read."""
+    return sorted(r.file for r in df.select(F.col("_metadata.file_path").alias("file")).distinct().collect())
 
 
 def dealt(df: DataFrame, key: str) -> DataFrame:

@@ -93,3 +93,15 @@ def test_cut_points_are_balanced_and_deduplicated(spark):
     assert cuts == sorted(set(cuts)) and len(cuts) <= 9
     sizes = ranking.with_bucket(rows.filter("v > 0"), "v", cuts).groupBy(ranking.BUCKET).count()
     assert sizes.agg(F.max("count")).first()[0] <= 1500
+
+
+def test_errors_beyond_sketches_are_kept_by_exact_quantiles(spark):
+    assert sketches.SIZE < sketches.size_for(0.001) <= sketches.LARGEST
+    assert sketches.size_for(1e-4) is None and sketches.size_for(0) is None and sketches.size_for(1e-9) is None
+    rows = spark.range(50_000).select(
+        (F.col("id") * 7919 % 50_000).cast("double").alias("x"), F.lit(None).cast("double").alias("nothing")
+    )
+    wanted = {r.probability: r.value for r in exact_quantiles(rows, ["x"], [0.01, 0.5, 0.99]).collect()}
+    for error in (1e-4, 1e-5, 0):
+        found = quantiles.approximate_quantiles(rows, ["x", "nothing"], [0.01, 0.5, 0.99], error)
+        assert found == {"x": [wanted[0.01], wanted[0.5], wanted[0.99]], "nothing": []}

@@ -1,0 +1,325 @@
+"""Saved models, caps as a pipeline step, tuning, class weights, several classes, and raw streams."""
+
+from __future__ import annotations
+
+import json
+import math
+import random
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from flowlab.functions.keys import fold_number
+from flowlab.operators import clean, features, metrics, models, multiclass, tuning, weights
+from flowlab.operators.capping import OutlierCaps, OutlierCapsModel
+from flowlab.plans import stages
+from flowlab.plans.inputs import flows
+from flowlab.sources import tables
+from flowlab.streaming.scoring import score_raw_files
+
+QUICK = {"maxIter": 3}
+
+
+@pytest.fixture(scope="module")
+def made(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("engineered") / "rows")
+    features.engineered(clean.clean_flows(flows(spark, sf_dir))).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def ready(made):
+    names = features.numeric_columns(made)
+    caps = features.fit_caps(made, names, exact=True)
+    return features.assemble(features.fill_missing(features.apply_caps(made, caps), names), names)
+
+
+@pytest.fixture(scope="module")
+def pipeline(made):
+    return models.from_features(features.numeric_columns(made), models.estimator_lr(0, **QUICK), exact=True)
+
+
+# ---- saved models ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "name, settings",
+    [
+        (models.MODEL_LR, QUICK),
+        (models.MODEL_MLP, {"maxIter": 3}),
+        (models.MODEL_RF, {"numTrees": 3, "maxDepth": 3}),
+    ],
+)
+def test_a_saved_model_scores_as_the_fitted_one(ready, tmp_path, name, settings):
+    model = models.fit_named(name, ready, **settings)
+    models.save_model(model, str(tmp_path / "model"))
+    again = models.load_model(str(tmp_path / "model"))
+    test = models.split(ready)[1]
+    columns = ["flow_id", "prediction", models.SCORE]
+    one, other = (models.predict(m, test, "m").select(columns) for m in (model, again))
+    assert one.exceptAll(other).isEmpty() and one.count() == other.count() > 0
+
+
+def test_a_model_stage_is_fitted_once_and_again_with_other_settings(spark, ready, tmp_path):
+    folder = str(tmp_path)
+    tables.write_table(ready, f"{folder}/ml_ready")
+    stages.write_text(spark, f"{folder}/ml_ready.settings", "{}")
+    fits = []
+
+    def train(**settings):
+        def fit():
+            fits.append(settings)
+            return models.fit_named(models.MODEL_LR, ready, **settings)
+
+        return stages.materialize_model(spark, "m", f"{folder}/m", fit, [f"{folder}/ml_ready"], settings).status
+
+    assert [train(maxIter=1), train(maxIter=1), train(maxIter=2)] == ["written", "skipped", "written"]
+    assert fits == [{"maxIter": 1}, {"maxIter": 2}]
+    assert isinstance(models.load_model(f"{folder}/m"), PipelineModel)
+
+
+def test_scoring_reads_the_saved_model(spark, ready, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    tables.write_table(ready, f"{folder}/ml_ready")
+    stages.train(spark, folder, models.MODEL_LR, **QUICK)
+
+    def no_fit(*_, **__):
+        raise AssertionError("a saved model must not be fitted again")
+
+    monkeypatch.setattr(stages, "fit_named", no_fit)
+    assert stages.score(spark, folder, models.MODEL_LR, **QUICK).status == "written"
+    assert stages.score(spark, folder, models.MODEL_LR, **QUICK).status == "skipped"
+
+
+def test_rescoring_one_model_leaves_the_files_of_others(spark, ready, tmp_path):
+    folder = str(tmp_path)
+    tables.write_table(ready, f"{folder}/ml_ready")
+    forest = {"numTrees": 2, "maxDepth": 2}
+    stages.score(spark, folder, models.MODEL_LR, **QUICK)
+    stages.score(spark, folder, models.MODEL_RF, **forest)
+
+    def files(name):
+        table = tables.read_table(spark, stages.predictions_table(folder))
+        return tables.files_of(table.filter(F.col("model") == name))
+
+    before = {m: files(m) for m in (models.MODEL_LR, models.MODEL_RF)}
+    assert not set(before[models.MODEL_LR]) & set(before[models.MODEL_RF])
+    stages.score(spark, folder, models.MODEL_LR, maxIter=5)
+    assert files(models.MODEL_RF) == before[models.MODEL_RF] and files(models.MODEL_LR) != before[models.MODEL_LR]
+    assert stages.score(spark, folder, models.MODEL_RF, **forest).status == "skipped"
+    plan = stages.read_predictions(spark, folder, [models.MODEL_RF])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(model" in plan or "PartitionFilters: [model" in plan
+
+
+# ---- caps as a step -------------------------------------------------------------------------
+
+
+def test_caps_step_equals_the_functions(made):
+    names = features.numeric_columns(made)
+    model = OutlierCaps(inputCols=names, exact=True).fit(made)
+    caps = features.fit_caps(made, names, exact=True)
+    assert model.caps == caps
+    wanted = features.fill_missing(features.apply_caps(made, caps), names)
+    assert model.transform(made).exceptAll(wanted).isEmpty()
+
+
+def test_caps_step_survives_saving(spark, made, tmp_path):
+    names = features.numeric_columns(made)
+    step = OutlierCaps(inputCols=names, lower=0.05, upper=0.9, exact=True)
+    step.write().overwrite().save(str(tmp_path / "step"))
+    again = OutlierCaps.load(str(tmp_path / "step"))
+    assert again.getInputCols() == names and again.getOrDefault("lower") == 0.05 and again.getOrDefault("exact")
+    model = step.fit(made)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    assert OutlierCapsModel.load(str(tmp_path / "model")).caps == model.caps
+
+
+def test_caps_step_without_bounds(spark):
+    rows = spark.createDataFrame([(1.0, None, float("nan"))] * 3, "same double, nothing double, odd double")
+    model = OutlierCaps(inputCols=rows.columns, exact=True).fit(rows)
+    assert model.caps == {} and {tuple(r) for r in model.transform(rows).collect()} == {(1.0, 0.0, 0.0)}
+
+
+def test_a_saved_pipeline_makes_the_same_vectors(made, pipeline, tmp_path):
+    train, test = models.split(made)
+    fitted = pipeline.fit(train)
+    models.save_model(fitted, str(tmp_path / "p"))
+    again = models.load_model(str(tmp_path / "p"))
+    one, other = (m.transform(test).select("flow_id", vector_to_array("features").alias("v"), "prediction") for m in (fitted, again))
+    assert one.exceptAll(other).isEmpty() and one.count() == test.count()
+    assert fitted.stages[0].caps == again.stages[0].caps == OutlierCaps(inputCols=features.numeric_columns(made), exact=True).fit(train).caps
+
+
+# ---- tuning ---------------------------------------------------------------------------------
+
+
+def test_folds_hold_every_row_once_on_any_layout(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 10 > 0, F.col("id").cast("string")).alias("flow_id"), "id")
+    one = {r.id: r.fold for r in tuning.with_fold(rows, folds=5).collect()}
+    other = {r.id: r.fold for r in tuning.with_fold(rows.repartition(13).orderBy(F.desc("id")), folds=5).collect()}
+    assert one == other and set(one.values()) == set(range(5)) and len(one) == 3000
+
+
+def test_folds_do_not_follow_the_split(spark):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("flow_id"))
+    shares = models.split(rows)[0].groupBy(fold_number("flow_id", 4).alias("f")).count().collect()
+    assert len(shares) == 4 and all(abs(r["count"] - 4000) < 300 for r in shares)
+
+
+def test_tuning_chooses_the_largest_mean(made, pipeline):
+    train = models.split(made)[0]
+    grid = tuning.settings_grid(regParam=[5.0, 0.0], lower=[0.01])
+    found = tuning.cross_validate(train, pipeline, grid, folds=2)
+    rows = found.results.collect()
+    assert len(rows) == 2 * 2 * len(metrics.METRICS)
+    means = {}
+    for r in rows:
+        if r.metric == "f1":
+            means.setdefault(r.setting, []).append(r.value)
+    best = max(sorted(means), key=lambda s: sum(means[s]))
+    assert found.best == json.loads(best) == {"regParam": 0.0, "lower": 0.01}
+    assert found.model.stages[-1].getRegParam() == 0.0 and found.model.stages[0].getOrDefault("inputCols")
+    assert pipeline.getStages()[-1].getRegParam() == 0.0  # the given pipeline is as it was
+    counted = found.outcomes.groupBy("model").agg(F.sum("count")).collect()
+    assert {r[1] for r in counted} == {train.count()}
+
+
+def test_fold_metrics_follow_from_each_fold_alone(made, pipeline):
+    train = models.split(made)[0]
+    outcomes = tuning.fold_outcomes(train, pipeline, [{}], folds=2)
+    results = {(r.fold, r.metric): r.value for r in tuning.fold_metrics(outcomes).collect()}
+    placed = tuning.with_fold(train, folds=2)
+    for fold in (0, 1):
+        model = pipeline.fit(tables.dealt(placed.filter(F.col("fold") != fold), "flow_id"))
+        alone = metrics.metrics_long(models.predict(model, placed.filter(F.col("fold") == fold), "m"), models.SCORE)
+        for r in alone.collect():
+            assert results[fold, r.metric] == pytest.approx(r.value, abs=1e-12)
+
+
+def test_tuning_refuses_what_it_cannot_set(made, pipeline):
+    with pytest.raises(ValueError, match="0 stages have a parameter nothing"):
+        tuning.fold_outcomes(made, pipeline, [{"nothing": 1}], folds=2)
+    with pytest.raises(ValueError):
+        tuning.cross_validate(made, pipeline, [], folds=2)
+
+
+# ---- class weights --------------------------------------------------------------------------
+
+
+def test_weights_even_out_classes(spark):
+    rows = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2 + [(None,)] * 4, "label string")
+    found = {r.label: (r.rows, r.weight) for r in weights.class_weights(rows).collect()}
+    assert found == {"a": (6, pytest.approx(12 / 18)), "b": (2, 2.0), None: (4, 1.0)}
+    weighed = weights.with_class_weights(rows).groupBy("label").agg(F.sum("class_weight").alias("w")).collect()
+    assert all(r.w == pytest.approx(4) for r in weighed)
+    other = spark.createDataFrame([("a",), ("c",)], "label string")
+    assert dict(weights.with_class_weights(other, fitted_on=rows).collect()) == {"a": pytest.approx(12 / 18), "c": 1.0}
+    assert weights.with_class_weights(rows.filter("false")).isEmpty()
+
+
+def rare_benign(spark, rows=6000):
+    """Two overlapping classes, of which the benign one is rare."""
+    r = random.Random(7)
+    data = []
+    for i in range(rows):
+        attack = r.random() < 0.95
+        data.append((str(i), float(attack), "X" if attack else "BENIGN", r.gauss(0.8 if attack else 0.0, 1.0)))
+    return features.assemble(spark.createDataFrame(data, "flow_id string, label double, label_original string, x double"), ["x"])
+
+
+def test_weights_raise_the_recall_of_the_rare_class(spark):
+    rows = rare_benign(spark)
+    train, test = models.split(rows)
+    weighed = weights.with_class_weights(rows, fitted_on=train)
+
+    def recall(weight):
+        model = models.fit_named(models.MODEL_LR, weighed, weight=weight, maxIter=20)
+        scored = models.predict(model, models.split(weighed)[1], "m")
+        return {r["class"]: r.recall for r in metrics.recall_by_class(scored).collect()}
+
+    plain, even = recall(None), recall(weights.WEIGHT)
+    assert plain["BENIGN"] < 0.1 and even["BENIGN"] > 0.5 and even["X"] < plain["X"]
+
+
+def test_weighted_confusion_adds_up(spark):
+    rows = spark.createDataFrame(
+        [("m", 1.0, 1.0)] * 8 + [("m", 0.0, 1.0), ("m", 0.0, 0.0)], "model string, label double, prediction double"
+    )
+    cells = {(r.label, r.prediction): (r["count"], r.weight) for r in weights.weighted_confusion(weights.with_class_weights(rows)).collect()}
+    assert cells == {(1.0, 1.0): (8, 5.0), (0.0, 1.0): (1, 2.5), (0.0, 0.0): (1, 2.5)}
+
+
+# ---- several classes ------------------------------------------------------------------------
+
+
+def three_classes(spark, rows=3000):
+    r = random.Random(11)
+    data = []
+    for i in range(rows):
+        place = r.choice([0, 0, 0, 1, 1, 2])
+        x, y = r.gauss(4 * (place == 1), 1), r.gauss(4 * (place == 2), 1)
+        data.append((str(i), ["common", "medium", "rare"][place], x, y))
+    data += [("odd1", None, 0.0, 0.0), ("odd2", "never seen", 0.0, 0.0)]
+    frame = spark.createDataFrame(data, "flow_id string, label_original string, x double, y double")
+    return features.assemble(frame, ["x", "y"]).select("flow_id", "label_original", "features")
+
+
+@pytest.mark.parametrize(
+    "kind, settings", [(multiclass.multinomial, {"maxIter": 20}), (multiclass.forest, {"numTrees": 5, "maxDepth": 5})]
+)
+def test_models_of_several_classes(spark, kind, settings):
+    rows, estimator = three_classes(spark), kind(**settings)
+    train = rows.filter("flow_id NOT LIKE 'odd%'")
+    index = multiclass.class_index(train)
+    assert index.labels == ["common", "medium", "rare"]
+    model = multiclass.fit_classes(train, index, estimator)
+    assert model.numClasses == 3
+    scored = multiclass.predict_classes(model, rows, index, "m")
+    report, cells = multiclass.evaluate(scored, index)
+    found = {r["class"]: r for r in report.collect()}
+    assert set(found) == {"common", "medium", "rare", multiclass.UNSEEN}
+    assert found[multiclass.UNSEEN].rows == 2 and found[multiclass.UNSEEN].hits == 0 and found[multiclass.UNSEEN].auc_roc is None
+    assert all(found[c].recall > 0.9 and found[c].auc_roc > 0.95 for c in index.labels)
+    matrix = {(r.actual, r.predicted): r["count"] for r in multiclass.confusion_matrix(cells, index.labels).collect()}
+    assert len(matrix) == 4 * 3 and sum(matrix.values()) == rows.count()
+    assert matrix["common", "common"] == found["common"].hits
+    macro = multiclass.macro_metrics(report).first()
+    assert macro.classes == 4 and macro.recall == pytest.approx(sum(r.recall for r in found.values()) / 4)
+
+
+def test_class_order_and_ties(spark):
+    rows = spark.createDataFrame([(c,) for c in ["b", "a", "c", "c", None]], "label_original string")
+    assert multiclass.class_index(rows).labels == ["c", "a", "b"]
+
+
+def test_unusable_class_scores_are_left_out(spark):
+    rows = spark.createDataFrame(
+        [("m", 0.0, [0.9, 0.1]), ("m", 1.0, [0.2, None]), ("m", 1.0, [float("nan"), 0.7])],
+        "model string, label double, probability array<double>",
+    )
+    found = sorted(tuple(r) for r in multiclass.class_outcomes(rows).collect())
+    assert found == [("m", 0.0, 0.2, 0, 1), ("m", 0.0, 0.9, 1, 0), ("m", 1.0, 0.1, 0, 1), ("m", 1.0, 0.7, 1, 0)]
+
+
+# ---- raw files to scores --------------------------------------------------------------------
+
+
+def test_raw_stream_scores_as_the_table(spark, sf_dir, made, pipeline, tmp_path):
+    source, landing, memory = (str(tmp_path / n) for n in ("source", "landing", "memory"))
+    raw = flows(spark, sf_dir)
+    model = pipeline.fit(models.split(made)[0])
+
+    def run():
+        return score_raw_files(spark, model, "m", source, raw.schema, landing, memory, files_per_batch=2)
+
+    first, rest = models.split(raw, percent=30)
+    first.repartition(3).write.option("header", True).csv(source)
+    assert run() == first.count() and run() == 0
+    rest.repartition(4).write.mode("append").option("header", True).csv(source)
+    assert run() == rest.count()
+    columns = ["flow_id", "label", "prediction", models.SCORE]
+    streamed, batch = spark.read.parquet(landing).select(columns), models.predict(model, made, "m").select(columns)
+    assert streamed.exceptAll(batch).isEmpty() and streamed.count() == batch.count() == made.count()
+    assert all(0 <= r[0] <= 1 and not math.isnan(r[0]) for r in streamed.select(models.SCORE).collect())

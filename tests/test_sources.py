@@ -129,3 +129,45 @@ def test_durable_rows_have_no_lineage(spark):
     kept = storage.durable(spark.range(10).filter("id > 3"))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert kept.count() == 6 and "Range" not in plan
+
+
+def test_headed_lines_go_to_many_files(spark, tmp_path):
+    lines = spark.range(0, 40, 1, 4).select(F.concat(F.lit(' "'), F.col("id").cast("string"), F.lit(', x"  ')).alias("value"))
+    exports.write_lines(lines, str(tmp_path / "lines"), " a ,b  ")
+    files = sorted((tmp_path / "lines").glob("*.csv"))
+    assert len(files) == 4
+    for file in files:
+        head, *rest = file.read_text().splitlines()
+        assert head == " a ,b  " and len(rest) == 10 and all(line.startswith(' "') and line.endswith('x"  ') for line in rest)
+
+
+def test_quarantine_splits_lines_in_one_pass(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n3\n4,5,6\n,\n")
+    (folder / "b.csv").write_text("x,y\n7,8\n")
+    rows, bad = flow_csv.quarantine_flows(spark, str(folder), str(tmp_path / "parsed"))
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([("1", "2"), (None, None), ("7", "8")], key=str)
+    found = {(r.text, r.file.rsplit("/", 1)[1]) for r in bad.collect()}
+    assert found == {("3", "a.csv"), ("4,5,6", "a.csv")}
+    assert rows.columns == ["x", "y"] and {p.name for p in (tmp_path / "parsed").glob("_quarantined=*")} == {
+        "_quarantined=false", "_quarantined=true"
+    }
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_quarantined" in plan
+
+
+def test_nothing_to_quarantine(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    rows, bad = flow_csv.quarantine_flows(spark, str(tmp_path / "a.csv"), str(tmp_path / "parsed"))
+    assert rows.count() == 1 and bad.isEmpty()
+
+
+def test_replaced_partitions_leave_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(100).select("id", (F.col("id") % 3).alias("part"))
+    tables.replace_partitions(rows, path, ["part"])
+    files = {p: sorted((tmp_path / "t" / f"part={p}").glob("*.parquet")) for p in range(3)}
+    tables.replace_partitions(rows.filter("part = 1").limit(5), path, ["part"])
+    assert spark.read.parquet(path).groupBy("part").count().orderBy("part").collect() == [(0, 34), (1, 5), (2, 33)]
+    assert all(sorted((tmp_path / "t" / f"part={p}").glob("*.parquet")) == files[p] for p in (0, 2))

@@ -46,7 +46,7 @@ def test_second_run_skips_every_stage(spark, first_run, folder):
 @pytest.mark.parametrize("name", list(models.TRAINERS))
 def test_predictions_keep_rows_and_rules(spark, first_run, folder, name):
     test = models.split(tables.read_table(spark, f"{folder}/ml_ready"))[1]
-    scored = tables.read_table(spark, stages.predictions_path(folder, name))
+    scored = stages.read_predictions(spark, folder, [name])
     assert scored.columns == [
         "model", "flow_id", "label", "label_original", "features", "rawPrediction", "probability", "prediction", models.SCORE,
     ]
