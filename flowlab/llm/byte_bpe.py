@@ -4,6 +4,7 @@ A text is cut into the matches of a pattern (pre-tokens). The bytes of a pre-tok
 list; every pair of neighbours whose joined bytes have a rank waits in the bucket of that rank. A
 two-level bitmap of non-empty buckets gives the next rank by find-first-set, so a merge costs the
 same in a pre-token of a megabyte as in a word. Entries whose pair has changed since are skipped.
+Workers remember the encodings of short pre-tokens in a bounded number of bytes.
 
 Rows: a null text encodes to no ids and decodes to empty bytes, as an empty text does. Other columns
 pass through, ids and decoded bytes replace columns of their names. Repeated rows are encoded like
@@ -31,117 +32,124 @@ from pyspark.sql import types as T
 
 from flowlab.llm.common import SAFE_PLACE, tidy
 
-WORD_BITS = 256
-#: Encodings that a worker remembers; a full memory starts anew. It changes no result.
-MOST_REMEMBERED_WORDS = 900_000
-MOST_REMEMBERED_PIECES = 300_000
+WORD_SHIFT = 6
+#: Bytes of the encodings that a worker remembers, of words and of pieces between spaces, from task to task.
+#: They change no result. ENTRY_BYTES is what an entry takes besides its text and ids.
+WORD_BYTES = 64 << 20
+PIECE_BYTES = 64 << 20
+ENTRY_BYTES = 200
 LONGEST_REMEMBERED = 64
 #: Texts handled at a time, in bytes.
 SLICE_BYTES = 2 << 20
 
 
-class RankQueue:
-    """Positions by rank: the smallest rank first, in a rank the smallest position."""
-
-    def __init__(self, ranks: int):
-        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.words = [0] * (ranks // WORD_BITS + 1)
-        self.summary = 0
-        self.bits = [1 << i for i in range(max(WORD_BITS, len(self.words)))]
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket:
-            heappush(bucket, position)
-            return
-        bucket.append(position)
-        word = rank // WORD_BITS
-        bits = self.words[word]
-        if not bits:
-            self.summary |= self.bits[word]
-        self.words[word] = bits | self.bits[rank % WORD_BITS]
-
-    def pop(self) -> tuple[int, int]:
-        """Find-first-set in the summary, then in its word; the queue must not be empty."""
-        summary, words = self.summary, self.words
-        word = (summary & -summary).bit_length() - 1
-        bits = words[word]
-        bit = bits & -bits
-        rank = word * WORD_BITS + bit.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        if bits == bit:
-            self.summary = summary ^ self.bits[word]
-        words[word] = bits ^ bit
-        return rank, bucket.pop()
-
-
 class Memory(dict):
-    """What a function returned for short strings; full, it starts anew."""
+    """What a function returned for short strings, in at most so many bytes.
+
+    Half of them belong to the strings asked for last. When that half is full, it becomes the older half,
+    and the one before is forgotten; a string found in the older half moves back.
+    """
 
-    def __init__(self, function, most: int):
+    def __init__(self, function, most_bytes: int):
         super().__init__()
-        self.function, self.most = function, most
+        self.function, self.half, self.used, self.older = function, most_bytes // 2, 0, {}
 
     def __missing__(self, key: str) -> bytes:
-        ids = self.function(key)
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.function(key)
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= self.most:
+            size = ENTRY_BYTES + len(key) + len(ids)
+            if self.used + size > self.half:
+                self.older, self.used = self.copy(), 0
                 self.clear()
             self[key] = ids
+            self.used += size
         return ids
 
 
 class ByteBpe:
-    """Ranks of byte strings, a pattern, and what a worker remembers."""
+    """Ranks of byte strings, a pattern, the rank queue, and what a worker remembers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
-        self.vocabulary = [b""] * (max(ranks.values()) + 1)
+        size = max(ranks.values()) + 1
+        self.vocabulary = [b""] * size
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
-        self.words = Memory(self.word, MOST_REMEMBERED_WORDS)
-        self.after_space = Memory(lambda piece: self.piece(" " + piece), MOST_REMEMBERED_PIECES)
+        #: The queue: positions by rank, and the lower level of the bitmap, a bit for every bucket that holds some.
+        self.buckets: list[list[int]] = [[] for _ in range(size)]
+        self.words = [0] * ((size >> WORD_SHIFT) + 1)
+        self.bits = [1 << i for i in range(max(1 << WORD_SHIFT, len(self.words)))]
+        #: Ranks of two bytes, by their number.
+        self.pairs = [ranks.get(bytes(divmod(n, 256)), -1) for n in range(1 << 16)]
+        self.known_words = Memory(self.word, WORD_BYTES)
+        self.after_space = Memory(lambda piece: self.piece(" " + piece), PIECE_BYTES)
 
     def merge(self, data: bytes) -> list[int]:
-        """The ids of one pre-token: always merges the pair of least rank, the leftmost first."""
-        ranks, queue, end = self.ranks, self.queue, len(data)
+        """The ids of one pre-token: always merges the pair of least rank, the leftmost first.
+
+        The summary, the bitmap's upper level, has a bit for every word of the lower level that has one.
+        Find-first-set in it and then in its word is the next rank; a bucket gives its least position.
+        The queue is empty again at the end. Its steps stand here and not in functions: most
+        pre-tokens are words of a few bytes, for which calls would cost as much as the merges.
+        """
+        rank_of, buckets, words, bits, pairs = self.ranks.get, self.buckets, self.words, self.bits, self.pairs
+        end, summary, mask = len(data), 0, (1 << WORD_SHIFT) - 1
         following = list(range(1, end + 1))
         previous = list(range(-1, end))
         waiting = [-1] * (end + 1)  # rank of the pair that starts here
         for i in range(end - 1):
-            rank = ranks.get(data[i : i + 2])
-            if rank is not None:
+            rank = pairs[data[i] << 8 | data[i + 1]]
+            if rank >= 0:
                 waiting[i] = rank
-                queue.push(rank, i)
-        while queue.summary:
-            rank, i = queue.pop()
+                bucket = buckets[rank]
+                if not bucket:
+                    word = rank >> WORD_SHIFT
+                    if not words[word]:
+                        summary |= bits[word]
+                    words[word] |= bits[rank & mask]
+                bucket.append(i)  # positions rise, so the bucket stays a heap
+        while summary:
+            word = (summary & -summary).bit_length() - 1
+            filled = words[word]
+            lowest = filled & -filled
+            rank = (word << WORD_SHIFT) + lowest.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket.pop()
+                words[word] = filled = filled ^ lowest
+                if not filled:
+                    summary ^= bits[word]
             if waiting[i] != rank:
                 continue
             gone = following[i]
             after = following[gone]
             following[i] = after
             previous[after] = i
-            waiting[gone] = -1
-            if after < end:
-                new = ranks.get(data[i : following[after]])
-                waiting[i] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, i)
-            else:
-                waiting[i] = -1
+            waiting[gone] = waiting[i] = -1
+            changed = [(i, data[i : following[after]])] if after < end else []
             if i:
                 before = previous[i]
-                new = ranks.get(data[before:after])
-                waiting[before] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, before)
+                changed.append((before, data[before:after]))
+            for at, joined in changed:
+                waiting[at] = new = rank_of(joined, -1)
+                if new >= 0:
+                    bucket = buckets[new]
+                    if bucket:
+                        heappush(bucket, at)
+                        continue
+                    bucket.append(at)
+                    word = new >> WORD_SHIFT
+                    if not words[word]:
+                        summary |= bits[word]
+                    words[word] |= bits[new & mask]
         ids, i = [], 0
         while i < end:
-            ids.append(ranks[data[i : following[i]]])
+            ids.append(self.ranks[data[i : following[i]]])
             i = following[i]
         return ids
 
@@ -153,16 +161,12 @@ class ByteBpe:
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece of text, the matches of the pattern one by one."""
-        return b"".join(map(self.words.__getitem__, self.find(piece)))
+        return b"".join(map(self.known_words.__getitem__, self.find(piece)))
 
     def encode(self, text: str) -> bytes:
         first, *rest = SAFE_PLACE.split(text)
         return b"".join([self.piece(first), *map(self.after_space.__getitem__, rest)])
 
-    def forget(self) -> None:
-        self.words.clear()
-        self.after_space.clear()
-
     def decode(self, ids: bytes) -> bytes:
         numbers = array("I")
         numbers.frombytes(ids)
@@ -181,11 +185,10 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(ranks, pattern)
 
 
-def _mapped(df: DataFrame, column: str, added: dict, end) -> DataFrame:
+def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
     """``df`` with binary columns, each made from the one before, the first from ``column``.
 
-    Works on each Arrow batch a slice of bytes at a time. ``end`` is called when a task is done:
-    workers live on, and what they remember would take memory from the stages that follow.
+    Works on each Arrow batch a slice of bytes at a time.
     """
     kept = [f for f in df.schema.fields if f.name not in added]
     names = [f.name for f in kept]
@@ -200,7 +203,6 @@ def _mapped(df: DataFrame, column: str, added: dict, end) -> DataFrame:
                     values = list(map(convert, values))
                     made.append(pa.array(values, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, *added])
-        end()
 
     return df.mapInArrow(run, schema)
 
@@ -220,13 +222,13 @@ def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit numbers in one binary."""
     encoded = {ids_col: lambda text: coder(path, pattern).encode(text or "")}
-    return _mapped(docs, text_col, encoded, lambda: coder(path, pattern).forget())
+    return _mapped(docs, text_col, encoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that each row's ids stand for."""
     decoded = {out_col: lambda ids: coder(path, pattern).decode(ids or b"")}
-    return _mapped(encoded, ids_col, decoded, lambda: None)
+    return _mapped(encoded, ids_col, decoded)
 
 
 def round_trip(
@@ -240,7 +242,6 @@ def round_trip(
             ids_col: lambda text: coder(path, pattern).encode(text or ""),
             out_col: lambda ids: coder(path, pattern).decode(ids),
         },
-        lambda: coder(path, pattern).forget(),
     )
 
 

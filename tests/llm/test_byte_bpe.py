@@ -44,23 +44,51 @@ def test_memory_changes_nothing(pair):
     coder, library = pair
     text = " ".join(f"w{i}" for i in range(500))
     small = byte_bpe.ByteBpe(coder.ranks, P.PATTERN)
-    small.words.most = small.after_space.most = 3
-    assert small.encode(text) == coder.encode(text)
-    assert len(small.words) <= 3
-
-
-def test_queue_gives_least_rank_then_least_position():
-    queue = byte_bpe.RankQueue(70_000)
-    r = random.Random(1)
-    pushed = [(r.randrange(70_000) if i % 3 else 5, i) for i in range(3000)]
-    r.shuffle(pushed)
-    for entry in pushed:
-        queue.push(*entry)
-    popped = []
-    while queue.summary:
-        popped.append(queue.pop())
-    assert popped == sorted(pushed)
-    assert not any(queue.words) and not any(queue.buckets)
+    for memory in (small.known_words, small.after_space):
+        memory.half = 3 * (byte_bpe.ENTRY_BYTES + 50)
+    for _ in range(2):
+        assert small.encode(text) == coder.encode(text)
+    assert all(len(m) <= 3 and len(m.older) <= 3 for m in (small.known_words, small.after_space))
+
+
+def test_memory_keeps_what_was_asked_for_last():
+    asked = []
+
+    def encode(key):
+        asked.append(key)
+        return key.encode()
+
+    memory = byte_bpe.Memory(encode, 2 * 4 * (byte_bpe.ENTRY_BYTES + 4))
+    for key in ["k1", "k2", "k3", "k4", "k5", "k1", "k1", "k6", "k7", "k8", "k1"]:
+        assert memory[key] == key.encode()
+    assert asked == [f"k{i}" for i in range(1, 9)]  # k1 moved back into the younger half each time
+    long = "x" * (byte_bpe.LONGEST_REMEMBERED + 1)
+    assert memory[long] == memory[long] and asked[-2:] == [long, long]
+
+
+def plain_merge(ranks, data):
+    parts = [data[i : i + 1] for i in range(len(data))]
+    while True:
+        found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+        if not found:
+            return [ranks[p] for p in parts]
+        _, i = min(found)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_merges_take_the_least_rank_and_then_the_leftmost():
+    """Ranks under which a merge makes pairs of lower rank than its own, and runs overlap."""
+    r = random.Random(3)
+    letters = b"abc"
+    for _ in range(300):
+        tokens = [bytes([c]) for c in letters]
+        tokens += list({bytes(r.choice(letters) for _ in range(r.randrange(2, 6))) for _ in range(25)})
+        r.shuffle(tokens)
+        coder = byte_bpe.ByteBpe({t: i for i, t in enumerate(tokens)}, P.PATTERN)
+        for _ in range(20):
+            data = bytes(r.choice(letters) for _ in range(r.randrange(1, 25)))
+            assert coder.merge(data) == plain_merge(coder.ranks, data)
+        assert not any(coder.words) and not any(coder.buckets)  # the queue is empty again
 
 
 def test_edges(spark):
