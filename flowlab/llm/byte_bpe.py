@@ -3,8 +3,10 @@
 A text is cut into the matches of a pattern (pre-tokens). The bytes of a pre-token form a linked
 list; every pair of neighbours whose joined bytes have a rank waits in the bucket of that rank. A
 two-level bitmap of non-empty buckets gives the next rank by find-first-set, so a merge costs the
-same in a pre-token of a megabyte as in a word. Entries whose pair has changed since are skipped.
-Workers remember the encodings of short pre-tokens in a bounded number of bytes.
+same in a pre-token of a megabyte as in a word. Entries whose pair has changed since are skipped. Words
+that are new to a worker share one list and one queue, so that a bucket's merges in thousands of words
+are a few array operations; long pre-tokens have the queue for themselves. Workers remember encoded
+words in a bounded number of bytes.
 
 Rows: a null text encodes to no ids and decodes to empty bytes, as an empty text does. Other columns
 pass through, ids and decoded bytes replace columns of their names. Repeated rows are encoded like
@@ -21,8 +23,9 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -33,59 +36,53 @@ from pyspark.sql import types as T
 from flowlab.llm.common import SAFE_PLACE, tidy
 
 WORD_SHIFT = 6
-#: Bytes of the encodings that a worker remembers, of words and of pieces between spaces, from task to task.
-#: They change no result. ENTRY_BYTES is what an entry takes besides its text and ids.
-WORD_BYTES = 64 << 20
-PIECE_BYTES = 64 << 20
+#: Bytes of the encoded words that a worker remembers from slice to slice and task to task, before those of
+#: the last slice; beyond that it starts anew. They change no result. ENTRY_BYTES is what an entry takes
+#: besides its text and ids.
+REMEMBERED_BYTES = 64 << 20
 ENTRY_BYTES = 200
-LONGEST_REMEMBERED = 64
+#: Bytes of a pre-token that has the queue for itself.
+LONG = 256
 #: Texts handled at a time, in bytes.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 12 << 20
 
 
-class Memory(dict):
-    """What a function returned for short strings, in at most so many bytes.
+class Codes(dict):
+    """Numbers strings in the order in which they first occur."""
 
-    Half of them belong to the strings asked for last. When that half is full, it becomes the older half,
-    and the one before is forgotten; a string found in the older half moves back.
-    """
-
-    def __init__(self, function, most_bytes: int):
-        super().__init__()
-        self.function, self.half, self.used, self.older = function, most_bytes // 2, 0, {}
-
-    def __missing__(self, key: str) -> bytes:
-        ids = self.older.get(key)
-        if ids is None:
-            ids = self.function(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            size = ENTRY_BYTES + len(key) + len(ids)
-            if self.used + size > self.half:
-                self.older, self.used = self.copy(), 0
-                self.clear()
-            self[key] = ids
-            self.used += size
-        return ids
+    def __missing__(self, key: str) -> int:
+        self[key] = code = len(self)
+        return code
 
 
 class ByteBpe:
-    """Ranks of byte strings, a pattern, the rank queue, and what a worker remembers."""
+    """Ranks of byte strings, a pattern, the rank queue, and the words that a worker remembers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
-        size = max(ranks.values()) + 1
-        self.vocabulary = [b""] * size
+        self.size = max(ranks.values()) + 1
+        self.vocabulary = [b""] * self.size
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
         #: The queue: positions by rank, and the lower level of the bitmap, a bit for every bucket that holds some.
-        self.buckets: list[list[int]] = [[] for _ in range(size)]
-        self.words = [0] * ((size >> WORD_SHIFT) + 1)
+        self.buckets: list[list] = [[] for _ in range(self.size)]
+        self.words = [0] * ((self.size >> WORD_SHIFT) + 1)
         self.bits = [1 << i for i in range(max(1 << WORD_SHIFT, len(self.words)))]
-        #: Ranks of two bytes, by their number.
+        #: Ranks of single bytes, and of two by their number.
+        self.single = np.array([ranks.get(bytes([n]), -1) for n in range(256)], np.int64)
         self.pairs = [ranks.get(bytes(divmod(n, 256)), -1) for n in range(1 << 16)]
-        self.known_words = Memory(self.word, WORD_BYTES)
-        self.after_space = Memory(lambda piece: self.piece(" " + piece), PIECE_BYTES)
+        self.pair_ranks = np.array(self.pairs, np.int64)
+        #: For any two tokens that make one, their number and its rank, by number.
+        made = [
+            (left * self.size + right, rank)
+            for token, rank in ranks.items()
+            for left, right in ((ranks.get(token[:i]), ranks.get(token[i:])) for i in range(1, len(token)))
+            if left is not None and right is not None
+        ]
+        self.joins, self.joined = np.array(sorted(made), np.int64).reshape(-1, 2).T.copy()
+        self.known: dict[str, bytes] = {}
+        self.used = 0
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of one pre-token: always merges the pair of least rank, the leftmost first.
@@ -153,19 +150,133 @@ class ByteBpe:
             i = following[i]
         return ids
 
-    def word(self, word: str) -> bytes:
-        """Ids of one pre-token as little-endian 32-bit numbers."""
-        data = word.encode()
-        rank = self.ranks.get(data)
-        return packed([rank] if rank is not None else self.merge(data))
+    def rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each two tokens' joined bytes, or -1."""
+        number = left * self.size + right
+        at = np.minimum(np.searchsorted(self.joins, number), len(self.joins) - 1)
+        return np.where(self.joins[at] == number, self.joined[at], -1)
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece of text, the matches of the pattern one by one."""
-        return b"".join(map(self.known_words.__getitem__, self.find(piece)))
+    def merge_together(self, items: list[bytes]) -> list[bytes]:
+        """The packed ids of many short pre-tokens, which lie one after the other in a common linked list and
+        share the queue: a bucket holds the positions of one rank in all of them, and its merges are done at
+        once, in each pre-token the leftmost; others of that rank wait again, behind what may be lower by then.
+        """
+        if not items or not len(self.joins):
+            return [packed([self.ranks[bytes([b])] for b in item]) for item in items]
+        buckets, words, bits, mask = self.buckets, self.words, self.bits, (1 << WORD_SHIFT) - 1
+        lengths = np.fromiter(map(len, items), np.int64, len(items))
+        data = np.frombuffer(b"".join(items), np.uint8).astype(np.int64)
+        end, summary = len(data), 0
+        # one more place at the end belongs to no pre-token
+        item = np.append(np.repeat(np.arange(len(items)), lengths), -1)
+        ids = np.append(self.single[data], 0)
+        following = np.minimum(np.arange(1, end + 2), end)
+        previous = np.arange(-1, end)
+        alive = np.ones(end, bool)
+        waiting = np.full(end + 1, -1)  # rank of the pair that starts here
+        if end > 1:
+            waiting[: end - 1] = np.where(item[1:end] == item[: end - 1], self.pair_ranks[data[:-1] << 8 | data[1:]], -1)
+
+        def push(places: np.ndarray, ranks: np.ndarray, summary: int) -> int:
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            cuts = (np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()
+            firsts = [0, *cuts]
+            for rank, start, stop in zip(ranks[firsts].tolist(), firsts, [*cuts, len(places)], strict=True):
+                bucket = buckets[rank]
+                if not bucket:
+                    word = rank >> WORD_SHIFT
+                    if not words[word]:
+                        summary |= bits[word]
+                    words[word] |= bits[rank & mask]
+                bucket.append(places[start:stop])
+            return summary
+
+        first = np.flatnonzero(waiting >= 0)
+        if len(first):
+            summary = push(first, waiting[first], summary)
+        while summary:
+            word = (summary & -summary).bit_length() - 1
+            filled = words[word]
+            lowest = filled & -filled
+            rank = (word << WORD_SHIFT) + lowest.bit_length() - 1
+            at = buckets[rank][0] if len(buckets[rank]) == 1 else np.concatenate(buckets[rank])
+            buckets[rank] = []
+            words[word] = filled = filled ^ lowest
+            if not filled:
+                summary ^= bits[word]
+            at = at[waiting[at] == rank]
+            if not len(at):
+                continue
+            later = at[:0]
+            if len(at) > 1:
+                at = np.unique(at)
+                again = item[at[1:]] == item[at[:-1]]
+                if again.any():
+                    later, at = at[1:][again], np.append(at[:1], at[1:][~again])
+            gone = following[at]
+            after = following[gone]
+            before = previous[at]
+            ids[at], following[at], previous[after] = rank, after, at
+            alive[gone] = False
+            waiting[gone] = -1
+            own = item[at]
+            waiting[at] = right = np.where(item[after] == own, self.rank_of_pairs(rank, ids[after]), -1)
+            inside = item[before] == own
+            before = before[inside]
+            waiting[before] = left = self.rank_of_pairs(ids[before], rank)
+            places = np.concatenate([at[right >= 0], before[left >= 0], later[waiting[later] == rank]])
+            if len(places):
+                summary = push(places, waiting[places], summary)
+        kept = np.flatnonzero(alive)
+        out = ids[kept].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(item[kept], minlength=len(items)))).tolist()
+        return [out[start:stop] for start, stop in zip([0, *ends], ends, strict=False)]
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the encodings of these pre-tokens. A long one has the queue for itself."""
+        short, short_data = [], []
+        for word in new:
+            data = word.encode()
+            rank = self.ranks.get(data)
+            if rank is not None:
+                self.known[word] = packed([rank])
+            elif len(data) > LONG:
+                self.known[word] = packed(self.merge(data))
+            else:
+                short.append(word)
+                short_data.append(data)
+        self.known.update(zip(short, self.merge_together(short_data), strict=True))
+        self.used += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, map(self.known.__getitem__, new)))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers.
+
+        Texts are cut at safe spaces; of what is distinct in all of them, words that are not remembered
+        are encoded together.
+        """
+        if self.used > REMEMBERED_BYTES:
+            self.known, self.used = {}, 0
+        pieces, rests, words, counts = Codes(), [], [], []
+        for text in texts:
+            first, *rest = SAFE_PLACE.split(text)
+            rests.append(array("I", map(pieces.__getitem__, rest)))
+            found = self.find(first)
+            words += found
+            counts.append(len(found))
+        for piece in pieces:
+            found = self.find(" " + piece)
+            words += found
+            counts.append(len(found))
+        pieces.clear()
+        self.learn(list(set(words).difference(self.known)))
+        ids = map(self.known.__getitem__, words)  # one flat list: a list per piece would be slow to keep
+        encoded = [next(ids) if count == 1 else b"".join(islice(ids, count)) for count in counts]
+        after_space = encoded[len(texts) :].__getitem__
+        return [b"".join([first, *map(after_space, rest)]) for first, rest in zip(encoded, rests, strict=False)]
 
     def encode(self, text: str) -> bytes:
-        first, *rest = SAFE_PLACE.split(text)
-        return b"".join([self.piece(first), *map(self.after_space.__getitem__, rest)])
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         numbers = array("I")
@@ -186,7 +297,8 @@ def coder(path: str, pattern: str) -> ByteBpe:
 
 
 def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
-    """``df`` with binary columns, each made from the one before, the first from ``column``.
+    """``df`` with binary columns, each made by a function of lists from the one before, the first from
+    ``column``.
 
     Works on each Arrow batch a slice of bytes at a time.
     """
@@ -200,7 +312,7 @@ def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
             for part in sliced(batch, column):
                 values, made = part.column(column).to_pylist(), []
                 for convert in added.values():
-                    values = list(map(convert, values))
+                    values = convert(values)
                     made.append(pa.array(values, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, *added])
 
@@ -219,30 +331,29 @@ def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         total += size
 
 
+def _encoder(path: str, pattern: str):
+    return lambda texts: coder(path, pattern).encode_all([text or "" for text in texts])
+
+
+def _decoder(path: str, pattern: str):
+    return lambda many: [coder(path, pattern).decode(ids or b"") for ids in many]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit numbers in one binary."""
-    encoded = {ids_col: lambda text: coder(path, pattern).encode(text or "")}
-    return _mapped(docs, text_col, encoded)
+    return _mapped(docs, text_col, {ids_col: _encoder(path, pattern)})
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that each row's ids stand for."""
-    decoded = {out_col: lambda ids: coder(path, pattern).decode(ids or b"")}
-    return _mapped(encoded, ids_col, decoded)
+    return _mapped(encoded, ids_col, {out_col: _decoder(path, pattern)})
 
 
 def round_trip(
     docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
 ) -> DataFrame:
     """``docs`` encoded and decoded again by the same workers, so that texts reach Python once."""
-    return _mapped(
-        docs,
-        text_col,
-        {
-            ids_col: lambda text: coder(path, pattern).encode(text or ""),
-            out_col: lambda ids: coder(path, pattern).decode(ids),
-        },
-    )
+    return _mapped(docs, text_col, {ids_col: _encoder(path, pattern), out_col: _decoder(path, pattern)})
 
 
 def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -33,6 +33,17 @@ def test_equals_the_library_on_random_texts(pair):
         assert coder.decode(coder.encode(text)) == text.encode()
 
 
+def test_equals_the_library_on_texts_encoded_together(pair, monkeypatch):
+    coder, library = pair
+    r = random.Random(7)
+    texts = ["".join(r.choice("etaoin shrdlu,.éè日本") for _ in range(r.randrange(400))) for _ in range(400)] + ["", " ", "x" * 700]
+    wanted = [library.encode_ordinary(t) for t in texts]
+    for long in (byte_bpe.LONG, 4, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "LONG", long)
+        fresh = byte_bpe.ByteBpe(coder.ranks, P.PATTERN)
+        assert [list(memoryview(ids).cast("I")) for ids in fresh.encode_all(texts)] == wanted
+
+
 def test_equals_the_library_on_long_pre_tokens(pair):
     coder, library = pair
     r = random.Random(6)
@@ -40,30 +51,15 @@ def test_equals_the_library_on_long_pre_tokens(pair):
         assert ids(coder, text) == library.encode_ordinary(text)
 
 
-def test_memory_changes_nothing(pair):
+def test_memory_changes_nothing(pair, monkeypatch):
     coder, library = pair
-    text = " ".join(f"w{i}" for i in range(500))
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 1000)
+    texts = [" ".join(f"w{i * j}" for i in range(300)) for j in range(5)]
     small = byte_bpe.ByteBpe(coder.ranks, P.PATTERN)
-    for memory in (small.known_words, small.after_space):
-        memory.half = 3 * (byte_bpe.ENTRY_BYTES + 50)
-    for _ in range(2):
+    for text in texts * 2:
         assert small.encode(text) == coder.encode(text)
-    assert all(len(m) <= 3 and len(m.older) <= 3 for m in (small.known_words, small.after_space))
-
-
-def test_memory_keeps_what_was_asked_for_last():
-    asked = []
-
-    def encode(key):
-        asked.append(key)
-        return key.encode()
-
-    memory = byte_bpe.Memory(encode, 2 * 4 * (byte_bpe.ENTRY_BYTES + 4))
-    for key in ["k1", "k2", "k3", "k4", "k5", "k1", "k1", "k6", "k7", "k8", "k1"]:
-        assert memory[key] == key.encode()
-    assert asked == [f"k{i}" for i in range(1, 9)]  # k1 moved back into the younger half each time
-    long = "x" * (byte_bpe.LONGEST_REMEMBERED + 1)
-    assert memory[long] == memory[long] and asked[-2:] == [long, long]
+        assert small.used == sum(byte_bpe.ENTRY_BYTES + len(w) + len(ids) for w, ids in small.known.items())
+        assert set(small.known) <= set(coder.find(text))  # each text is more than is remembered
 
 
 def plain_merge(ranks, data):
@@ -88,6 +84,9 @@ def test_merges_take_the_least_rank_and_then_the_leftmost():
         for _ in range(20):
             data = bytes(r.choice(letters) for _ in range(r.randrange(1, 25)))
             assert coder.merge(data) == plain_merge(coder.ranks, data)
+        many = [bytes(r.choice(letters) for _ in range(r.randrange(1, 25))) for _ in range(r.randrange(60))]
+        together = [list(memoryview(ids).cast("I")) for ids in coder.merge_together(many)]
+        assert together == [plain_merge(coder.ranks, data) for data in many]
         assert not any(coder.words) and not any(coder.buckets)  # the queue is empty again
 
 
