@@ -39,12 +39,12 @@ WORD_SHIFT = 6
 #: Bytes of the encoded words that a worker remembers from slice to slice and task to task, before those of
 #: the last slice; beyond that it starts anew. They change no result. ENTRY_BYTES is what an entry takes
 #: besides its text and ids.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 48 << 20
 ENTRY_BYTES = 200
 #: Bytes of a pre-token that has the queue for itself.
 LONG = 256
 #: Texts handled at a time, in bytes.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 
 
 class Codes(dict):
@@ -70,9 +70,9 @@ class ByteBpe:
         self.words = [0] * ((self.size >> WORD_SHIFT) + 1)
         self.bits = [1 << i for i in range(max(1 << WORD_SHIFT, len(self.words)))]
         #: Ranks of single bytes, and of two by their number.
-        self.single = np.array([ranks.get(bytes([n]), -1) for n in range(256)], np.int64)
+        self.single = np.array([ranks.get(bytes([n]), -1) for n in range(256)], np.int32)
         self.pairs = [ranks.get(bytes(divmod(n, 256)), -1) for n in range(1 << 16)]
-        self.pair_ranks = np.array(self.pairs, np.int64)
+        self.pair_ranks = np.array(self.pairs, np.int32)
         #: For any two tokens that make one, their number and its rank, by number.
         made = [
             (left * self.size + right, rank)
@@ -152,7 +152,7 @@ class ByteBpe:
 
     def rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each two tokens' joined bytes, or -1."""
-        number = left * self.size + right
+        number = np.int64(self.size) * left + right
         at = np.minimum(np.searchsorted(self.joins, number), len(self.joins) - 1)
         return np.where(self.joins[at] == number, self.joined[at], -1)
 
@@ -165,15 +165,15 @@ class ByteBpe:
             return [packed([self.ranks[bytes([b])] for b in item]) for item in items]
         buckets, words, bits, mask = self.buckets, self.words, self.bits, (1 << WORD_SHIFT) - 1
         lengths = np.fromiter(map(len, items), np.int64, len(items))
-        data = np.frombuffer(b"".join(items), np.uint8).astype(np.int64)
+        data = np.frombuffer(b"".join(items), np.uint8).astype(np.int32)
         end, summary = len(data), 0
         # one more place at the end belongs to no pre-token
-        item = np.append(np.repeat(np.arange(len(items)), lengths), -1)
-        ids = np.append(self.single[data], 0)
-        following = np.minimum(np.arange(1, end + 2), end)
-        previous = np.arange(-1, end)
+        item = np.append(np.repeat(np.arange(len(items), dtype=np.int32), lengths), np.int32(-1))
+        ids = np.append(self.single[data], np.int32(0))
+        following = np.minimum(np.arange(1, end + 2, dtype=np.int32), end)
+        previous = np.arange(-1, end, dtype=np.int32)
         alive = np.ones(end, bool)
-        waiting = np.full(end + 1, -1)  # rank of the pair that starts here
+        waiting = np.full(end + 1, -1, np.int32)  # rank of the pair that starts here
         if end > 1:
             waiting[: end - 1] = np.where(item[1:end] == item[: end - 1], self.pair_ranks[data[:-1] << 8 | data[1:]], -1)
 
