@@ -1,26 +1,28 @@
-"""Language-model scores: a Katz backoff bigram model, trained and evaluated in partitioned tables.
+"""Language-model scores: a Katz backoff model of any order, trained and evaluated in partitioned tables.
 
-Tokens are the words of a text and one end mark, which is also the context of the first word. Counts
-up to five are discounted by Good-Turing; the freed probability of a context goes to the words not
-seen after it, by their unigram probability, with a backoff weight that makes the sum exactly one.
-Unigrams are discounted the same way, and what they free is the probability of an unknown word. A
-token's probability is looked up recursively: bigram, else weight times unigram, else unknown.
+Tokens are the words of a text and one end mark; before the first word stand end marks. Counts up to
+five are discounted by Good-Turing, each order on its own; the freed probability of a context goes to
+the words not seen after it, by their probability after the context without its first word, with a
+backoff weight that makes the sum exactly one. Unigrams are discounted the same way, and what they free
+is the probability of an unknown word. A token's probability is looked up recursively: its longest
+n-gram, else the context's weight times the probability by the shorter ones.
 
 How it runs. Texts are gathered into blocks of bounded bytes: token codes and a local dictionary. Only
-distinct words and distinct bigrams of a block are shuffled, as packed arrays of numbers:
+what is distinct in a block is shuffled, as packed arrays of numbers, order by order:
 
 * words go to a part by hash; a part counts its words, numbers them and answers the blocks with
   numbers and counts;
-* bigrams go to a part by context; a part counts them, answers with the counts, and sums up its
-  contexts. A context with so many tokens that it could fill a part is spread over several, and the
-  sums of these few (at most MOST_SPREAD) go to all blocks;
-* a block computes the scores of its texts from the answers.
+* n-grams, a context and a word each, go to a part by context; a part counts them, answers with the
+  counts, sums up its contexts, and numbers its n-grams, which are the contexts of the next order. A
+  context with so many tokens that it could fill a part is spread over several, and the sums of these
+  few (at most MOST_SPREAD an order) go to all blocks;
+* a block computes the probabilities of its tokens from the answers, order by order, and the scores.
 
-Blocks lie in a table that is bucketed by block, so that joining answers to them moves only the
-answers. The count tables stay in the shared folder, one row of packed arrays per part.
+An n-gram is asked for only if its shorter one and its context were counted. Blocks lie in a table that
+is bucketed by block, so that joining answers to them moves only the answers. The count tables stay in
+the shared folder, one row of packed arrays per part and order.
 
-Words are told apart by 64-bit hashes. The model has order two: the distinct trigrams of a corpus are
-nearly as many as its tokens, and tables of them would pass the disk that the check tool allows.
+Words are told apart by 64-bit hashes.
 
 Rows: a null text is an empty one and scores its end mark. A null id counts as the empty id when the
 training texts are chosen. Repeated rows count as often as they occur. Without training texts every
@@ -50,11 +52,12 @@ from flowlab.sources.storage import durable, new_folder
 END = b"\n"  # no word has white space in it
 MOST_DISCOUNTED = 5
 BLOCK_BYTES = 8 << 20
-#: Words, and bigrams, that a part is meant to have; the numbers of parts follow from the corpus.
+#: Words, and n-grams of an order, that a part is meant to have; the numbers of parts follow from the corpus.
 PART_WORDS = 1 << 20
-PART_PAIRS = 1 << 21
+PART_GRAMS = 1 << 21
 MOST_SPREAD = 1 << 16
 ADDED = 0.1  # of the base score
+ORDER = 2
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -238,6 +241,13 @@ def word_parts(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (hashes % np.uint64(parts)).astype(np.int64)
 
 
+def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places) for the parts that occur, in order; the work does not grow with the number of parts."""
+    order = np.argsort(part, kind="stable")
+    present, starts = np.unique(part[order], return_index=True)
+    yield from zip(present.tolist(), np.split(order, starts[1:]) if len(starts) else [], strict=True)
+
+
 def count_words(corpus: DataFrame, parts: int) -> DataFrame:
     """Messages: per part the table of its words, per part and block their numbers and counts."""
 
@@ -246,13 +256,9 @@ def count_words(corpus: DataFrame, parts: int) -> DataFrame:
             for row in batch.to_pylist():
                 hashes, counts = np.frombuffer(row["words"], np.uint64), unpack(row["counts"])
                 part = word_parts(hashes, parts)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                for p in range(parts):
-                    mine = order[cuts[p] : cuts[p + 1]]
-                    if len(mine):
-                        sent = message("words", p, row["block"], hashes[mine].tobytes(), pack(counts[mine]))
-                        yield from messages([sent]).to_batches()
+                for p, mine in by_part(part):
+                    sent = message("words", p, row["block"], hashes[mine].tobytes(), pack(counts[mine]))
+                    yield from messages([sent]).to_batches()
 
     def count(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -280,7 +286,7 @@ def count_words(corpus: DataFrame, parts: int) -> DataFrame:
     return durable(sent.groupBy("part").applyInArrow(count, MESSAGE), "unigrams")
 
 
-# ---- bigrams -----------------------------------------------------------------------------------
+# ---- n-grams -----------------------------------------------------------------------------------
 
 
 def mixed(numbers: np.ndarray) -> np.ndarray:
@@ -292,7 +298,7 @@ def mixed(numbers: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Layout:
-    """How bigrams are dealt out: contexts of more than ``spread`` tokens go to several parts."""
+    """How n-grams are dealt out: contexts of more than ``spread`` tokens go to several parts."""
 
     word_parts: int
     parts: int
@@ -307,45 +313,120 @@ class Layout:
 
 
 class Block:
-    """A block's texts, its words' numbers and counts, and its distinct bigrams."""
+    """A block's texts, and its words' numbers and counts."""
 
     def __init__(self, row: dict, words: list[dict], layout: Layout):
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
-        self.lengths, tokens = unpack(row["lengths"]), unpack(row["tokens"])
+        self.lengths, self.tokens = unpack(row["lengths"]), unpack(row["tokens"])
         hashes = np.frombuffer(row["words"], np.uint64)
-        part = word_parts(hashes, layout.word_parts)
         self.number, self.count = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        places = dict(by_part(word_parts(hashes, layout.word_parts)))
         for sent in words:
-            mine = np.flatnonzero(part == sent["part"])
+            mine = places[sent["part"]]
             self.number[mine], self.count[mine] = unpack(sent["a"]), unpack(sent["b"])
         self.starts = np.cumsum(self.lengths) - self.lengths
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[self.starts] = 0  # the end mark is the context of a first word
-        self.tokens, self.before = tokens, before
-        self.known = (self.count[tokens] > 0) & (self.count[before] > 0)
-        keys = before[self.known] * len(hashes) + tokens[self.known]
-        pairs, self.pair = np.unique(keys, return_inverse=True)
-        self.context, self.word = pairs // len(hashes), pairs % len(hashes)  # local codes
+        self.layout = layout
+
+    def previous(self, codes: np.ndarray, first: int) -> np.ndarray:
+        """Per token the code of the token before it, and ``first`` where a text begins."""
+        before = np.empty_like(codes)
+        before[1:] = codes[:-1]
+        before[self.starts] = first
+        return before
+
+    def bigrams(self, unigrams: Unigrams) -> Level:
+        """The end mark, code 0, is the context of a first word."""
+        known = (self.count > 0)[self.tokens]
+        low = unigrams.probability(self.count)[self.tokens]
+        return Level(self, self.previous(self.tokens, 0), self.number, self.count, known, low)
+
+
+class Level:
+    """The n-grams of a block that may have been counted, each a context and a word.
+
+    context_of: per token the local code of its context; numbers and counts: per code the context's
+    number, the same in all blocks, and how often it is one in the training texts; possible: whether the
+    token's shorter n-gram was counted; low: the token's probability by the shorter ones.
+    """
+
+    def __init__(self, block: Block, context_of, numbers, counts, possible, low):
+        self.block, self.context_of, self.numbers, self.counts, self.low = block, context_of, numbers, counts, low
+        self.known = possible & (counts[context_of] > 0)
+        keys = context_of[self.known] * len(block.number) + block.tokens[self.known]
+        grams, first, self.gram = np.unique(keys, return_index=True, return_inverse=True)
+        self.context, self.word = grams // len(block.number), grams % len(block.number)
+        self.gram_low = low[self.known][first]
         # contexts that go whole to one part, each with the part that knows its sums
-        codes = np.unique(before)
-        codes = codes[self.count[codes] > 0]
-        self.spread_codes = codes[layout.shares(self.count[codes]) > 1]
-        self.codes = codes[layout.shares(self.count[codes]) == 1]
+        codes, layout = np.unique(context_of), block.layout
+        codes = codes[counts[codes] > 0]
+        self.spread_codes = codes[layout.shares(counts[codes]) > 1]
+        self.codes = codes[layout.shares(counts[codes]) == 1]
         no_word = np.zeros(len(self.codes), np.int64)
-        self.code_part = layout.part(self.number[self.codes], self.count[self.codes], no_word)
-        self.pair_part = layout.part(self.number[self.context], self.count[self.context], self.number[self.word])
+        self.code_part = layout.part(numbers[self.codes], counts[self.codes], no_word)
+        self.gram_part = layout.part(numbers[self.context], counts[self.context], block.number[self.word])
+
+    def pieces(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(part, its n-grams, its contexts) as indices into grams and codes, in a fixed order."""
+        grams, codes = dict(by_part(self.gram_part)), dict(by_part(self.code_part))
+        none = np.empty(0, np.int64)
+        for p in sorted(grams.keys() | codes.keys()):
+            yield p, grams.get(p, none), codes.get(p, none)
+
+    def solve(self, answers: dict[int, dict], factors: np.ndarray, shared: dict[int, np.ndarray]) -> np.ndarray:
+        """The probability of every token, from the parts' answers: that of its n-gram, or the context's
+        backoff weight times that of the shorter one."""
+        self.seen = np.zeros(len(self.context), np.int64)
+        self.gram_numbers = np.zeros(len(self.context), np.int64)
+        sums, mass = np.zeros((MOST_DISCOUNTED, len(self.counts))), np.zeros(len(self.counts))
+        for p, grams, code_index in self.pieces():
+            self.seen[grams] = unpack(answers[p]["a"])
+            if answers[p]["d"] is not None:
+                self.gram_numbers[grams] = unpack(answers[p]["d"])
+            codes = self.codes[code_index]
+            sums[:, codes] = unpack(answers[p]["b"]).reshape(MOST_DISCOUNTED, -1)
+            mass[codes] = unpack(answers[p]["c"], np.float64)
+        for code in self.spread_codes.tolist():
+            found = shared[int(self.numbers[code])]
+            sums[:, code], mass[code] = found[:-1], found[-1]
+        total, weight = context_weights(self.counts, sums, mass, factors)
+        weight[self.counts == 0] = 1.0
+        probability = weight[self.context_of] * self.low
+        counted = self.seen[self.gram]
+        whole = discounted(counted, factors) / total[self.context[self.gram]]
+        probability[self.known] = np.where(counted > 0, whole, probability[self.known])
+        return probability
+
+    def longer(self, probability: np.ndarray) -> Level:
+        """The next order, once this one is solved. Codes of contexts: 0 for nothing but end marks, which
+        come as often as texts, 1 for those never counted, and from 2 on this order's n-grams."""
+        counted = self.seen > 0
+        codes = np.ones(len(self.known), np.int64)
+        codes[self.known] = np.where(counted[self.gram], self.gram + 2, 1)
+        numbers = np.concatenate([np.zeros(2, np.int64), self.gram_numbers])
+        counts = np.concatenate([[self.block.count[0], 0], self.seen])
+        return Level(self.block, self.block.previous(codes, 0), numbers, counts, codes > 1, probability)
 
-    def pieces(self, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(part, its bigrams, its contexts) as indices into pairs and codes, in a fixed order."""
-        by_pair, by_code = (np.argsort(p, kind="stable") for p in (self.pair_part, self.code_part))
-        steps = np.arange(parts + 1)
-        pair_cuts = np.searchsorted(self.pair_part[by_pair], steps)
-        code_cuts = np.searchsorted(self.code_part[by_code], steps)
-        for p in range(parts):
-            pairs, codes = by_pair[pair_cuts[p] : pair_cuts[p + 1]], by_code[code_cuts[p] : code_cuts[p + 1]]
-            if len(pairs) or len(codes):
-                yield p, pairs, codes
+
+@dataclass(frozen=True)
+class Solved:
+    """What all blocks need to know of an order besides the answers to their own questions."""
+
+    factors: np.ndarray
+    shared: dict[int, np.ndarray]
+
+
+def climbed(row: dict, sent: list[dict], layout: Layout, unigrams: Unigrams, solved: list[Solved]) -> Level:
+    """The block's level above the solved orders; its ``low`` has the probabilities so far."""
+    block = Block(row, [m for m in sent if m["kind"] == "words"], layout)
+    level = block.bigrams(unigrams)
+    for order, known in enumerate(solved, 2):
+        answers = {m["part"]: m for m in sent if m["kind"] == kind_of(order)}
+        level = level.longer(level.solve(answers, known.factors, known.shared))
+    return level
+
+
+def kind_of(order: int) -> str:
+    return f"order {order}"
 
 
 def with_blocks(corpus: DataFrame, sent: DataFrame, function, schema: str) -> DataFrame:
@@ -358,63 +439,69 @@ def with_blocks(corpus: DataFrame, sent: DataFrame, function, schema: str) -> Da
     return corpus.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(call, schema)
 
 
-def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: Unigrams) -> DataFrame:
-    """Messages: per part the table of its bigrams and the sums of spread contexts, per part and block
-    the counts of its bigrams and the sums of its contexts."""
-
-    def split(row: dict, sent: list[dict]) -> pa.Table:
-        block = Block(row, sent, layout)
-        train = np.repeat(~block.held, block.lengths)[block.known]
-        seen = np.bincount(block.pair[train], minlength=len(block.context)).astype(np.int64)
+def count_grams(
+    corpus: DataFrame, sent: DataFrame, layout: Layout, unigrams: Unigrams, solved: list[Solved], last: bool
+) -> DataFrame:
+    """The order above the solved ones. Messages: per part the table of its n-grams and the sums of spread
+    contexts, per part and block the counts of its n-grams, the sums of its contexts, and, unless this
+    order is the last, numbers for the n-grams, which are contexts of the next."""
+    order = len(solved) + 2
+
+    def split(row: dict, messages_in: list[dict]) -> pa.Table:
+        level = climbed(row, messages_in, layout, unigrams, solved)
+        block = level.block
+        train = np.repeat(~block.held, block.lengths)[level.known]
+        seen = np.bincount(level.gram[train], minlength=len(level.context)).astype(np.int64)
         out = []
-        for p, pairs, codes in block.pieces(layout.parts):
-            contexts, following = block.context[pairs], block.word[pairs]
-            bigrams = np.concatenate([block.number[contexts], block.number[following], seen[pairs]])
-            counts = np.concatenate([block.count[contexts], block.count[following]])
-            asked = pack(block.number[block.codes[codes]])
-            out.append(message("pairs", p, row["block"], pack(bigrams), pack(counts), asked))
+        for p, grams, codes in level.pieces():
+            contexts, following = level.context[grams], level.word[grams]
+            numbers = np.concatenate([level.numbers[contexts], block.number[following], seen[grams]])
+            asked = pack(level.numbers[level.codes[codes]])
+            # below bigrams lie unigrams, whose probabilities follow from counts, which pack better
+            low = block.count[following] if order == 2 else level.gram_low[grams]
+            out.append(message("grams", p, row["block"], pack(numbers), pack(level.counts[contexts]), asked, pack(low)))
         return messages(out)
 
     def count(table: pa.Table) -> pa.Table:
-        rows = table.select(["part", "block", "a", "b", "c"]).to_pylist()
-        contexts, words, seen, context_counts, word_counts = ([] for _ in range(5))
+        rows = table.select(["part", "block", "a", "b", "c", "d"]).to_pylist()
+        contexts, words, seen, context_counts, lows = ([] for _ in range(5))
         for r in rows:
             for part, into in zip(np.split(unpack(r["a"]), 3), (contexts, words, seen), strict=True):
                 into.append(part)
-            for part, into in zip(np.split(unpack(r["b"]), 2), (context_counts, word_counts), strict=True):
-                into.append(part)
+            context_counts.append(unpack(r["b"]))
+            lows.append(unigrams.probability(unpack(r["d"])) if order == 2 else unpack(r["d"], np.float64))
         sizes = [len(c) for c in contexts]
-        gathered = (contexts, words, seen, context_counts, word_counts)
-        context, word, seen, context_count, word_count = map(np.concatenate, gathered)
-        order = np.lexsort((word, context))
-        context, word = context[order], word[order]
-        new = np.ones(len(order), bool)
+        context, word, seen, context_count, low = map(np.concatenate, (contexts, words, seen, context_counts, lows))
+        sort = np.lexsort((word, context))
+        context, word = context[sort], word[sort]
+        new = np.ones(len(sort), bool)
         new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
         group = np.cumsum(new) - 1
         firsts = np.flatnonzero(new)
-        counts = np.add.reduceat(seen[order], firsts) if len(firsts) else np.empty(0, np.int64)
-        answer = np.empty(len(order), np.int64)
-        answer[order] = counts[group] if len(firsts) else answer
+        counts = np.add.reduceat(seen[sort], firsts) if len(firsts) else np.empty(0, np.int64)
+        answer, part = np.empty(len(sort), np.int64), rows[0]["part"]
+        numbers, number = np.empty(len(sort), np.int64), np.zeros(len(counts), np.int64)
+        kept = counts > 0
+        number[kept] = np.arange(int(kept.sum())) * layout.parts + part + 1
+        if len(firsts):
+            answer[sort], numbers[sort] = counts[group], number[group]
         context, word = context[firsts], word[firsts]
-        context_count, word_count = context_count[order][firsts], word_count[order][firsts]
+        context_count, low = context_count[sort][firsts], low[sort][firsts]
         # sums per context
         opens = np.ones(len(context), bool)
         opens[1:] = context[1:] != context[:-1]
         heads = np.flatnonzero(opens)
-        held = np.where(counts > 0, unigrams.probability(word_count), 0.0)
         rates = range(1, MOST_DISCOUNTED + 1)
         sums = [np.add.reduceat((counts == r).astype(np.int64), heads) for r in rates] if len(heads) else []
-        mass = np.add.reduceat(held, heads) if len(heads) else np.empty(0)
+        mass = np.add.reduceat(np.where(kept, low, 0.0), heads) if len(heads) else np.empty(0)
         names, shared = context[heads], layout.shares(context_count[heads]) > 1
-        part = rows[0]["part"]
-        kept = counts > 0
         out = [
             message("table", part, None, pack(context[kept]), pack(word[kept]), pack(counts[kept])),
             message("stats", part, None, stats=counts_of_counts(counts)),
         ]
         if shared.any():
-            numbers = np.concatenate([names[shared], *(s[shared] for s in sums)])
-            out.append(message("spread", part, None, pack(numbers), pack(mass[shared])))
+            spread = np.concatenate([names[shared], *(s[shared] for s in sums)])
+            out.append(message("spread", part, None, pack(spread), pack(mass[shared])))
         start = 0
         for r, size in zip(rows, sizes, strict=True):
             asked = unpack(r["c"])
@@ -424,13 +511,14 @@ def count_pairs(corpus: DataFrame, words: DataFrame, layout: Layout, unigrams: U
                 there = names[at] == asked  # a context without known words after it has no sums
                 found = [np.where(there, s[at], 0) for s in sums]
                 weights = np.where(there, mass[at], 0.0)
-            counted = pack(answer[start : start + size])
-            out.append(message("pairs", part, r["block"], counted, pack(np.concatenate(found)), pack(weights)))
+            mine = slice(start, start + size)
+            data = [pack(answer[mine]), pack(np.concatenate(found)), pack(weights)]
+            out.append(message(kind_of(order), part, r["block"], *data, *([] if last else [pack(numbers[mine])])))
             start += size
         return messages(out)
 
-    pieces = with_blocks(corpus, words.filter("kind = 'words'"), split, MESSAGE)
-    return durable(pieces.groupBy("part").applyInArrow(count, MESSAGE), "bigrams")
+    pieces = with_blocks(corpus, sent, split, MESSAGE)
+    return durable(pieces.groupBy("part").applyInArrow(count, MESSAGE), f"order{order}")
 
 
 def spread_sums(pairs: DataFrame) -> dict[int, np.ndarray]:
@@ -457,47 +545,42 @@ def spread_sums(pairs: DataFrame) -> dict[int, np.ndarray]:
 
 
 def score(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_out_fold: int = 0
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    folds: int = 10,
+    held_out_fold: int = 0,
+    order: int = ORDER,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     Training texts are those whose crc32 of the id, as text, has another remainder than
-    ``held_out_fold`` by ``folds``.
+    ``held_out_fold`` by ``folds``. ``order`` is the length of the longest n-grams, 2 or more.
     """
+    if order < 2:
+        raise ValueError(f"order {order} has no contexts")
     corpus = blocks(docs, id_col, text_col, crc_remainder(id_col, folds) == held_out_fold)
     size = corpus.agg(F.sum("n_tokens").alias("tokens"), F.sum("n_words").alias("words")).first()
     word_part_count = max(1, math.ceil((size.words or 0) / PART_WORDS))
     words = count_words(corpus, word_part_count)
     tokens, distinct, *ones = totals(words) or [0, 0, *[0] * (MOST_DISCOUNTED + 1)]
     unigrams = Unigrams.of(tokens, distinct, ones)
-    spread = max(PART_PAIRS, tokens // MOST_SPREAD)
-    layout = Layout(word_part_count, max(1, math.ceil((size.tokens or 0) / PART_PAIRS)), spread)
-    pairs = count_pairs(corpus, words, layout, unigrams)
-    factors = discounts(totals(pairs) or [0] * (MOST_DISCOUNTED + 1))
-    shared = spread_sums(pairs)
+    spread = max(PART_GRAMS, tokens // MOST_SPREAD)
+    layout = Layout(word_part_count, max(1, math.ceil((size.tokens or 0) / PART_GRAMS)), spread)
+    sent, solved = words.filter("kind = 'words'"), []
+    for n in range(2, order + 1):
+        grams = count_grams(corpus, sent, layout, unigrams, solved, n == order)
+        factors = discounts(totals(grams) or [0] * (MOST_DISCOUNTED + 1))
+        solved.append(Solved(factors, spread_sums(grams)))
+        sent = sent.unionByName(grams.filter(F.col("kind") == kind_of(n)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def evaluate(row: dict, sent: list[dict]) -> pa.Table:
-        block = Block(row, [m for m in sent if m["kind"] == "words"], layout)
-        answers = {m["part"]: m for m in sent if m["kind"] == "pairs"}
-        seen = np.zeros(len(block.context), np.int64)
-        sums = np.zeros((MOST_DISCOUNTED, len(block.number)))
-        mass = np.zeros(len(block.number))
-        for p, pair_index, code_index in block.pieces(layout.parts):
-            seen[pair_index] = unpack(answers[p]["a"])
-            codes = block.codes[code_index]
-            sums[:, codes] = unpack(answers[p]["b"]).reshape(MOST_DISCOUNTED, -1)
-            mass[codes] = unpack(answers[p]["c"], np.float64)
-        for code in block.spread_codes.tolist():
-            found = shared[int(block.number[code])]
-            sums[:, code], mass[code] = found[:-1], found[-1]
-        unigram = unigrams.probability(block.count)
-        total, weight = context_weights(block.count, sums, mass, factors)
-        weight[block.count == 0] = 1.0
-        probability = weight[block.before] * unigram[block.tokens]
-        bigram = discounted(seen, factors) / total[block.context]
-        whole = np.where(seen > 0, bigram, weight[block.context] * unigram[block.word])
-        probability[block.known] = whole[block.pair]
+    def evaluate(row: dict, messages_in: list[dict]) -> pa.Table:
+        level = climbed(row, messages_in, layout, unigrams, solved[:-1])
+        answers = {m["part"]: m for m in messages_in if m["kind"] == kind_of(order)}
+        probability = level.solve(answers, solved[-1].factors, solved[-1].shared)
+        block = level.block
         base = unigrams.base(block.count)[block.tokens]
         known = (block.count > 0)[block.tokens].astype(np.int64)
 
@@ -517,7 +600,6 @@ def score(
         )
 
     id_arrow = to_arrow_type(docs.schema[id_col].dataType)
-    sent = words.filter("kind = 'words'").unionByName(pairs.filter("kind = 'pairs'"))
     schema = (
         f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"

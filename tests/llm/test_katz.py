@@ -14,26 +14,31 @@ END = "\n"
 class Model:
     """The same model from plain dictionaries."""
 
-    def __init__(self, texts: list[list[str]]):
-        self.uni, self.bi = Counter(), Counter()
-        for t in texts:
-            self.uni.update(t)
-            self.bi.update(zip([END, *t[:-1]], t, strict=True))
+    def __init__(self, texts: list[list[str]], order: int = 2):
+        self.uni = Counter(w for t in texts for w in t)
         self.n, self.v = sum(self.uni.values()), len(self.uni)
-        self.f1, self.f2 = (katz.discounts([sum(n == r for n in c.values()) for r in range(1, 7)]) for c in (self.uni, self.bi))
+        self.f1 = self.factors(self.uni)
         kept = sum(self.cut(n, self.f1) for n in self.uni.values())
         plain = kept == self.n
         self.total = self.n + plain
         self.unknown = 1 / self.total if plain else (self.n - kept) / self.n
-        self.after = defaultdict(list)
-        for (v, w), n in self.bi.items():
-            self.after[v].append((w, n))
-        self.weight, self.totals = {}, {}
-        for v, found in self.after.items():
-            kept = sum(self.cut(n, self.f2) for _, n in found)
-            total = self.uni[v] + (kept == self.uni[v])
-            self.totals[v] = total
-            self.weight[v] = (1 - kept / total) / (1 - sum(self.p1(w) for w, _ in found))
+        self.order, self.grams, self.f, self.weight, self.totals = order, {}, {}, {(): 1.0}, {}
+        for n in range(2, order + 1):
+            self.grams[n] = Counter((h, w) for t in texts for h, w in histories(t, n))
+            self.f[n] = self.factors(self.grams[n])
+            after = defaultdict(list)
+            for (h, w), count in self.grams[n].items():
+                after[h].append((w, count))
+            for h, found in after.items():
+                kept = sum(self.cut(c, self.f[n]) for _, c in found)
+                total = sum(c for _, c in found)
+                total += kept == total
+                self.totals[h] = total
+                self.weight[h] = (1 - kept / total) / (1 - sum(self.p(h[1:], w) for w, _ in found))
+
+    @staticmethod
+    def factors(counts):
+        return katz.discounts([sum(n == r for n in counts.values()) for r in range(1, 7)])
 
     @staticmethod
     def cut(n, factors):
@@ -42,11 +47,19 @@ class Model:
     def p1(self, w):
         return self.cut(self.uni[w], self.f1) / self.total if self.uni[w] else self.unknown
 
-    def p(self, v, w):
-        if v not in self.weight:
+    def p(self, h, w):
+        if not h:
             return self.p1(w)
-        n = self.bi[(v, w)]
-        return self.cut(n, self.f2) / self.totals[v] if n else self.weight[v] * self.p1(w)
+        if h not in self.totals:
+            return self.p(h[1:], w)
+        n = self.grams[len(h) + 1][h, w]
+        return self.cut(n, self.f[len(h) + 1]) / self.totals[h] if n else self.weight[h] * self.p(h[1:], w)
+
+
+def histories(t, order):
+    """(the order - 1 tokens before, token) of each token."""
+    padded = [END] * (order - 1) + t
+    return [(tuple(padded[i : i + order - 1]), w) for i, w in enumerate(t)]
 
 
 def tokens(text):
@@ -57,13 +70,13 @@ def held_out(doc_id):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def compare(found, rows):
-    model = Model([tokens(r[1]) for r in rows if not held_out(r[0])])
+def compare(found, rows, order=2):
+    model = Model([tokens(r[1]) for r in rows if not held_out(r[0])], order)
     wanted = []
     for r in rows:
         t = tokens(r[1])
         base = sum(math.log10((model.uni[w] + 0.1) / (model.n + 0.1 * (model.v + 1))) for w in t)
-        score = sum(math.log10(model.p(v, w)) for v, w in zip([END, *t[:-1]], t, strict=True))
+        score = sum(math.log10(model.p(h, w)) for h, w in histories(t, order))
         known = sum(model.uni[w] > 0 for w in t)
         wanted.append((r[0], held_out(r[0]), len(t), known, model.n, base, score))
     key = lambda r: (str(r[0]), r[2], r[3])
@@ -73,25 +86,32 @@ def compare(found, rows):
     return model
 
 
-def test_edges(spark):
-    compare(katz.score(edge_docs(spark)).collect(), ROWS)
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_edges(spark, order):
+    compare(katz.score(edge_docs(spark), order=order).collect(), ROWS, order)
 
 
-@pytest.mark.parametrize("small", [None, 400])
-def test_given_tables(spark, sf_dir, monkeypatch, small):
+@pytest.mark.parametrize("order, small", [(2, None), (2, 400), (3, 400), (4, 400)])
+def test_given_tables(spark, sf_dir, monkeypatch, order, small):
     """With small parts and blocks, frequent contexts are spread over several parts."""
     if small:
-        monkeypatch.setattr(katz, "PART_PAIRS", small * 10)
+        monkeypatch.setattr(katz, "PART_GRAMS", small * 10)
         monkeypatch.setattr(katz, "PART_WORDS", small)
         monkeypatch.setattr(katz, "BLOCK_BYTES", small * 100)
         monkeypatch.setattr(katz, "MOST_SPREAD", 100)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    model = compare(katz.score(docs).collect(), rows)
+    model = compare(katz.score(docs, order=order).collect(), rows, order)
     # the sum over all words and the unknown is one after any context
-    for v in [END, "the", "never seen", *list(model.uni)[:20]]:
-        total = sum(model.p(v, w) for w in model.uni) + model.weight.get(v, 1) * model.unknown
-        assert total == pytest.approx(1, abs=1e-9)
+    some = sorted(model.totals, key=lambda h: (-model.totals[h], h))
+    for h in [*some[:10], *some[-10:], (END,) * (order - 1), ("never", "seen", "before")[: order - 1]]:
+        unknown = model.unknown * math.prod(model.weight.get(h[i:], 1) for i in range(len(h)))
+        assert sum(model.p(h, w) for w in model.uni) + unknown == pytest.approx(1, abs=1e-9)
+
+
+def test_order_without_contexts_is_refused(spark):
+    with pytest.raises(ValueError):
+        katz.score(no_docs(spark), order=1)
 
 
 def test_no_training_text(spark):
@@ -117,5 +137,6 @@ def test_packing():
     assert (katz.unpack(katz.pack(doubles), np.float64) == doubles).all()
 
 
-def test_empty(spark):
-    assert katz.score(no_docs(spark)).collect() == []
+@pytest.mark.parametrize("order", [2, 3])
+def test_empty(spark, order):
+    assert katz.score(no_docs(spark), order=order).collect() == []
