@@ -3,8 +3,9 @@
 An Arrow batch is cut into parts of bounded bytes. Within a part every text is split at safe places
 (before a single space inside the text, where the vocabulary's pre-tokens always end), pieces that
 occur more than once are counted once, and the rest goes through the library's batch encoder in
-batches of bounded bytes. No ids and no offsets leave the function, and a text of any length is
-never one call.
+batches of bounded bytes. Pieces beyond that bound are cut again, where a mark follows a letter. No ids
+and no offsets leave the function, and a long text is one call only if it has neither kind of place, as
+a megabyte of letters alone: that is one pre-token.
 
 Special strings such as ``<|endoftext|>`` are handled as the library does by default: they count as
 one token, and none has a space in it, so no cut falls inside one. That and the safe places are
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +35,10 @@ BATCH_BYTES = 256 << 10
 #: Pieces whose counts a worker remembers between batches; a full memory starts anew.
 MOST_REMEMBERED = 600_000
 LONGEST_REMEMBERED = 64
+#: Between a letter and a punctuation mark a run of letters ends, and with it a pre-token. Letters and
+#: marks are ones that every version of the library's tables has as such, and no added token holds the marks.
+MARKS = "。、！？「」（），．,.;:!?"
+LETTER_THEN_MARK = re.compile(f"(?<=[A-Za-zぁ-ゖァ-ヺ一-龥가-힣])(?=[{MARKS}])")
 
 
 def check_vocabulary(path: str) -> None:
@@ -43,8 +49,20 @@ def check_vocabulary(path: str) -> None:
     plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
     if made.get("normalizer") or not plain:
         raise ValueError(f"{path}: a byte-level vocabulary without normalizer and prefix space is needed")
-    if any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in added):
-        raise ValueError(f"{path}: added tokens must not hold or strip spaces")
+    if any(set(t["content"]) & {" ", *MARKS} or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError(f"{path}: added tokens must not hold spaces or marks, nor strip spaces")
+
+
+def encoded_size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
+def short_parts(piece: str) -> list[str]:
+    """A piece over BATCH_BYTES cut at further places, as rarely as that allows; others as they are."""
+    if len(piece) * 4 <= BATCH_BYTES or encoded_size(piece) <= BATCH_BYTES:
+        return [piece]
+    parts = LETTER_THEN_MARK.split(piece)
+    return ["".join(part) for part in slices(parts, list(map(encoded_size, parts)), BATCH_BYTES)]
 
 
 class Counter:
@@ -61,9 +79,17 @@ class Counter:
         self.known: dict[str, int] = {}
 
     def lengths(self, pieces: list[str]) -> list[int]:
-        counts: list[int] = []
-        for batch in slices(pieces, list(map(len, pieces)), BATCH_BYTES):
-            counts += map(len, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False))
+        """Tokens per piece; no batch has more than BATCH_BYTES, unless it is a single part."""
+        parts, owners = [], []
+        for owner, piece in enumerate(pieces):
+            found = short_parts(piece)
+            parts += found
+            owners += [owner] * len(found)
+        counts, done = [0] * len(pieces), 0
+        for batch in slices(parts, list(map(encoded_size, parts)), BATCH_BYTES):
+            for encoded in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False):
+                counts[owners[done]] += len(encoded)
+                done += 1
         return counts
 
     def count(self, texts: list[str]) -> list[int]:

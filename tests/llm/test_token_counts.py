@@ -32,6 +32,26 @@ def test_memory_changes_nothing(monkeypatch):
     assert all(len(p) <= token_counts.LONGEST_REMEMBERED for p in counter.known)
 
 
+def test_batches_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_counts, "BATCH_BYTES", 3000)
+    japanese = "日本語の文章はここで終わります。そして、「次」も！" * 200
+    mixed = ("word,another.third" * 50 + "漢字" * 70 + "!?..x" + " spaced out, <|endoftext|>") * 30
+    texts = [japanese, mixed, "字" * 4000, "a.b" * 3000, "plain " * 900, ""]
+    counter, seen = token_counts.Counter(PATH), []
+
+    class Watched:
+        def encode_batch_fast(self, batch, **options):
+            seen.append(batch)
+            return library_object.encode_batch_fast(batch, **options)
+
+    library_object = counter.tokenizer
+    counter.tokenizer = Watched()
+    assert counter.count(texts) == library(texts)
+    sizes = [sum(len(p.encode()) for p in batch) for batch in seen]
+    assert max(len(b) for b, size in zip(seen, sizes, strict=True) if size > 3000) == 1  # a single part
+    assert [b for b, size in zip(seen, sizes, strict=True) if size > 3000] == [["字" * 4000]]
+
+
 def test_edges(spark):
     found = token_counts.count_tokens(edge_docs(spark), PATH, limit=10)
     rows = found.select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
