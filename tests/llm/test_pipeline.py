@@ -2,6 +2,7 @@ import hashlib
 
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from flowlab.llm import byte_bpe, language_id
@@ -71,6 +72,28 @@ def test_language_stage_keeps_short_texts_and_drops_foreign_ones(spark):
     assert {r.doc_id for r in rows} == {*range(40), 100, 103}
 
 
+def test_language_stage_without_learned_languages_keeps_all_texts_with_letters(spark):
+    texts = [f"This is clean English text number {i}, and it says so." for i in range(20)] + ["12 !?", "", None, "é"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {*range(20), 23} and kept.columns == docs.columns
+
+
+def test_language_stage_rejects_a_language_that_was_not_learned(spark, sf_dir):
+    """One of the languages of the given documents is taken for not labelled: the share of its documents
+    that is rejected is stated in README. Of the others a few go that repeat single words a hundred times."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect() if r.lang}
+    rates = {}
+    for foreign in sorted(counts):
+        labelled = docs.withColumn("own", F.col("lang")).withColumn("lang", F.when(F.col("lang") != foreign, F.col("lang")))
+        kept = {r.own: r["count"] for r in corpus_pipeline.identify_language(spark, labelled, "").groupBy("own").count().collect()}
+        rates[foreign] = 1 - kept.get(foreign, 0) / counts[foreign]
+        assert all(kept[lang] >= 0.98 * n for lang, n in counts.items() if lang != foreign)
+    print({lang: round(rate, 3) for lang, rate in rates.items()})
+    assert min(rates.values()) >= 0.5
+
+
 def test_every_stage_takes_an_empty_table(spark, tmp_path):
     docs = no_docs(spark)
     for name, stage in corpus_pipeline.STAGES:
