@@ -1,6 +1,6 @@
 """From raw documents to token ids: five stages, each a whole job over what the one before kept.
 
-1. language identification: documents without letters, and longer ones like no learned language, go;
+1. language identification: documents without letters, and those in no learned language, go;
 2. exact deduplication: one row of each set of equal texts stays;
 3. SimHash near-deduplication: one document of each group of near copies stays;
 4. mixing: documents are repeated or left out until their sources reach their target weights;
@@ -23,21 +23,21 @@ from flowlab.llm.common import crc_remainder, join_narrow, whole_row
 from flowlab.llm.queries import reach_package
 from flowlab.sources.storage import durable, new_folder
 
-#: A document of so many letters must be so similar to some language. Text in none stays near 0, and
-#: longer text in a learned one is above 0.1; a few words alone may be like nothing and stay.
-LEAST_SCORE = 0.05
-LEAST_LETTERS = 100
+#: A random cosine then has a deviation of 1/64.
+DIMS = 4096
 #: Places of dropped rows, paths among them, that are broadcast at most.
 MOST_PLACES = 100_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    profiles = language_id.learn(docs.filter(crc_remainder("doc_id", 4) != 2))
-    predicted = language_id.predict(docs, profiles, lang_out="_language", score_out="_score")
-    letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
-    like_some = F.when(F.col("_score") < LEAST_SCORE, letters < LEAST_LETTERS).otherwise(True)
-    known = (F.col("_language") != language_id.UNDETERMINED) & like_some
-    return predicted.filter(known).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """What counts as a text in a learned language is fitted on the labelled documents that taught nothing.
+    Where no language could be learned, or none was held out, every document with letters stays."""
+    held_out = crc_remainder("doc_id", 4) == 2
+    profiles = language_id.learn(docs.filter(~held_out), dims=DIMS)
+    if not profiles.languages:
+        return language_id.with_letters(docs)
+    usual = language_id.fit_usual(docs.filter(held_out & F.col("lang").isNotNull()), profiles)
+    return language_id.typical(docs, profiles, usual)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
