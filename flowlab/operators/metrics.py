@@ -6,7 +6,6 @@ but the ROC curve comes from the confusion counts: four rows per model after one
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -208,17 +207,36 @@ def area_of(counts: DataFrame) -> DataFrame:
 
 
 def auc_binned(scored: DataFrame, score: str, bins: int = 1000) -> DataFrame:
-    """(model, auc_binned): MLlib's areaUnderROC, which first thins the scores to ``bins`` points.
+    """(model, auc_binned): area under the curve thinned to about ``bins`` points, for all models at once.
 
-    One job per model; the value moves in the 7th digit with the data layout.
+    Of every ceil(distinct scores / bins) neighbouring scores one point stays, the last of them. The curve
+    between two points is a straight line, so the area is a little off where it bends. Which points stay
+    depends on the scores alone. NULL where a model saw one class only.
     """
-    area = BinaryClassificationEvaluator(
-        rawPredictionCol="_score", labelCol="label", metricName="areaUnderROC", numBins=bins
+    counts = durable(score_counts(scored, score).withColumn("place", F.lit(1).cast("bigint")), "scores")
+    cuts = cut_points(counts, "score", default_buckets(counts))
+    ranked = running_totals(counts, ["model"], "score", ["p", "n", "place"], cuts, descending=True)
+    totals = counts.groupBy("model").agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"), F.count("*").alias("scores"))
+    placed = ranked.join(totals, "model")
+    last = F.col("place_so_far") == F.col("scores")
+    kept = placed.filter(last | (F.col("place_so_far") % F.ceil(F.col("scores") / bins) == 0))
+    before = Window.partitionBy("model").orderBy("place_so_far")  # as many rows as there are bins
+
+    def earlier(total: str) -> Column:
+        return F.lag(total, 1, 0).over(before)
+
+    steps = kept.select(
+        "model",
+        "positives",
+        "negatives",
+        (F.col("n_so_far") - earlier("n_so_far")).alias("across"),
+        (F.col("p_so_far") + earlier("p_so_far")).alias("up"),
     )
-    numbers = scored.withColumn("_score", F.col(score).cast("double"))
-    names = sorted(r["model"] for r in scored.select("model").distinct().collect())
-    rows = [(m, area.evaluate(numbers.filter(F.col("model") == m))) for m in names]
-    return scored.sparkSession.createDataFrame(rows, "model string, auc_binned double")
+    whole = "decimal(19,0)"
+    square = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
+    doubled = F.sum(F.col("across").cast(whole) * F.col("up").cast(whole)).cast("double")
+    areas = steps.groupBy("model", "positives", "negatives").agg(doubled.alias("area"))
+    return areas.select("model", F.when(square > 0, F.col("area") / square).alias("auc_binned"))
 
 
 def metrics_long(scored: DataFrame, score: str) -> DataFrame:

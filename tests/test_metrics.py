@@ -158,3 +158,27 @@ def test_ties_name_every_best_model(spark):
     long = spark.createDataFrame([("b", "f1", 0.5), ("a", "f1", 0.5), ("c", "f1", 0.1)], "model string, metric string, value double")
     assert metrics.best_model(long).first()["model"] == "a"
     assert {r["model"] for r in metrics.best_per_metric(long).collect()} == {"a", "b"}
+
+
+def thinned_area(pairs, bins):
+    """Area under the curve of (score, label) through one point of each group of neighbouring scores."""
+    scores = sorted({s for s, _ in pairs}, reverse=True)
+    group = -(-len(scores) // bins)
+    points, tp, fp = [(0, 0)], 0, 0
+    for place, score in enumerate(scores, 1):
+        tp += sum(1 for s, y in pairs if s == score and y == 1.0)
+        fp += sum(1 for s, y in pairs if s == score and y == 0.0)
+        if place % group == 0 or place == len(scores):
+            points.append((fp, tp))
+    area = sum((x1 - x0) * (y1 + y0) for (x0, y0), (x1, y1) in zip(points, points[1:], strict=False))
+    return area / (2 * tp * fp) if tp and fp else None
+
+
+@pytest.mark.parametrize("bins", [1, 3, 10, 1000])
+def test_thinned_areas_of_all_models(spark, bins):
+    data = [(f"m{m}", (i * 37 + m * 11) % (40 + 25 * m), float((i * i + m) % 3 == 0)) for m in range(3) for i in range(150)]
+    data += [("one class", i, 1.0) for i in range(9)]
+    rows = spark.createDataFrame(data, "model string, score int, label double")
+    for r in metrics.auc_binned(rows, "score", bins).collect():
+        wanted = thinned_area([(s, y) for m, s, y in data if m == r.model], bins)
+        assert r.auc_binned == (wanted if wanted is None else pytest.approx(wanted, abs=1e-12))
