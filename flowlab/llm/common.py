@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 from functools import wraps
@@ -70,6 +71,9 @@ def tidy(function):
     def run(batches):
         yield from function(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what arrays leave behind, where the C library can
+        if trim is not None:
+            trim(0)
 
     return run
 

@@ -42,7 +42,7 @@ from flowlab.sources.storage import durable
 
 SPACE = 32
 DIMS = 1024
-DIMS_AT_A_TIME = 1024
+DIMS_AT_A_TIME = 256
 GRAM = 3
 SEED = 42
 UNDETERMINED = "und"
