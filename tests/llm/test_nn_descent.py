@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from flowlab.llm import nn_descent
+from flowlab.sources.storage import durable
 
 SCHEMA = "vec_id bigint, embedding array<float>, id string, vector string, n_links string, component string"
 
@@ -103,7 +104,7 @@ def test_audit_goes_on_until_links_were_seen(spark):
     alone = r.standard_normal((600, 24))
     rows = [(i, [float(x) for x in v]) for i, v in enumerate([*alone, alone[0] * 1.01 + 0.01])]
     settings = nn_descent.Settings(audited=10)
-    points = nn_descent.classes(frame(spark, rows), "vec_id", "embedding").localCheckpoint()
+    points = durable(nn_descent.classes(frame(spark, rows), "vec_id", "embedding"), "points")
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert nn_descent.audit(points, none, settings) == 0.0
     assert nn_descent.audit(points, spark.createDataFrame([(0, 600), (600, 0)], "a bigint, b bigint"), settings) == 1.0
@@ -126,7 +127,7 @@ def test_samples_grow_with_saturated_lists(spark):
     r = np.random.default_rng(12)
     centre = r.standard_normal(24)
     rows = [(i, [float(x) for x in centre + 0.05 * r.standard_normal(24)]) for i in range(401)]
-    points = nn_descent.classes(frame(spark, rows), "vec_id", "embedding").localCheckpoint()
+    points = durable(nn_descent.classes(frame(spark, rows), "vec_id", "embedding"), "points")
     star = spark.range(1, 401).selectExpr("0L AS a", "id AS b", "0.95D AS cosine", "cast(id AS int) AS place")
     for tile in (512, 16):
         settings = nn_descent.Settings(saturated_sample=4, tile=tile)
