@@ -637,7 +637,7 @@ def rescored_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     before, chosen = files(), list(SCORED_LIFTS)[1]
     again = rows.filter(F.col("model") == chosen).withColumn("prediction", (F.col("score") >= 300).cast("double"))
-    tables.replace_partitions(again, path, ["model"])
+    tables.replace_partitions(again, path, ["model"], gather=False)
     after = files()
     same = F.lit(None).cast("boolean")
     for m in SCORED_LIFTS:

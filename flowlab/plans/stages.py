@@ -234,7 +234,8 @@ def score(spark: SparkSession, folder: str, model: str, **settings) -> Stage:
 
     def work() -> int:
         test = split(read_table(spark, ml_ready))[1]
-        replace_partitions(predict(load_model(model_path(folder, model)), test, model), predictions_table(folder), ["model"])
+        scored = predict(load_model(model_path(folder, model)), test, model)
+        replace_partitions(scored, predictions_table(folder), ["model"], gather=False)
         mark_complete(spark, path)
         return read_predictions(spark, folder, [model]).count()
 

@@ -40,11 +40,13 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> N
     _clustered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
-    """Overwrite the partitions of ``path`` that ``df`` has rows for, and leave the files of all others."""
+def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str], gather: bool = True) -> None:
+    """Overwrite the partitions of ``path`` that ``df`` has rows for, and leave the files of all others; a
+    partition without new rows stays as it is. ``gather=False`` writes rows where they are, without a
+    shuffle: for rows of one partition, or of few."""
     by = list(partition_by)
-    rows = _clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    rows.partitionBy(*by).parquet(path)
+    rows = _clustered(df, by) if gather else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def files_of(df: DataFrame) -> list[str]:
