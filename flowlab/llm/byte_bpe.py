@@ -36,15 +36,15 @@ from pyspark.sql import types as T
 from flowlab.llm.common import SAFE_PLACE, tidy
 
 WORD_SHIFT = 6
+#: Bytes of texts handled at a time. Larger slices share more merges and take more memory; no result changes.
+SLICE_BYTES = 8 << 20
 #: Bytes of the encoded words that a worker remembers from slice to slice and task to task, before those of
-#: the last slice; beyond that it starts anew. They change no result. ENTRY_BYTES is what an entry takes
+#: the last slice, for each byte of a slice; beyond that it starts anew. ENTRY_BYTES is what an entry takes
 #: besides its text and ids.
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_SHARE = 6
 ENTRY_BYTES = 200
 #: Bytes of a pre-token that has the queue for itself.
 LONG = 256
-#: Texts handled at a time, in bytes.
-SLICE_BYTES = 8 << 20
 
 
 class Codes(dict):
@@ -249,13 +249,13 @@ class ByteBpe:
         self.known.update(zip(short, self.merge_together(short_data), strict=True))
         self.used += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, map(self.known.__getitem__, new)))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def encode_all(self, texts: list[str], remembered: int = REMEMBERED_SHARE * SLICE_BYTES) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers.
 
         Texts are cut at safe spaces; of what is distinct in all of them, words that are not remembered
         are encoded together.
         """
-        if self.used > REMEMBERED_BYTES:
+        if self.used > remembered:
             self.known, self.used = {}, 0
         pieces, rests, words, counts = Codes(), [], [], []
         for text in texts:
@@ -275,8 +275,8 @@ class ByteBpe:
         after_space = encoded[len(texts) :].__getitem__
         return [b"".join([first, *map(after_space, rest)]) for first, rest in zip(encoded, rests, strict=False)]
 
-    def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+    def encode(self, text: str, **options) -> bytes:
+        return self.encode_all([text], **options)[0]
 
     def decode(self, ids: bytes) -> bytes:
         numbers = array("I")
@@ -296,7 +296,7 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(ranks, pattern)
 
 
-def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
+def _mapped(df: DataFrame, column: str, added: dict, slice_bytes: int) -> DataFrame:
     """``df`` with binary columns, each made by a function of lists from the one before, the first from
     ``column``.
 
@@ -309,7 +309,7 @@ def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, column):
+            for part in sliced(batch, column, slice_bytes):
                 values, made = part.column(column).to_pylist(), []
                 for convert in added.values():
                     values = convert(values)
@@ -319,41 +319,58 @@ def _mapped(df: DataFrame, column: str, added: dict) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """A batch cut into slices whose values of ``column`` have at most SLICE_BYTES together."""
+def sliced(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch cut into slices whose values of ``column`` have at most so many bytes together."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
     for i, size in enumerate(chain(sizes, [0])):
-        if i == len(sizes) or (i > start and total + size > SLICE_BYTES):
+        if i == len(sizes) or (i > start and total + size > most):
             if i > start:
                 yield batch.slice(start, i - start)
             start, total = i, 0
         total += size
 
 
-def _encoder(path: str, pattern: str):
-    return lambda texts: coder(path, pattern).encode_all([text or "" for text in texts])
+def _encoder(path: str, pattern: str, slice_bytes: int):
+    remembered = REMEMBERED_SHARE * slice_bytes
+    return lambda texts: coder(path, pattern).encode_all([text or "" for text in texts], remembered)
 
 
 def _decoder(path: str, pattern: str):
     return lambda many: [coder(path, pattern).decode(ids or b"") for ids in many]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    *,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit numbers in one binary."""
-    return _mapped(docs, text_col, {ids_col: _encoder(path, pattern)})
+    return _mapped(docs, text_col, {ids_col: _encoder(path, pattern, slice_bytes)}, slice_bytes)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that each row's ids stand for."""
-    return _mapped(encoded, ids_col, {out_col: _decoder(path, pattern)})
+    return _mapped(encoded, ids_col, {out_col: _decoder(path, pattern)}, SLICE_BYTES)
 
 
 def round_trip(
-    docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    *,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    out_col: str = "decoded",
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``docs`` encoded and decoded again by the same workers, so that texts reach Python once."""
-    return _mapped(docs, text_col, {ids_col: _encoder(path, pattern), out_col: _decoder(path, pattern)})
+    steps = {ids_col: _encoder(path, pattern, slice_bytes), out_col: _decoder(path, pattern)}
+    return _mapped(docs, text_col, steps, slice_bytes)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

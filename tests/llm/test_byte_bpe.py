@@ -51,13 +51,12 @@ def test_equals_the_library_on_long_pre_tokens(pair):
         assert ids(coder, text) == library.encode_ordinary(text)
 
 
-def test_memory_changes_nothing(pair, monkeypatch):
+def test_memory_changes_nothing(pair):
     coder, library = pair
-    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 1000)
     texts = [" ".join(f"w{i * j}" for i in range(300)) for j in range(5)]
     small = byte_bpe.ByteBpe(coder.ranks, P.PATTERN)
     for text in texts * 2:
-        assert small.encode(text) == coder.encode(text)
+        assert small.encode(text, remembered=1000) == coder.encode(text)
         assert small.used == sum(byte_bpe.ENTRY_BYTES + len(w) + len(ids) for w, ids in small.known.items())
         assert set(small.known) <= set(coder.find(text))  # each text is more than is remembered
 
@@ -111,12 +110,11 @@ def test_encode_then_decode_keeps_other_columns(spark):
     assert all(r[c] == f"other {c}" for r in rows for c in CLASHES if c not in ("ids", "decoded"))
 
 
-def test_slices_bound_bytes(spark, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 10)
+def test_slices_bound_bytes():
     import pyarrow as pa
 
     batch = pa.record_batch([pa.array(["aaaa", "bbbb", "cccc", None, "d" * 99, ""])], ["text"])
-    assert [p.num_rows for p in byte_bpe.sliced(batch, "text")] == [2, 2, 1, 1]
+    assert [p.num_rows for p in byte_bpe.sliced(batch, "text", 10)] == [2, 2, 1, 1]
 
 
 def test_empty(spark):
