@@ -23,6 +23,9 @@ from flowlab.llm.common import crc_remainder, join_narrow, whole_row
 from flowlab.llm.queries import reach_package
 from flowlab.sources.storage import durable, new_folder
 
+#: Texts encoded at a time: less than the operator takes by itself, since executors that ran four stages
+#: before have less memory left.
+SLICE_BYTES = 3 << 20
 #: A random cosine then has a deviation of 1/64.
 DIMS = 4096
 #: Places of dropped rows, paths among them, that are broadcast at most.
@@ -78,7 +81,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     decode to the very bytes of the text, with both digests."""
     rows = docs.select("doc_id", "lang", "source", "text")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN)
+    encoded = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, slice_bytes=SLICE_BYTES)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return encoded.select(
         "doc_id",
