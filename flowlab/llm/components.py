@@ -7,7 +7,7 @@ with the logarithm of the longest chain. Every round is written to the shared fo
 stays short and a lost executor costs tasks, not rounds.
 
 Only grouped minima see a vertex's links, with partial sums first: a vertex with very many links is
-no hot group.
+no hot group. Links and labels are joined by sorting: broadcast, they would all pass through the driver.
 """
 
 from __future__ import annotations
@@ -27,17 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("label"))
     labels = durable(labels, "labels")
     for _ in range(MOST_ROUNDS):
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
-        seen = labels.join(near, labels["id"] == near["a"]).select("id", "label", "near")
+        near = both.join(labels.hint("merge"), both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
+        seen = labels.join(near.hint("merge"), labels["id"] == near["a"]).select("id", "label", "near")
         hooks = seen.select("id", F.least("label", "near").alias("new")).union(
             seen.select(F.col("label").alias("id"), "near")
         )
         hooked = hooks.groupBy("id").agg(F.min("new").alias("label"))
         up = hooked.select(F.col("id").alias("up"), F.col("label").alias("above"))
-        short = hooked.join(up, hooked["label"] == up["up"], "left")
+        short = hooked.join(up.hint("merge"), hooked["label"] == up["up"], "left")
         new = durable(short.select("id", F.least("label", "above").alias("label")), "labels")
         old = labels.withColumnRenamed("label", "old")
-        changed = new.join(old, "id").filter("label <> old").limit(1).count()
+        changed = new.join(old.hint("merge"), "id").filter("label <> old").limit(1).count()
         labels = new
         if not changed:
             return labels.withColumnRenamed("label", "component")

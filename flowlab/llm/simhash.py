@@ -8,6 +8,9 @@ at distance 2r or less have a common grid point within r of both, so every finge
 its own grid point and those within r, and a join on the grid point finds all candidates; comparing
 the bits decides.
 
+All joins are by sorting, never by broadcast: their sides grow with the table, while a stored file of
+numbers or the points that one number becomes look small to the planner.
+
 Equal fingerprints are one row before the join, with their smallest id: copies, however many, make no
 pairs. Links exist between distinct fingerprints only, and each has at most as many partners as there
 are fingerprints within the distance.
@@ -122,18 +125,18 @@ def links(prints: DataFrame, *, most_bits: int = MOST_BITS, segments: int = SEGM
     points = grid_points(prints.select("print").distinct(), segments, radius)
     one, other = (points.select("point", F.col("print").alias(n)) for n in ("a", "b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits
-    return one.join(other, "point").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return one.join(other.hint("merge"), "point").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def classes(prints: DataFrame, *, most_bits: int = MOST_BITS, segments: int = SEGMENTS) -> DataFrame:
     """(print, component_id) for each distinct fingerprint of ``prints`` (id, print)."""
     distinct = durable(prints.groupBy("print").agg(F.min("id").alias("first")), "prints")
-    joined = components(links(distinct, most_bits=most_bits, segments=segments))
+    joined = components(links(distinct, most_bits=most_bits, segments=segments)).hint("merge")
     grouped = distinct.join(joined, distinct["print"] == joined["id"], "left").select(
         "print", "first", F.coalesce("component", "print").alias("component")
     )
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    return grouped.join(smallest, "component").select("print", "component_id")
+    return grouped.join(smallest.hint("merge"), "component").select("print", "component_id")
 
 
 def near_duplicates(
@@ -141,4 +144,4 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, print, component_id) per row of ``docs``: links between fingerprints, followed to the end."""
     prints = durable(fingerprints(docs, id_col=id_col, text_col=text_col, words=words), "fingerprints")
-    return prints.join(classes(prints, **options), "print").select("id", "print", "component_id")
+    return prints.join(classes(prints, **options).hint("merge"), "print").select("id", "print", "component_id")

@@ -116,3 +116,12 @@ def test_segments_must_fit(spark):
 
 def test_empty(spark):
     assert simhash.near_duplicates(no_docs(spark)).collect() == []
+
+
+def test_joins_never_broadcast(spark):
+    """A file of numbers looks small to the planner, however many grid points the numbers become."""
+    rows = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a text number"), "id").alias("text"))
+    found = simhash.near_duplicates(rows, words=3)
+    plans = [found, simhash.links(simhash.fingerprints(rows))]
+    assert all("Broadcast" not in p._jdf.queryExecution().executedPlan().toString() for p in plans)
+    assert found.count() == 300
