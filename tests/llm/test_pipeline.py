@@ -116,3 +116,19 @@ def test_near_copies_are_decided_by_row(spark, tmp_path):
         assert kept.columns == docs.columns
         found = sorted((str(r.doc_id), r.text.lower()) for r in kept.collect())
         assert found == sorted([("1", near), ("2", clean), ("3", twin), ("None", lone)])
+
+
+def test_near_copies_are_found_without_broadcasts(spark, tmp_path, monkeypatch):
+    """Only the places of dropped rows, of a fixed number at most, may pass through the driver."""
+    rows = spark.range(50).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words of text"), F.col("id") % 40).alias("text"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    plans, real = [], corpus_pipeline.join_narrow
+
+    def watched(left, right, *others):
+        plans.append(right._jdf.queryExecution().executedPlan().toString())
+        return real(left, right, *others)
+
+    monkeypatch.setattr(corpus_pipeline, "join_narrow", watched)
+    kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "rows")), "")
+    assert kept.count() == 40
+    assert plans and not any("Broadcast" in plan for plan in plans)
