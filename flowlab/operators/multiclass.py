@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from flowlab.operators import metrics
 from flowlab.operators.models import LR_SETTINGS, RF_EXECUTION, RF_SETTINGS, without_summary
 from flowlab.sources.storage import durable, name_checkpoint_folder
-from flowlab.sources.tables import dealt
+from flowlab.sources.tables import dealt_once
 
 CLASS = "label_original"
 INDEX = "class_index"
@@ -56,7 +56,8 @@ def fit_classes(train: DataFrame, index: StringIndexerModel, estimator: Estimato
     name_checkpoint_folder(train.sparkSession)
     known = indexed(train, index).filter(F.col(INDEX) < len(index.labels))
     extra = [estimator.getWeightCol()] if estimator.isSet("weightCol") else []
-    return estimator.fit(dealt(known, key).select("features", INDEX, *extra))
+    with dealt_once(known, key, "features", INDEX, *extra) as rows:
+        return estimator.fit(rows)
 
 
 def predict_classes(model: Model, rows: DataFrame, index: StringIndexerModel, name: str) -> DataFrame:
