@@ -58,7 +58,9 @@ def quarantine_flows(spark: SparkSession, path: str, folder: str) -> tuple[DataF
     """(rows, quarantined): the CSV files under ``path`` parsed once and written to ``folder``, lines with a
     wrong number of fields apart from the others. ``quarantined`` has (file, text)."""
     parsed = read_flows(spark, path, keep_corrupt=True, file_column=FILE)
-    flagged = parsed.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull())
+    faulty = F.col(CORRUPT).isNotNull()
+    # tasks sort their rows by the flag, so rows that will not show their file do not carry it
+    flagged = parsed.withColumns({QUARANTINED: faulty, FILE: F.when(faulty, F.col(FILE))})
     flagged.write.mode("overwrite").partitionBy(QUARANTINED).parquet(folder)
     schema = StructType([*parsed.schema.fields, StructField(QUARANTINED, BooleanType())])
     stored = spark.read.schema(schema).parquet(folder)
