@@ -22,7 +22,7 @@ def is_sentinel(name: str) -> Column:
 
 def finite_or_null(value: Column) -> Column:
     """NULL for NaN and both infinities, whatever their spelling was."""
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)  # NaN is above infinity
 
 
 def not_nan(value: Column) -> Column:
@@ -36,8 +36,9 @@ def number(name: str, strict: bool = False) -> Column:
     ``try_cast`` keeps the rule the same with ANSI mode on, where a plain cast stops the job at
     the first bad field. ``strict`` also nulls the infinities and NaNs spelled in other ways.
     """
-    value = F.when(~is_sentinel(name), F.col(name).try_cast("double"))
-    return finite_or_null(value) if strict else value
+    value = F.col(name).try_cast("double")
+    # strict needs no look at the sentinels: where one is a number, it is infinite
+    return finite_or_null(value) if strict else F.when(~is_sentinel(name), value)
 
 
 def cast_failed(name: str) -> Column:
