@@ -23,8 +23,8 @@ NON_NEGATIVE = (
     "packets_rate",
 )
 LABEL = "label"
-#: Slots that tell where digests repeat: a table of at most this many rows of 8 bytes.
-SLOTS = 2**20
+#: Slots that tell where digests repeat: one bit each, 16 MB in all where every one is marked.
+SLOTS = 2**27
 
 
 def measure_columns(df: DataFrame, label: str = LABEL, ids: Iterable[str] = ID_COLUMNS) -> list[str]:
@@ -94,15 +94,22 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     reads and shuffles 8 bytes a row. A digest that occurs twice marks one of ``SLOTS`` slots; rows
     of unmarked slots have no copy and pass as they are, and the others go through a real distinct,
     whose map side collapses the copies of a hot row. A shared slot or digest costs a little work
-    and never a row. The marks have a fixed size and are broadcast, so the plan is the same for any
-    table; where copies are so many that all slots are marked, it is a plain distinct.
+    and never a row. The marks are bitmaps of 4 KB and of a bounded number, and are broadcast, so the
+    plan is the same for any table; with ten million repeated digests a tenth of the slots is marked.
     """
     columns = df.columns
     digested = durable(df.withColumn("_digest", F.xxhash64(*columns)), "digested")
-    slot = F.pmod("_digest", F.lit(SLOTS)).alias("_slot")
-    repeated = digested.groupBy("_digest").count().filter("count > 1")
-    marked = F.broadcast(durable(repeated.select(slot).distinct(), "marked"))
-    placed = digested.select(*columns, slot)
-    alone = placed.join(marked, "_slot", "left_anti").select(*columns)
-    copies = placed.join(marked, "_slot", "left_semi").select(*columns).distinct()
+    slot = F.pmod("_digest", F.lit(SLOTS))
+    digests = digested.groupBy("_digest").count().filter("count > 1")
+    repeated = digests.groupBy(F.bitmap_bucket_number(slot).alias("_bucket"))
+    marks = repeated.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    marked = F.broadcast(durable(marks, "marked"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(_byte, CAST(_at % 8 AS INT)) & 1") == 1
+    placed = digested.withColumns({"_bucket": F.bitmap_bucket_number(slot)}).join(marked, "_bucket", "left")
+    told = placed.select(*columns, at.alias("_at"), byte.alias("_byte"))
+    copied = F.coalesce(bit, F.lit(False))
+    alone = told.filter(~copied).select(*columns)
+    copies = told.filter(copied).select(*columns).distinct()
     return alone.unionByName(copies)
