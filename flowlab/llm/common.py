@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from flowlab.sources.storage import durable
 
-#: A side of a join is broadcast up to this many narrow rows (counted first); beyond it the join
-#: shuffles and adaptive execution splits skewed keys.
+#: A side of a join is broadcast up to this many narrow rows (counted first); beyond it both sides are
+#: sorted, whatever the planner makes of the size of its files.
 MOST_BROADCAST_ROWS = 500_000
 
 #: A space between two characters that are no white space. No token of the byte-level vocabularies
@@ -56,9 +56,10 @@ def crc_remainder(column: str, parts: int) -> Column:
 
 
 def join_narrow(left: DataFrame, right: DataFrame, on, how: str, limit: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """Join with a narrow table that is stored first and broadcast only if it has few rows."""
+    """Join with a narrow table that is stored first and broadcast only if it has few rows. Of more rows the
+    planner sees small files (paths and numbers compress well) and would broadcast them all the same."""
     kept = durable(right, "narrow")
-    return left.join(F.broadcast(kept) if kept.count() <= limit else kept, on, how)
+    return left.join(kept.hint("broadcast" if kept.count() <= limit else "merge"), on, how)
 
 
 def tidy(function):

@@ -132,3 +132,16 @@ def test_near_copies_are_found_without_broadcasts(spark, tmp_path, monkeypatch):
     kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "rows")), "")
     assert kept.count() == 40
     assert plans and not any("Broadcast" in plan for plan in plans)
+
+
+def test_many_places_of_dropped_rows_are_sorted_not_broadcast(spark, tmp_path, monkeypatch):
+    """More places than may be broadcast lie in small files: the planner alone would broadcast them."""
+    rows = spark.range(60).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words of text"), F.col("id") % 40).alias("text"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    docs = spark.read.parquet(str(tmp_path / "rows"))
+    few = corpus_pipeline.drop_near_copies(spark, docs, "")
+    monkeypatch.setattr(corpus_pipeline, "MOST_PLACES", 3)
+    many = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert "Broadcast" in few._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 40
