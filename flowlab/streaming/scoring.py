@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from flowlab.operators.clean import clean_flows
 from flowlab.operators.features import engineered
 from flowlab.operators.models import predict
+from flowlab.sources.tables import COMPRESSION
 from flowlab.streaming.ingest import append_what_is_there, raw_files
 
 
@@ -22,6 +23,7 @@ def score_new_files(
         predict(model, rows, name)
         .writeStream.format("parquet")
         .option("path", landing)
+        .option("compression", COMPRESSION)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

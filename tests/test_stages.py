@@ -10,6 +10,7 @@ from flowlab.plans import stages
 from flowlab.plans.inputs import flows
 from flowlab.sources import flow_csv, storage, tables
 from flowlab.streaming.ingest import ingest_new_files
+from flowlab.streaming.scoring import score_new_files
 
 QUICK = {
     models.MODEL_LR: {"maxIter": 3},
@@ -187,3 +188,14 @@ def test_ingest_lands_every_file_once(spark, tmp_path):
     assert ingest_new_files(spark, source, schema, landing, memory, files_per_batch=2) == 50
     landed = spark.read.parquet(landing)
     assert landed.count() == 80 and landed.select("flow_id").distinct().count() == 80
+
+
+def test_tables_and_landings_take_little_room(spark, folder, first_run, tmp_path):
+    """Stages, predictions and landed rows are stored by the library's own compression, not Spark's default."""
+    landing = str(tmp_path / "landing")
+    ready = tables.read_table(spark, f"{folder}/ml_ready")
+    model = models.train_lr(ready.select("features", "label"), maxIter=1)
+    score_new_files(spark, model, "m", f"{folder}/ml_ready", landing, str(tmp_path / "memory"))
+    for path in (f"{folder}/cleaned", f"{folder}/ml_ready", stages.predictions_table(folder), landing):
+        files = tables.files_of(spark.read.parquet(path))
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
