@@ -171,3 +171,13 @@ def test_replaced_partitions_leave_others(spark, tmp_path):
     tables.replace_partitions(rows.filter("part = 1").limit(5), path, ["part"])
     assert spark.read.parquet(path).groupBy("part").count().orderBy("part").collect() == [(0, 34), (1, 5), (2, 33)]
     assert all(sorted((tmp_path / "t" / f"part={p}").glob("*.parquet")) == files[p] for p in (0, 2))
+
+
+def test_rows_are_dealt_out_by_their_number_and_the_setting(spark, monkeypatch):
+    """A small table is not cut into as many parts as a large one; no table into more than the setting says."""
+    monkeypatch.setattr(tables, "DEALT_ROWS", 10)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows, parts in ((0, 1), (1, 1), (10, 1), (11, 2), (30, 3), (1000, most)):
+        for files in (1, 7):
+            made = tables.dealt(spark.range(0, rows, 1, files), "id")
+            assert made.rdd.getNumPartitions() == parts and made.count() == rows
