@@ -67,8 +67,16 @@ def layer_sizes(width: int) -> list[int]:
     return [width, min(128, max(32, width // 2)), min(64, max(16, width // 4)), 2]
 
 
+class PlainLogisticRegression(LogisticRegression):
+    """MLlib's, whose models keep no training summary: it holds the session, which no task can be sent."""
+
+    def _create_model(self, java_model):
+        java_model.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+        return super()._create_model(java_model)
+
+
 def estimator_lr(width: int, **settings) -> Estimator:
-    return LogisticRegression(**{**LR_SETTINGS, **settings})
+    return PlainLogisticRegression(**{**LR_SETTINGS, **settings})
 
 
 def estimator_mlp(width: int, **settings) -> Estimator:

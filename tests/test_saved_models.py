@@ -323,3 +323,9 @@ def test_raw_stream_scores_as_the_table(spark, sf_dir, made, pipeline, tmp_path)
     streamed, batch = spark.read.parquet(landing).select(columns), models.predict(model, made, "m").select(columns)
     assert streamed.exceptAll(batch).isEmpty() and streamed.count() == batch.count() == made.count()
     assert all(0 <= r[0] <= 1 and not math.isnan(r[0]) for r in streamed.select(models.SCORE).collect())
+
+
+def test_a_fitted_regression_keeps_no_training_summary(ready, pipeline, made):
+    """It would hold the session, and a job that sends the model to its tasks would fail."""
+    alone = models.train_lr(ready.select("features", "label"), maxIter=1)
+    assert not alone.hasSummary and not pipeline.fit(made).stages[-1].hasSummary
