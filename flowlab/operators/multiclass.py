@@ -9,7 +9,7 @@ the metrics it is a class that no model can name.
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.operators import metrics
+from flowlab.operators.forest import HistogramForest
 from flowlab.operators.models import LR_SETTINGS, RF_EXECUTION, RF_SETTINGS, without_summary
 from flowlab.sources.storage import durable, name_checkpoint_folder
 from flowlab.sources.tables import dealt_once
@@ -48,7 +49,7 @@ def multinomial(**settings) -> Estimator:
 
 
 def forest(**settings) -> Estimator:
-    return RandomForestClassifier(**{"labelCol": INDEX, **RF_SETTINGS, **RF_EXECUTION, **settings})
+    return HistogramForest(**{"labelCol": INDEX, **RF_SETTINGS, **RF_EXECUTION, **settings})
 
 
 def fit_classes(train: DataFrame, index: StringIndexerModel, estimator: Estimator, key: str = "flow_id") -> Model:
