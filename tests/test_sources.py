@@ -181,3 +181,10 @@ def test_rows_are_dealt_out_by_their_number_and_the_setting(spark, monkeypatch):
         for files in (1, 7):
             made = tables.dealt(spark.range(0, rows, 1, files), "id")
             assert made.rdd.getNumPartitions() == parts and made.count() == rows
+
+
+def test_dealt_rows_are_kept_batch_by_batch(spark):
+    """Serialized, a partition comes back from disk as one array."""
+    with tables.dealt_once(spark.range(100), "id") as rows:
+        level = rows.storageLevel
+        assert level.useDisk and level.useMemory and level.deserialized
