@@ -922,12 +922,13 @@ def raw_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     made, pipeline = _quick_pipeline(spark, sf_dir)
     models.save_model(pipeline.fit(models.split(made)[0]), f"{folder}/model")
     model, counts = models.load_model(f"{folder}/model"), []
+    batch = models.predict(model, made, "saved").select("flow_id", F.col(models.SCORE).alias("expected"))
+    batch = durable(batch, "batch")  # each run is compared with it
     for run, lot in enumerate((*models.split(raw, percent=50), None), 1):
         if lot is not None:
             lot.write.mode("append").option("header", True).csv(f"{folder}/source")
         score_raw_files(spark, model, "saved", f"{folder}/source", raw.schema, f"{folder}/rows", f"{folder}/checkpoint")
         streamed = spark.read.parquet(f"{folder}/rows")
-        batch = models.predict(model, made, "saved").select("flow_id", F.col(models.SCORE).alias("expected"))
         counts.append(
             streamed.join(batch, "flow_id", "left")
             .groupBy(F.lit(run).alias("run"), "label")

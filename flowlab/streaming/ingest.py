@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from flowlab.settings import SETTINGS
 from flowlab.sources.tables import COMPRESSION
 
 #: Progress reports that a query keeps, one per batch.
 PROGRESS_SETTING = "spark.sql.streaming.numRecentProgressUpdates"
 MOST_BATCHES = 1_000_000
+#: The one plan from text to score makes a method that the JVM would interpret row by row.
+METHOD_SETTING = "spark.sql.codegen.hugeMethodLimit"
 
 
 def raw_files(
@@ -35,8 +38,9 @@ def append_what_is_there(rows: DataFrame, landing: str, checkpoint: str) -> int:
     counted by the query's own progress, so a call costs nothing for what landed before.
     """
     spark = rows.sparkSession
-    kept = spark.conf.get(PROGRESS_SETTING)
+    kept = {name: spark.conf.get(name) for name in (PROGRESS_SETTING, METHOD_SETTING)}
     spark.conf.set(PROGRESS_SETTING, str(MOST_BATCHES))
+    spark.conf.set(METHOD_SETTING, str(min(int(kept[METHOD_SETTING]), int(SETTINGS[METHOD_SETTING]))))
     try:
         query = (
             rows.writeStream.format("parquet")
@@ -49,7 +53,8 @@ def append_what_is_there(rows: DataFrame, landing: str, checkpoint: str) -> int:
         query.awaitTermination()
         return sum(batch.numInputRows for batch in query.recentProgress)
     finally:
-        spark.conf.set(PROGRESS_SETTING, kept)
+        for name, value in kept.items():
+            spark.conf.set(name, value)
 
 
 def ingest_new_files(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from flowlab.functions.values import number
 from flowlab.operators import clean, models, tuning
-from flowlab.plans import stages
+from flowlab.plans import catalog, stages
 from flowlab.plans.inputs import flows
 from flowlab.sources import exports, flow_csv
 from flowlab.sources.storage import exists
+from flowlab.streaming import ingest
 
 
 def plan_of(df):
@@ -89,3 +91,27 @@ def test_strict_numbers_read_their_text_twice(spark):
     texts = ["Infinity", "-Infinity", "inf", "-inf", "INF", "+infinity", "NaN", "nan", "x", None, "-1", " 2 ", "1e400", "-0"]
     found = spark.createDataFrame([(t,) for t in texts], "x string").select("x", number("x", strict=True).alias("v")).collect()
     assert [(r.x, r.v) for r in found if r.v is not None] == [("-1", -1.0), (" 2 ", 2.0), ("-0", 0.0)]
+
+
+def test_raw_scores_are_made_once_as_a_table_and_streamed_in_small_methods(spark, sf_dir, monkeypatch):
+    stored, limits, durable, start = [], [], catalog.durable, DataStreamWriter.start
+
+    def storing(df, name):
+        stored.append(name)
+        return durable(df, name)
+
+    def starting(writer, *others, **more):
+        limits.append(spark.conf.get(ingest.METHOD_SETTING))
+        return start(writer, *others, **more)
+
+    monkeypatch.setattr(catalog, "durable", storing)
+    monkeypatch.setattr(DataStreamWriter, "start", starting)
+    kept = spark.conf.get(ingest.METHOD_SETTING)
+    spark.conf.set(ingest.METHOD_SETTING, "65535")
+    try:
+        found = catalog.raw_stream_score(spark, sf_dir).collect()
+        assert limits == ["8000"] * 3 and spark.conf.get(ingest.METHOD_SETTING) == "65535"
+    finally:
+        spark.conf.set(ingest.METHOD_SETTING, kept)
+    assert stored == ["batch", "counts", "counts", "counts"]
+    assert {r.run for r in found} == {1, 2, 3} and all(r["rows"] == r.as_batch for r in found)
