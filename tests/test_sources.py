@@ -188,3 +188,9 @@ def test_dealt_rows_are_kept_batch_by_batch(spark):
     with tables.dealt_once(spark.range(100), "id") as rows:
         level = rows.storageLevel
         assert level.useDisk and level.useMemory and level.deserialized
+
+
+def test_small_tables_are_dealt_to_several_cores(spark):
+    """100,000 training rows went to two partitions, and the passes of an estimator to two cores."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tables.dealt(spark.range(100_000), "id").rdd.getNumPartitions() == min(most, 7) > 2
